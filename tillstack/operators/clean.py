@@ -12,6 +12,7 @@ row_part, pos)``, which spreads a hot group evenly.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstack import fixed_values as FV
@@ -140,6 +141,26 @@ def dedup_first(df: DataFrame, keys=FV.DEDUP_KEYS) -> DataFrame:
     return df.join(firsts, on=LINE_ORDER, how="left_semi")
 
 
+def keep_first_drop_last(df: DataFrame, keys=FV.DEDUP_KEYS, drop_last_row: bool = True) -> DataFrame:
+    """FLT3 + WIN2 in one aggregate and one semi join.
+
+    Per (file, key) one partial aggregate gives the first and last ordinal;
+    the file's last line is the max of the group maxima (a tiny second
+    aggregate).  The footer drop runs before the dedup in the rule, and the
+    last line of a file is either alone in its key group (so the group
+    disappears) or a later copy (which the dedup drops anyway), so a line is
+    kept iff it is its group's first and not the file's last.  Lineage
+    columns are never null (the readers set them).
+    """
+    ordinal = F.struct(*ORDER_COLS, "pos")
+    groups = df.groupBy("source_file", *keys).agg(F.min(ordinal).alias("first"), F.max(ordinal).alias("last"))
+    if drop_last_row:
+        per_file = groups.groupBy("source_file").agg(F.max("last").alias("file_last"))
+        groups = groups.join(per_file, "source_file").filter(F.col("first") != F.col("file_last"))
+    firsts = groups.select("source_file", *_ordinal_select("first"))
+    return df.join(firsts, on=LINE_ORDER, how="left_semi")
+
+
 def parse_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary) -> DataFrame:
     """Report rows → parsed, categorised item lines (before the final cleanup)."""
     return (df.transform(explode_items)
@@ -151,18 +172,24 @@ def parse_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary) -> DataFr
             .transform(add_payment_type))
 
 
+def finished_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
+                   persist: bool = True) -> DataFrame:
+    """Parsed lines after FLT2 and the column cleanup, before the file-order
+    steps.  Those steps read the lines twice (an aggregate, then a join back),
+    so by default they are persisted once (memory, spilling to disk) instead
+    of parsing every line twice."""
+    out = (parse_lines(df, spark, vocab or Vocabulary())
+           .transform(keep_columns)
+           .transform(drop_missing_items)
+           .transform(finish_columns))
+    return out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
+
+
 def clean_report(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
-                 drop_last_row: bool = True, keys=FV.DEDUP_KEYS) -> DataFrame:
+                 drop_last_row: bool = True, keys=FV.DEDUP_KEYS, persist: bool = True) -> DataFrame:
     """MDL8: normalised report → clean item lines, in the reference order.
 
     The output keeps the lineage columns ``source_file, row_idx, row_part,
     pos``; ``conform`` drops what a load schema does not list.
     """
-    vocab = vocab or Vocabulary()
-    out = (parse_lines(df, spark, vocab)
-           .transform(keep_columns)
-           .transform(drop_missing_items)
-           .transform(finish_columns))
-    if drop_last_row:
-        out = drop_footer(out)
-    return dedup_first(out, keys)
+    return keep_first_drop_last(finished_lines(df, spark, vocab, persist), keys, drop_last_row)

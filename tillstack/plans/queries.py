@@ -65,7 +65,7 @@ class Run:
 
     @cached_property
     def finished(self) -> DataFrame:
-        return CL.finish_columns(self.kept)
+        return CL.finished_lines(self.report, self.spark, self.vocab)
 
     @cached_property
     def nofoot(self) -> DataFrame:
@@ -73,7 +73,7 @@ class Run:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return CL.dedup_first(self.nofoot)
+        return CL.keep_first_drop_last(self.finished)
 
     @cached_property
     def staging(self) -> DataFrame:

@@ -10,7 +10,7 @@ report cells by ``(l_orderkey, cell)`` with ``cell = (l_linenumber-1) div
 CELL_LINES`` — a partial aggregate, and no cell holds more than
 ``CELL_LINES`` line numbers, so one huge order becomes many bounded cells
 spread over many tasks instead of one giant string — and then left-joined
-to ``orders`` (unique per key).  Footers are one partial aggregate per file.
+to ``orders`` (unique per key) with a sort-merge join.  Footers are one partial aggregate per file.
 """
 
 from __future__ import annotations
@@ -82,7 +82,10 @@ def raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
         F.concat(F.lit("report_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".csv")).alias("source_file"),
     )
-    rows = o.join(cells, o.o_orderkey == cells.l_orderkey, "left")
+    # ``cells`` grows with lineitem: never broadcast it, whatever its
+    # estimated size; a sort-merge join on the order key keeps the report
+    # spread over the shuffle partitions.
+    rows = o.join(cells.hint("merge"), o.o_orderkey == cells.l_orderkey, "left")
 
     k = F.col("o_orderkey")
     secs = F.pmod(k * 37, F.lit(46800)) + 25200

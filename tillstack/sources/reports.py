@@ -43,7 +43,7 @@ def empty_report(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], raw_schema())
 
 
-def read_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_report(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False) -> DataFrame:
     """SRC2/SRC7: read report file(s) with lineage.
 
     CSV is read as all-string with a header; ``ignoreCorruptFiles`` skips an
@@ -54,7 +54,9 @@ def read_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """
     reader = spark.read.option("ignoreCorruptFiles", "true")
     if fmt == "csv":
-        df = (reader.option("header", True).option("multiLine", True)
+        # Single-line CSV is split by byte range, so a very large file is read
+        # by many tasks; ``multiline`` (quoted newlines) makes files unsplittable.
+        df = (reader.option("header", True).option("multiLine", multiline)
               .option("inferSchema", False).csv(path))
         order = [
             F.col("_metadata.file_block_start").alias("row_idx"),
@@ -77,11 +79,11 @@ def day_path(incoming: str, day: _dt.date) -> str:
     return f"{incoming.rstrip('/')}/{REPORT_FILE_PREFIX}{day.isoformat()}"
 
 
-def read_day(spark: SparkSession, incoming: str, ds, fmt: str = "csv") -> DataFrame:
+def read_day(spark: SparkSession, incoming: str, ds, fmt: str = "csv", multiline: bool = False) -> DataFrame:
     """SRC1: the report for ``ds − 1 day``; no file ⇒ an empty report."""
     path = day_path(incoming, report_date(ds))
     try:
-        return read_report(spark, path, fmt)
+        return read_report(spark, path, fmt, multiline)
     except AnalysisException as e:  # PATH_NOT_FOUND: the shop was closed
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return empty_report(spark)
