@@ -34,12 +34,35 @@ def strip_ws(c) -> Column:
 
 def title_case(c) -> Column:
     """Python ``str.title()``: upper-case the first letter of every run of
-    letters and lower-case the rest (``initcap`` splits on spaces only, so
-    ``valentine's`` would differ)."""
-    runs = F.regexp_extract_all(_c(c), F.lit(r"\p{L}+|[^\p{L}]+"), 0)
-    return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(
-        F.array_join(F.transform(runs, F.initcap), "")
-    )
+    letters and lower-case the rest.
+
+    ``initcap`` only starts a word after a space, so every other non-letter
+    is first followed by a NUL + space marker (making the next letter a word
+    start), ``initcap`` runs, and the markers are removed.  All three are
+    code-generated built-ins.
+    """
+    marked = F.regexp_replace(_c(c), r"([^\p{L} ])", "$1\u0000 ")
+    return F.regexp_replace(F.initcap(marked), "\u0000 ", "")
+
+
+def titled_match(m: Column, words: Iterable[str], renames: dict | None = None) -> Column:
+    """Title-case of a case-insensitive match of one of ``words``.
+
+    A match is one of the words in some letter case, so its title form is
+    looked up from the lower-cased match (computed once here with Python's
+    own ``str.title``); anything unexpected falls back to ``title_case``.
+    ``renames`` maps a title form to its replacement.
+    """
+    renames = renames or {}
+    lowered = F.lower(m)
+    out = F.when(m.isNull(), F.lit(None).cast("string"))
+    for w in dict.fromkeys(words):
+        t = w.title()
+        out = out.when(lowered == w.lower(), F.lit(renames.get(t, t)))
+    fallback = title_case(m)
+    for old, new in renames.items():
+        fallback = F.when(fallback == old, F.lit(new)).otherwise(fallback)
+    return out.otherwise(fallback)
 
 
 def extract_first(c, words: Iterable[str], ignore_case: bool = True) -> Column:
@@ -54,25 +77,28 @@ def contains_any(c, words: Iterable[str]) -> Column:
     return F.coalesce(_c(c).rlike("(?iu)" + alternation(words)), F.lit(False))
 
 
+def _vocab(c, words) -> Column:
+    return titled_match(extract_first(c, words), words)
+
+
 def extract_size(c) -> Column:  # STR1
-    return title_case(extract_first(c, FV.SIZE_WORDS))
+    return _vocab(c, FV.SIZE_WORDS)
 
 
 def extract_variation(c) -> Column:  # STR2
-    return title_case(extract_first(c, FV.VARIATION_WORDS))
+    return _vocab(c, FV.VARIATION_WORDS)
 
 
 def extract_flavor(c) -> Column:  # STR3
-    return F.when(contains_any(c, FV.FLAVOR_LINE_WORDS),
-                  title_case(extract_first(c, FV.FLAVOR_WORDS)))
+    return F.when(contains_any(c, FV.FLAVOR_LINE_WORDS), _vocab(c, FV.FLAVOR_WORDS))
 
 
 def extract_sugar(c) -> Column:  # STR4
-    return title_case(extract_first(c, FV.SUGAR_WORDS))
+    return _vocab(c, FV.SUGAR_WORDS)
 
 
 def extract_spice(c) -> Column:  # STR5
-    return title_case(extract_first(c, FV.SPICE_WORDS))
+    return _vocab(c, FV.SPICE_WORDS)
 
 
 def extract_quantity(c) -> Column:  # STR6: case-sensitive, first match, default 1
@@ -90,10 +116,7 @@ def pastry_flavor(c) -> Column:  # STR7 + STR8
 
 
 def pastry_group(c) -> Column:  # STR9
-    group = title_case(extract_first(c, FV.PASTRY_GROUPS))
-    for old, new in FV.PASTRY_GROUP_RENAMES.items():
-        group = F.when(group == old, F.lit(new)).otherwise(group)
-    return group
+    return titled_match(extract_first(c, FV.PASTRY_GROUPS), FV.PASTRY_GROUPS, FV.PASTRY_GROUP_RENAMES)
 
 
 def composite_item(c) -> Column:  # STR10: null flavor -> null item

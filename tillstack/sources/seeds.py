@@ -21,6 +21,27 @@ from tillstack.schemas import HOLIDAYS_SEED, PRODUCTS_SEED
 BROADCAST_ROW_LIMIT = 200_000
 
 
+def local_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small literal relation planned as a driver-side ``LocalRelation``
+    (a parameterised ``VALUES``), so joining or broadcasting it runs no job
+    and its size is known to the planner.  ``schema`` is a StructType or DDL."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    fields = schema.fields
+    if not rows:
+        return spark.createDataFrame([], schema)
+    args, tuples = {}, []
+    for i, row in enumerate(rows):
+        marks = []
+        for j, (v, f) in enumerate(zip(row, fields)):
+            key = f"v{i}_{j}"
+            args[key] = v
+            marks.append(f"CAST(:{key} AS {f.dataType.simpleString()})")
+        tuples.append("(" + ", ".join(marks) + ")")
+    names = ", ".join(f"`{f.name}`" for f in fields)
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t({names})", args=args)
+
+
 def bounded_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only when its row count is known and small."""
     if rows is not None and rows <= limit:
@@ -54,16 +75,16 @@ def category_lookup(spark: SparkSession, vocab: Vocabulary) -> Sized:
     are composed on the driver, so the pipeline needs one join, not two."""
     rows = [(item, sub, vocab.sub_to_category.get(sub)) for item, sub in vocab.product_to_sub.items()]
     schema = "lookup_item string, lookup_sub_category string, lookup_category string"
-    return Sized(spark.createDataFrame(rows, schema), len(rows))
+    return Sized(local_table(spark, rows, schema), len(rows))
 
 
 def corrections_lookup(spark: SparkSession, vocab: Vocabulary) -> Sized:
     rows = list(vocab.corrections.items())
-    return Sized(spark.createDataFrame(rows, "fix_from string, fix_to string"), len(rows))
+    return Sized(local_table(spark, rows, "fix_from string, fix_to string"), len(rows))
 
 
 def products_seed(spark: SparkSession, vocab: Vocabulary) -> Sized:
-    return Sized(spark.createDataFrame(vocab.catalog, PRODUCTS_SEED), len(vocab.catalog))
+    return Sized(local_table(spark, vocab.catalog, PRODUCTS_SEED), len(vocab.catalog))
 
 
 def read_products_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -79,12 +100,12 @@ def read_holidays_seed(spark: SparkSession, path: str) -> DataFrame:
 def holiday_rules(spark: SparkSession) -> Sized:
     rows = CAT.HOLIDAY_RULES
     schema = "rule_month int, rule_day int, holiday_name string, holiday_type string"
-    return Sized(spark.createDataFrame(rows, schema), len(rows))
+    return Sized(local_table(spark, rows, schema), len(rows))
 
 
 def _literal(spark: SparkSession, rows, fields) -> Sized:
-    schema = StructType([StructField(n, t, n.endswith("_key") is False) for n, t in fields])
-    return Sized(spark.createDataFrame(rows, schema), len(rows))
+    schema = StructType([StructField(n, t, True) for n, t in fields])
+    return Sized(local_table(spark, rows, schema), len(rows))
 
 
 # SRC8 / SET1: the five literal dimensions.
