@@ -9,6 +9,7 @@ Unicode whitespace, and ``(?d)`` makes ``.`` stop only at ``\\n``.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
@@ -26,10 +27,14 @@ def alternation(words: Iterable[str]) -> str:
     return "(" + "|".join(re.escape(w) for w in words) + ")"
 
 
+# Every character Python's ``str.isspace()`` accepts, derived by that rule.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace())
+
+
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace
-    (Spark's ``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: trim exactly the characters Python counts as
+    whitespace from both ends (plain ``trim`` only removes spaces)."""
+    return F.trim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def title_case(c) -> Column:

@@ -29,6 +29,14 @@ KEEP_COLUMNS = [
 ]
 
 
+def order_fields(df: DataFrame) -> DataFrame:
+    """NUM1-3 on the report row, before the explode: amounts and payment type
+    belong to the order, so they are parsed once per order, not per item."""
+    out = add_payment_type(df)
+    amounts = {c: N.amount(c) for c in ("received_amount", "product_amount") if c in df.columns}
+    return out.withColumns(amounts) if amounts else out
+
+
 def explode_items(df: DataFrame) -> DataFrame:
     """GEN1: one row per comma-separated item; a null cell reads as ``nan``."""
     cell = F.coalesce(F.col("products"), F.lit(FV.MISSING_TEXT))
@@ -96,11 +104,9 @@ def drop_missing_items(df: DataFrame) -> DataFrame:
 
 
 def finish_columns(df: DataFrame) -> DataFrame:
-    """STR11 title-case, NUM1-2 amounts, PRJ2 renames, PRJ4 defaults."""
+    """STR11 title-case, PRJ2 renames, PRJ4 defaults (amounts were parsed
+    per order by ``order_fields``)."""
     out = df.withColumn("clean_item", T.title_case("clean_item"))
-    for c in ("received_amount", "product_amount"):
-        if c in out.columns:
-            out = out.withColumn(c, N.amount(c))
     if "type/channel" in out.columns:
         channel = F.col("`type/channel`")
         merged = F.coalesce("order_type", channel) if "order_type" in out.columns else channel
@@ -163,13 +169,13 @@ def keep_first_drop_last(df: DataFrame, keys=FV.DEDUP_KEYS, drop_last_row: bool
 
 def parse_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary) -> DataFrame:
     """Report rows → parsed, categorised item lines (before the final cleanup)."""
-    return (df.transform(explode_items)
+    return (df.transform(order_fields)
+            .transform(explode_items)
             .transform(drop_blank_items)
             .transform(extract_attributes)
             .transform(derive_item)
             .transform(lambda d: apply_corrections(d, spark, vocab))
-            .transform(lambda d: categorize(d, spark, vocab))
-            .transform(add_payment_type))
+            .transform(lambda d: categorize(d, spark, vocab)))
 
 
 def finished_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
