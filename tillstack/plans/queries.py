@@ -11,6 +11,7 @@ import datetime as _dt
 from collections.abc import Callable
 from functools import cached_property, reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstack import fixed_values as FV
@@ -73,7 +74,11 @@ class Run:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return CL.keep_first_drop_last(self.finished)
+        # Staging, quarantine and the fact all derive from these lines and a
+        # query may read several of them (checks, recovery), so they are
+        # computed once (memory, spilling to disk), like the tables a daily
+        # run writes.
+        return CL.keep_first_drop_last(self.finished).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def staging(self) -> DataFrame:
