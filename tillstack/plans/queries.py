@@ -26,9 +26,11 @@ from tillstack.operators.dims import Dims, dim_date_for
 from tillstack.operators.fact import build_fact
 from tillstack.operators.quarantine import bad_mask, good_rows, quarantine_rows
 from tillstack.plans import oracle as O
-from tillstack.schemas import QUARANTINE, STAGING, conform
-from tillstack.session import configure
-from tillstack.sources.fixture import normalized_report
+from tillstack.plans import pipeline as P
+from tillstack.schemas import QUARANTINE, STAGING, STAGING_FLAGGED, conform
+from tillstack.session import configure, run_dir
+from tillstack.sources import sinks as K
+from tillstack.sources.fixture import daily_report, normalized_report
 from tillstack.sources.seeds import Vocabulary
 
 RUN_NOW = _dt.datetime.fromisoformat(O.RUN_DATE + " 00:00:00")
@@ -414,6 +416,71 @@ def q_rpt_product(r: Run):
     return R.product_performance(r.fact, r.dims)
 
 
+# --- sinks and flows (write to a fresh folder in the shared directory) -----
+
+def _split_staging(r: Run):
+    return r.staging.filter(F.col("payment_time") < O.CUTOFF), r.staging.filter(F.col("payment_time") >= O.CUTOFF)
+
+
+def q_sink_roundtrip(r: Run):
+    path = run_dir(r.spark, "sink") + "/staging"
+    K.write_parquet(r.staging, path)
+    return r.spark.read.schema(STAGING).parquet(path)
+
+
+def q_append_merge_schema(r: Run):
+    path = run_dir(r.spark, "append") + "/staging"
+    old, new = _split_staging(r)
+    K.write_parquet(old, path, "overwrite")
+    K.write_parquet(U.with_flag(new), path, "append")
+    return r.spark.read.option("mergeSchema", "true").parquet(path).select(*STAGING_FLAGGED.names)
+
+
+def q_partitioned_fact(r: Run):
+    paths = P.Paths(run_dir(r.spark, "fact"))
+    paths.fact.replace(r.spark, r.fact)
+    return paths.fact.read(r.spark)
+
+
+def _landed(r: Run) -> P.Paths:
+    paths = P.Paths(run_dir(r.spark, "flow"))
+    K.land_reports(daily_report(r.spark, r.sf_dir), paths.incoming)
+    return paths
+
+
+def _day_of(col: str = "source_file"):
+    return F.regexp_extract(F.col(col), r"report_date=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
+
+
+def _report_days(paths: P.Paths, spark) -> list:
+    days = [d.split("=", 1)[1] for d in K.list_dirs(spark, paths.incoming) if d.startswith("report_date=")]
+    return sorted(_dt.date.fromisoformat(d) for d in days)
+
+
+def q_run_range(r: Run):
+    paths = _landed(r)
+    days = _report_days(paths, r.spark)
+    P.run_range(r.spark, paths, days[0] + _dt.timedelta(days=1), days[-1] + _dt.timedelta(days=1),
+                r.vocab, RUN_NOW, enforce=False)
+    return paths.fact.read(r.spark)
+
+
+def q_archive_ledger(r: Run):
+    paths = _landed(r)
+    days = _report_days(paths, r.spark)
+    P.run_range(r.spark, paths, days[0] + _dt.timedelta(days=1), days[-1] + _dt.timedelta(days=1),
+                r.vocab, RUN_NOW, enforce=False)
+    return paths.ledger.read(r.spark).select(_day_of().alias("source_file"), "run_date", "rows")
+
+
+def q_run_day(r: Run):
+    paths = _landed(r)
+    days = _report_days(paths, r.spark)
+    P.run_range(r.spark, paths, days[0] + _dt.timedelta(days=1), days[-1], r.vocab, RUN_NOW, enforce=False)
+    P.run_day(r.spark, paths, days[-1] + _dt.timedelta(days=1), r.vocab, RUN_NOW, enforce=False)
+    return paths.staging.read(r.spark).withColumn("source_file", _day_of())
+
+
 SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "normalize_headers": q_normalize_headers,
     "explode_items": q_explode_items,
@@ -470,6 +537,12 @@ SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "rpt_payment": q_rpt_payment,
     "rpt_order_type": q_rpt_order_type,
     "rpt_product": q_rpt_product,
+    "sink_roundtrip": q_sink_roundtrip,
+    "append_merge_schema": q_append_merge_schema,
+    "partitioned_fact": q_partitioned_fact,
+    "archive_ledger": q_archive_ledger,
+    "run_day": q_run_day,
+    "run_range": q_run_range,
 }
 
 

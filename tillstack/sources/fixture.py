@@ -127,3 +127,21 @@ def raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def normalized_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillstack.sources.reports import normalize_headers
     return normalize_headers(raw_report(spark, sf_dir))
+
+
+def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same orders as daily report files: one file per payment day with
+    a blank footer row last, as delivered (``report_date`` names the day)."""
+    raw = raw_report(spark, sf_dir)
+    rows = (raw.filter(F.col("row_idx") != FOOTER_ROW_IDX)
+            .withColumn("report_date", F.to_date(F.col("Payment Time").cast("timestamp_ntz"))))
+    footers = rows.groupBy("report_date").agg(F.count(F.lit(1)).alias("n")).select(
+        *[F.lit(None).cast("string").alias(c) for c in
+          ["Order ID", "Products", "Product Amount", "Received Amount", "Payment Time",
+           "Cash", "GCash", "Type/Channel"]],
+        F.lit(None).cast("string").alias("source_file"),
+        F.lit(FOOTER_ROW_IDX).cast("long").alias("row_idx"),
+        F.lit(0).cast("long").alias("row_part"),
+        "report_date",
+    )
+    return rows.unionByName(footers)
