@@ -37,10 +37,11 @@ class Paths:
     """Folder layout under one base path on shared storage."""
 
     base: str
+    incoming_dir: str | None = None  # delivered reports, if kept elsewhere
 
     @property
     def incoming(self) -> str:
-        return f"{self.base}/incoming"
+        return self.incoming_dir or f"{self.base}/incoming"
 
     def zone(self, name: str, day: _dt.date) -> str:
         return f"{self.base}/lake/{name}/run_date={day.isoformat()}"

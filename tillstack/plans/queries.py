@@ -442,10 +442,19 @@ def q_partitioned_fact(r: Run):
     return paths.fact.read(r.spark)
 
 
+_LANDED: dict = {}
+
+
 def _landed(r: Run) -> P.Paths:
-    paths = P.Paths(run_dir(r.spark, "flow"))
-    K.land_reports(daily_report(r.spark, r.sf_dir), paths.incoming)
-    return paths
+    """Fresh tables for this query over the daily report files, which are
+    written once per session and data folder (they never change)."""
+    key = (r.spark.sparkContext.applicationId, r.sf_dir)
+    incoming = _LANDED.get(key)
+    if incoming is None or not K.path_exists(r.spark, incoming):
+        incoming = run_dir(r.spark, "incoming")
+        K.land_reports(daily_report(r.spark, r.sf_dir), incoming)
+        _LANDED[key] = incoming
+    return P.Paths(run_dir(r.spark, "flow"), incoming)
 
 
 def _day_of(col: str = "source_file"):
