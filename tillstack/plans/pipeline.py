@@ -83,6 +83,20 @@ def _unprocessed(spark: SparkSession, paths: Paths, raw: DataFrame) -> DataFrame
     return raw.join(done, raw.source_file == done._done, "left_anti")
 
 
+def merge_candidates(target: DataFrame, batch: DataFrame, col: str = "payment_time") -> DataFrame:
+    """The target rows a batch can collide with: merge keys include
+    ``payment_time``, so only target rows inside the batch's time window (or
+    with a null time) can match.  The window is two literals (one tiny
+    aggregate of the batch), so the range filter is pushed into the Parquet
+    scan and row groups of older history are skipped instead of read."""
+    w = batch.agg(F.min(col).alias("lo"), F.max(col).alias("hi"),
+                  F.count_if(F.col(col).isNull()).alias("nulls")).first()
+    cond = F.col(col).between(w.lo, w.hi) if w.lo is not None else F.lit(False)
+    if w.nulls:
+        cond = cond | F.col(col).isNull()
+    return target.filter(cond)
+
+
 def ingest(spark: SparkSession, paths: Paths, raw: DataFrame, run_day: _dt.date,
            vocab: Vocabulary | None = None, now_utc: _dt.datetime | None = None,
            enforce: bool = True) -> dict:
@@ -101,9 +115,11 @@ def ingest(spark: SparkSession, paths: Paths, raw: DataFrame, run_day: _dt.date,
     temp_good = spark.read.schema(S.STAGING).parquet(good_path)
     temp_bad = spark.read.schema(S.QUARANTINE).parquet(bad_path)
     # UPS1/UPS2: insert-if-absent merges.
-    counts["staged"] = paths.staging.append(spark, U.merge_insert(paths.staging.read(spark), temp_good))
+    staging_hits = merge_candidates(paths.staging.read(spark), temp_good)
+    counts["staged"] = paths.staging.append(spark, U.merge_insert(staging_hits, temp_good))
+    quarantine_hits = merge_candidates(paths.quarantine.read(spark), temp_bad)
     counts["quarantine_added"] = paths.quarantine.append(
-        spark, U.merge_insert(paths.quarantine.read(spark), temp_bad, reprocessed=None))
+        spark, U.merge_insert(quarantine_hits, temp_bad, reprocessed=None))
     results = C.check_suite({
         "staging_fact_sales": (paths.staging.read(spark), C.STAGING_CHECKS),
         "fact_sales_quarantine": (paths.quarantine.read(spark), C.QUARANTINE_CHECKS),
