@@ -74,3 +74,30 @@ def test_conform_fills_missing_columns(spark):
     df = spark.createDataFrame([("1", "x")], "order_id string, extra string")
     out = conform(df, STAGING)
     assert out.columns == STAGING.names and out.first().items is None
+
+
+def test_keep_unparsed_sends_pastry_without_flavor_to_quarantine(spark):
+    from tillstack.operators.clean import clean_report
+    raw = spark.createDataFrame(
+        [("1", "Croissant x2, Latte x1, Filler", "100", "100", "2026-03-22 09:00:00", "-", "-", "Dine-in", "f", 0, 0)],
+        "order_id string, products string, product_amount string, received_amount string, payment_time string, "
+        "cash string, gcash string, `type/channel` string, source_file string, row_idx long, row_part long")
+    dropped = clean_report(raw, spark, drop_last_row=False, persist=False)
+    kept = clean_report(raw, spark, drop_last_row=False, persist=False, keep_unparsed=True)
+    assert dropped.count() == 2 and kept.count() == 3
+    q = quarantine_rows(kept, dt.datetime(2026, 3, 23), with_all_reasons=True)
+    row = q.filter("items IS NULL").first()
+    assert row.quarantine_reason == "Uncategorized category"
+    assert set(row.quarantine_reasons) == {"Null item name", "Uncategorized sub_category", "Uncategorized category"}
+
+
+def test_hash_product_key_is_stable(spark):
+    from tillstack.operators.dims import dim_product
+    from tillstack.sources import seeds
+    v = seeds.Vocabulary()
+    a = {r.items + str(r.variation) + str(r.size): r.product_key
+         for r in dim_product(seeds.products_seed(spark, v), key="hash").df.collect()}
+    grown = seeds.Vocabulary(catalog=[("Aaa First", "Coffee Based", "Beverages", None, None)] + list(v.catalog))
+    b = {r.items + str(r.variation) + str(r.size): r.product_key
+         for r in dim_product(seeds.products_seed(spark, grown), key="hash").df.collect()}
+    assert all(b[k] == a[k] for k in a) and len(set(a.values())) == len(a)

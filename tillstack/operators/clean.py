@@ -91,16 +91,23 @@ def add_payment_type(df: DataFrame) -> DataFrame:
     return df.withColumn("payment_type", N.payment_type(cash, gcash))
 
 
-def keep_columns(df: DataFrame) -> DataFrame:
+def keep_columns(df: DataFrame, extra=()) -> DataFrame:
     """PRJ1: listed columns that exist, in order, plus lineage."""
     keep = [c for c in KEEP_COLUMNS if c in df.columns]
-    lineage = [c for c in LINE_ORDER if c in df.columns]
+    lineage = [c for c in [*LINE_ORDER, *extra] if c in df.columns]
     return df.select(*[F.col(f"`{c}`") for c in keep + lineage])
 
 
-def drop_missing_items(df: DataFrame) -> DataFrame:
-    """FLT2: a null item (unparsed pastry, null cell) or the text ``nan``."""
-    return df.filter(F.col("clean_item").isNotNull() & (F.col("clean_item") != FV.MISSING_TEXT))
+def drop_missing_items(df: DataFrame, keep_unparsed: bool = False) -> DataFrame:
+    """FLT2: a null item (unparsed pastry, null cell) or the text ``nan``.
+
+    ``keep_unparsed`` (Q3) keeps pastry lines whose flavor was not
+    recognised (null item, real product text), so they reach quarantine as
+    ``Null item name`` instead of vanishing."""
+    kept = F.col("clean_item").isNotNull() & (F.col("clean_item") != FV.MISSING_TEXT)
+    if keep_unparsed and "product_list" in df.columns:
+        kept = kept | (F.col("clean_item").isNull() & (F.col("product_list") != FV.MISSING_TEXT))
+    return df.filter(kept)
 
 
 def finish_columns(df: DataFrame) -> DataFrame:
@@ -179,23 +186,28 @@ def parse_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary) -> DataFr
 
 
 def finished_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
-                   persist: bool = True) -> DataFrame:
+                   persist: bool = True, keep_unparsed: bool = False) -> DataFrame:
     """Parsed lines after FLT2 and the column cleanup, before the file-order
     steps.  Those steps read the lines twice (an aggregate, then a join back),
     so by default they are persisted once (memory, spilling to disk) instead
     of parsing every line twice."""
+    extra = ("product_list",) if keep_unparsed else ()
     out = (parse_lines(df, spark, vocab or Vocabulary())
-           .transform(keep_columns)
-           .transform(drop_missing_items)
+           .transform(lambda d: keep_columns(d, extra))
+           .transform(lambda d: drop_missing_items(d, keep_unparsed))
            .transform(finish_columns))
+    if keep_unparsed:
+        out = out.drop("product_list")
     return out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
 
 
 def clean_report(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
-                 drop_last_row: bool = True, keys=FV.DEDUP_KEYS, persist: bool = True) -> DataFrame:
+                 drop_last_row: bool = True, keys=FV.DEDUP_KEYS, persist: bool = True,
+                 keep_unparsed: bool = False) -> DataFrame:
     """MDL8: normalised report → clean item lines, in the reference order.
 
     The output keeps the lineage columns ``source_file, row_idx, row_part,
     pos``; ``conform`` drops what a load schema does not list.
     """
-    return keep_first_drop_last(finished_lines(df, spark, vocab, persist), keys, drop_last_row)
+    lines = finished_lines(df, spark, vocab, persist, keep_unparsed)
+    return keep_first_drop_last(lines, keys, drop_last_row)

@@ -11,16 +11,20 @@ from tillstack.sources import seeds
 from tillstack.sources.seeds import Sized, Vocabulary
 
 
-def dim_product(seed: Sized) -> Sized:
+def dim_product(seed: Sized, key: str = "row_number") -> Sized:
     """MDL1: catalog rows numbered by (category, sub_category, items,
     variation, size), nulls first.  The window has no partition key: it runs
-    in one task, which is right for a catalog (its size is ``seed.rows``)."""
-    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in
-                         ["category", "sub_category", "items", "variation", "size"]])
-    df = seed.df.select(
-        F.row_number().over(w).cast("int").alias("product_key"),
-        "items", "sub_category", "category", "variation", "size",
-    )
+    in one task, which is right for a catalog (its size is ``seed.rows``).
+
+    ``key="hash"`` (Q11) gives a key that does not shift when the catalog
+    grows: ``xxhash64`` of the natural key (items, variation, size)."""
+    if key == "hash":
+        k = F.xxhash64("items", "variation", "size").alias("product_key")
+    else:
+        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in
+                             ["category", "sub_category", "items", "variation", "size"]])
+        k = F.row_number().over(w).cast("int").alias("product_key")
+    df = seed.df.select(k, "items", "sub_category", "category", "variation", "size")
     return Sized(df, seed.rows)
 
 

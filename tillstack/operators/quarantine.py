@@ -39,16 +39,29 @@ def quarantine_reason() -> Column:
     )
 
 
+def all_reasons() -> Column:
+    """Q19 option: every rule a row breaks, not only the winning one."""
+    rules = [
+        (F.col("items").isNull(), FV.REASON_NULL_ITEM),
+        (F.col("total_order_amount").isNull(), FV.REASON_NULL_AMOUNT),
+        (F.col("order_id").isNull(), FV.REASON_NULL_ORDER),
+        (null_false(F.col("quantity") <= 0), FV.REASON_BAD_QUANTITY),
+        (null_false(F.col("sub_category") == FV.UNCATEGORIZED), FV.REASON_UNCAT_SUB),
+        (null_false(F.col("category") == FV.UNCATEGORIZED), FV.REASON_UNCAT_CATEGORY),
+    ]
+    return F.filter(F.array(*[F.when(c, F.lit(r)) for c, r in rules]), lambda x: x.isNotNull())
+
+
 def good_rows(df: DataFrame) -> DataFrame:
     return df.filter(~bad_mask(df))
 
 
 def quarantine_rows(df: DataFrame, now_utc: _dt.datetime | None = None,
-                    tz: str = FV.QUARANTINE_TIMEZONE) -> DataFrame:
-    return df.filter(bad_mask(df)).withColumns({
-        "quarantine_reason": quarantine_reason(),
-        "quarantine_timestamp": local_today(tz, now_utc),
-    })
+                    tz: str = FV.QUARANTINE_TIMEZONE, with_all_reasons: bool = False) -> DataFrame:
+    cols = {"quarantine_reason": quarantine_reason(), "quarantine_timestamp": local_today(tz, now_utc)}
+    if with_all_reasons:
+        cols["quarantine_reasons"] = all_reasons()
+    return df.filter(bad_mask(df)).withColumns(cols)
 
 
 def split_good_bad(df: DataFrame, now_utc: _dt.datetime | None = None,
