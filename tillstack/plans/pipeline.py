@@ -58,11 +58,11 @@ class Paths:
 
     @property
     def staging(self) -> K.Table:
-        return self.table("staging_fact_sales", S.STAGING_FLAGGED)
+        return self.table("staging_fact_sales", S.STAGING_FLAGGED, ["sale_date"])
 
     @property
     def quarantine(self) -> K.Table:
-        return self.table("fact_sales_quarantine", S.QUARANTINE)
+        return self.table("fact_sales_quarantine", S.QUARANTINE, ["sale_date"])
 
     @property
     def fact(self) -> K.Table:
@@ -79,7 +79,7 @@ class Paths:
 
 def _unprocessed(spark: SparkSession, paths: Paths, raw: DataFrame) -> DataFrame:
     """SNK7 ledger: skip files already ingested (anti join on the file)."""
-    done = paths.ledger.read(spark).select(F.col("source_file").alias("_done"))
+    done = paths.ledger.read(spark).select(F.col("source_file").alias("_done")).distinct()
     return raw.join(done, raw.source_file == done._done, "left_anti")
 
 
@@ -92,6 +92,11 @@ def merge_candidates(target: DataFrame, batch: DataFrame, col: str = "payment_ti
     w = batch.agg(F.min(col).alias("lo"), F.max(col).alias("hi"),
                   F.count_if(F.col(col).isNull()).alias("nulls")).first()
     cond = F.col(col).between(w.lo, w.hi) if w.lo is not None else F.lit(False)
+    if w.lo is not None and "sale_date" in target.columns:
+        # day-partitioned targets: the same window on the partition column
+        # prunes whole day directories before any file is opened
+        days = [F.to_date(F.lit(v).try_cast("timestamp_ntz")) for v in (w.lo, w.hi)]
+        cond = cond & (F.col("sale_date").between(*days) | F.col("sale_date").isNull())
     if w.nulls:
         cond = cond | F.col(col).isNull()
     return target.filter(cond)

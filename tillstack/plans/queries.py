@@ -487,7 +487,7 @@ def q_run_day(r: Run):
     days = _report_days(paths, r.spark)
     P.run_range(r.spark, paths, days[0] + _dt.timedelta(days=1), days[-1], r.vocab, RUN_NOW, enforce=False)
     P.run_day(r.spark, paths, days[-1] + _dt.timedelta(days=1), r.vocab, RUN_NOW, enforce=False)
-    return paths.staging.read(r.spark).withColumn("source_file", _day_of())
+    return paths.staging.read(r.spark).withColumn("source_file", _day_of()).select(*STAGING_FLAGGED.names)
 
 
 SPARK: dict[str, Callable[[Run], DataFrame]] = {
