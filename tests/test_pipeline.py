@@ -101,3 +101,19 @@ def test_hash_product_key_is_stable(spark):
     b = {r.items + str(r.variation) + str(r.size): r.product_key
          for r in dim_product(seeds.products_seed(spark, grown), key="hash").df.collect()}
     assert all(b[k] == a[k] for k in a) and len(set(a.values())) == len(a)
+
+
+def test_merge_reads_only_the_batch_window(spark, run):
+    from tillstack.plans import pipeline as P
+    from tillstack.session import run_dir
+    paths = P.Paths(run_dir(spark, "prune"))
+    paths.staging.append(spark, U.with_flag(run.staging))
+    batch = run.staging.filter(F.col("payment_time").startswith("2001-07"))
+    hits = P.merge_candidates(paths.staging.read(spark), batch)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.split("\n") if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [" in scan and "sale_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "payment_time" in scan.split("PushedFilters: [")[1].split("]")[0]
+    expected = run.staging.filter(F.col("payment_time").between(
+        batch.agg(F.min("payment_time")).first()[0], batch.agg(F.max("payment_time")).first()[0])).count()
+    assert hits.count() == expected
