@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tillstack.plans import pipeline as P
+from tillstack.plans import flows as P
 from tillstack.plans import queries as Q
 from tillstack.session import run_dir
 from tillstack.sources import sinks as K

@@ -104,7 +104,7 @@ def test_hash_product_key_is_stable(spark):
 
 
 def test_merge_reads_only_the_batch_window(spark, run):
-    from tillstack.plans import pipeline as P
+    from tillstack.plans import flows as P
     from tillstack.session import run_dir
     paths = P.Paths(run_dir(spark, "prune"))
     paths.staging.append(spark, U.with_flag(run.staging))

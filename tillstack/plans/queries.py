@@ -26,7 +26,7 @@ from tillstack.operators.dims import Dims, dim_date_for
 from tillstack.operators.fact import build_fact
 from tillstack.operators.quarantine import bad_mask, good_rows, quarantine_rows
 from tillstack.plans import oracle as O
-from tillstack.plans import pipeline as P
+from tillstack.plans import flows as P
 from tillstack.schemas import QUARANTINE, STAGING, STAGING_FLAGGED, conform
 from tillstack.session import configure, run_dir
 from tillstack.sources import sinks as K

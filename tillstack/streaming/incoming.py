@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tillstack.plans import pipeline as P
+from tillstack.plans import flows as P
 from tillstack.sources.reports import normalize_headers
 from tillstack.sources.seeds import Vocabulary
 
