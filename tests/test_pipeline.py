@@ -117,3 +117,30 @@ def test_merge_reads_only_the_batch_window(spark, run):
     expected = run.staging.filter(F.col("payment_time").between(
         batch.agg(F.min("payment_time")).first()[0], batch.agg(F.max("payment_time")).first()[0])).count()
     assert hits.count() == expected
+
+
+def test_file_order_steps_use_no_window(run):
+    from tillstack.operators.clean import keep_first_drop_last
+    df = keep_first_drop_last(run.finished)
+    df.write.format("noop").mode("overwrite").save()
+    plan = _plan(df)
+    assert "Window" not in plan.split("InMemoryTableScan")[0]
+    assert "SortAggregate" in plan or "HashAggregate" in plan
+
+
+def test_hot_file_dedup_matches_window_semantics(spark):
+    """One file holding most rows, many copies of one key: the aggregate +
+    semi-join form keeps exactly the first line of each key and drops the
+    file's last line, as the row-order rule says."""
+    from pyspark.sql import Window
+    from tillstack.operators.clean import keep_first_drop_last
+    rows = [("hot", i // 3, 0, i % 3, "o1" if i % 5 else "o2", "Latte", "t") for i in range(3000)]
+    rows += [("cold", i, 0, 0, f"c{i}", "Tea", "t") for i in range(10)]
+    df = spark.createDataFrame(rows, "source_file string, row_idx long, row_part long, pos int, "
+                                     "order_id string, items string, payment_time string")
+    got = {tuple(r) for r in keep_first_drop_last(df).collect()}
+    last = Window.partitionBy("source_file").orderBy(F.desc("row_idx"), F.desc("row_part"), F.desc("pos"))
+    first = Window.partitionBy("source_file", "order_id", "items", "payment_time").orderBy("row_idx", "row_part", "pos")
+    ref = (df.withColumn("l", F.row_number().over(last)).filter("l > 1").drop("l")
+           .withColumn("f", F.row_number().over(first)).filter("f = 1").drop("f"))
+    assert got == {tuple(r) for r in ref.collect()}

@@ -114,7 +114,8 @@ class Run:
 
     @cached_property
     def loaded(self) -> DataFrame:
-        return U.load_fixed(self.staging, self.edited_quarantine)
+        # read by several branches (staging2, the quarantine delete, counts)
+        return U.load_fixed(self.staging, self.edited_quarantine).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def staging2(self) -> DataFrame:
