@@ -144,3 +144,34 @@ def test_hot_file_dedup_matches_window_semantics(spark):
     ref = (df.withColumn("l", F.row_number().over(last)).filter("l > 1").drop("l")
            .withColumn("f", F.row_number().over(first)).filter("f = 1").drop("f"))
     assert got == {tuple(r) for r in ref.collect()}
+
+
+def test_typed_seed_csvs_and_calendar(spark):
+    import csv
+    import os
+
+    from tillstack import catalog as CAT
+    from tillstack.operators.dims import dim_date, dim_product
+    from tillstack.session import run_dir
+    from tillstack.sources import seeds
+    base = run_dir(spark, "seeds").replace("file:", "")
+    os.makedirs(base, exist_ok=True)
+    with open(f"{base}/products.csv", "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["items", "sub_category", "category", "variation", "size"])
+        w.writerows([[("" if v is None else v) for v in row] for row in CAT.CATALOG])
+    with open(f"{base}/holidays.csv", "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["holiday_date", "holiday_name", "holiday_type"])
+        w.writerows([[d.isoformat(), n, t] for d, n, t in CAT.holiday_rows(2026, 2027)])
+    prod = seeds.read_products_seed(spark, f"{base}/products.csv")
+    assert sorted(map(tuple, prod.collect()), key=repr) == sorted(CAT.CATALOG, key=repr)
+    keys = dim_product(seeds.Sized(prod, len(CAT.CATALOG))).df
+    assert keys.select("product_key").distinct().count() == len(CAT.CATALOG)
+    hol = seeds.read_holidays_seed(spark, f"{base}/holidays.csv")
+    cal = dim_date(spark, "2026-01-01", "2027-12-31", holidays=hol)
+    assert cal.count() == 730
+    assert cal.filter("is_holiday").count() == 12
+    d = cal.filter("date_key = 20261225").first()
+    assert (d.day_of_week, d.month_name, d.is_weekend, d.holiday_type) == ("Friday", "December", False, "Regular")
+    assert cal.filter("is_weekend").count() == 208
