@@ -5,12 +5,13 @@ order's lines (``lineitem``) as free text, plus one blank footer row per
 monthly report file.  Headers come as delivered (``Order ID`` …) so the
 pipeline's header normalisation runs too.
 
-Plan: lines are turned into item text by a narrow projection, grouped into
-report cells by ``(l_orderkey, cell)`` with ``cell = (l_linenumber-1) div
-CELL_LINES`` — a partial aggregate, and no cell holds more than
-``CELL_LINES`` line numbers, so one huge order becomes many bounded cells
-spread over many tasks instead of one giant string — and then left-joined
-to ``orders`` (unique per key) with a sort-merge join.  Footers are one partial aggregate per file.
+Plan: the needed line fields are grouped into report cells by
+``(l_orderkey, cell)`` with ``cell = (l_linenumber-1) div CELL_LINES`` — a
+partial aggregate, and no cell holds more than ``CELL_LINES`` line numbers,
+so one huge order becomes many bounded cells spread over many tasks instead
+of one giant string.  Item text is built on the reducers after ordering each
+cell, and cells are left-joined to ``orders`` (unique per key) with a
+sort-merge join.  Footers are one partial aggregate per file.
 """
 
 from __future__ import annotations
@@ -46,12 +47,13 @@ def _pick(options, key: Column) -> Column:
     return F.element_at(arr, (F.pmod(key, F.lit(len(options))) + 1).cast("int"))
 
 
-def item_text(li: DataFrame) -> Column:
-    """Free-text item for one line, e.g. ``Mocha (Cold) x3``."""
-    text = _pick(TEMPLATES, F.col("l_partkey"))
+def item_text(get=F.col) -> Column:
+    """Free-text item for one line, e.g. ``Mocha (Cold) x3``; ``get`` maps a
+    lineitem column name to a Column (a struct field inside a lambda)."""
+    text = _pick(TEMPLATES, get("l_partkey"))
     for slot, (key, options) in SLOTS.items():
-        text = F.replace(text, F.lit(slot), _pick(options, F.col(key)))
-    q = F.col("l_quantity").cast("int")
+        text = F.replace(text, F.lit(slot), _pick(options, get(key)))
+    q = get("l_quantity").cast("int")
     qty = (F.when(F.pmod(q, F.lit(17)) == 0, F.lit(" x0"))
            .when(F.pmod(q, F.lit(5)) == 0, F.lit(""))
            .otherwise(F.concat(F.lit(" x"), (F.pmod(q, F.lit(4)) + 1).cast("string"))))
@@ -67,14 +69,16 @@ def raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
 
+    # The raw line fields are shuffled and the item text is built on the
+    # reducers, after ordering the cell's lines.
     lines = li.select(
         "l_orderkey",
         F.floor((F.col("l_linenumber") - 1) / CELL_LINES).cast("long").alias("cell"),
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-                 "l_shipdate", item_text(li).alias("text")).alias("line"),
+                 "l_shipdate", "l_quantity").alias("line"),
     )
     cells = lines.groupBy("l_orderkey", "cell").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x["text"]), ", ")
+        F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: item_text(lambda n: x[n])), ", ")
         .alias("products")
     )
 
