@@ -491,6 +491,16 @@ def q_run_day(r: Run):
     return paths.staging.read(r.spark).withColumn("source_file", _day_of()).select(*STAGING_FLAGGED.names)
 
 
+def q_stream_incoming(r: Run):
+    """The delivered daily files through the incoming-folder stream
+    (availableNow): every file once, each micro-batch through the daily steps."""
+    from tillstack.streaming.incoming import stream_incoming
+    paths = _landed(r)
+    stream_incoming(r.spark, paths, run_dir(r.spark, "stream-ck"), r.vocab, RUN_NOW,
+                    enforce=False).awaitTermination()
+    return paths.staging.read(r.spark).withColumn("source_file", _day_of()).select(*STAGING_FLAGGED.names)
+
+
 SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "normalize_headers": q_normalize_headers,
     "explode_items": q_explode_items,
@@ -553,6 +563,7 @@ SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "archive_ledger": q_archive_ledger,
     "run_day": q_run_day,
     "run_range": q_run_range,
+    "stream_incoming": q_stream_incoming,
 }
 
 
