@@ -19,6 +19,10 @@ PIPELINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # let AQE coalesce/split partitions inside persisted plans too (the
+    # parsed lines are persisted), instead of running them at the static
+    # shuffle-partition count
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 
