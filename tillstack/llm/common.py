@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -108,3 +109,15 @@ def byte_values(column: pa.Array) -> Iterator[bytes]:
     """The texts of an Arrow column as UTF-8 (null: empty), one at a time."""
     for v in column.cast(pa.large_binary()):
         yield v.as_py() or b""
+
+
+def laid_out(data: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """A text's words joined by one space, and where each starts and ends; no list of all words is kept."""
+    parts, sizes = [], []
+    for words in word_chunks(data):
+        if words:
+            parts.append(b" ".join(words))
+            sizes.append(np.fromiter(map(len, words), np.int64, len(words)))
+    size = np.concatenate(sizes) if sizes else np.empty(0, np.int64)
+    ends = np.cumsum(size + 1) - 1 if len(size) else size
+    return b" ".join(parts), ends - size, ends
