@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstack.llm import simhash
+from tillstack.llm import packing, quality, simhash, substring
 from tillstack.llm.common import read_table
 
 
@@ -14,8 +14,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op2_simhash(read_table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op3_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.op5_substring(read_table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op8_packing(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash}
+    return {f.__name__: f for f in (op2_simhash, op3_quality, op5_substring, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

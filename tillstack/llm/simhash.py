@@ -25,8 +25,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from tillstack.llm.common import byte_values, small_batches, stored, tasks, word_chunks
 
@@ -61,18 +61,21 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, id_col: str = "doc_id") -> DataFrame:
-    """``(id, fp)`` for each row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, id_col: str = "doc_id",
+                 row_key: Column | None = None) -> DataFrame:
+    """``(id, key, fp)`` for each row; fp is the fingerprint as a signed long, key
+    is ``row_key`` (a string expression), or null."""
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in byte_values(b.column(1))), _U64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            fps = np.fromiter((fingerprint(t, shingle) for t in byte_values(b.column(2))), _U64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["id", "key", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, StructType([StructField("id", kind), StructField("fp", LongType())]))
+    key = (F.lit(None) if row_key is None else row_key).cast("string").alias("key")
+    return docs.select(F.col(id_col).alias("id"), key, F.col(text).cast("string").alias("text")).mapInArrow(
+        run, StructType([StructField("id", kind), StructField("key", StringType()), StructField("fp", LongType())]))
 
 
 _KEYED = StructType([StructField("seg", IntegerType()), StructField("key", LongType()),
@@ -248,17 +251,29 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """``(id, fp, component_id)`` for each row of ``docs``; see the module's notes."""
-    rows = stored(fingerprints(docs, text, shingle, id_col), "simhash")
+                    max_bits: int = MAX_BITS, block: int = BLOCK, row_key: Column | None = None) -> DataFrame:
+    """``(id, key, fp, root, component_id)`` for each row of ``docs``; rows with one
+    ``root`` (a fingerprint) are one group.  See the module's notes."""
+    rows = stored(fingerprints(docs, text, shingle, id_col, row_key), "simhash")
     first = stored(rows.groupBy("fp").agg(F.min("id").alias("id")), "simhash-distinct")
     roots = stored(components(near_links(first, max_bits, block)), "simhash-roots")
     member = stored(first.join(roots, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root")), "simhash-member")
     least = member.groupBy("root").agg(F.min("id").alias("component_id"))
-    groups = stored(member.join(least, "root").select("fp", "component_id"), "simhash-groups")
+    groups = stored(member.join(least, "root").select("fp", "root", "component_id"), "simhash-groups")
     return rows.join(groups, "fp")
 
 
+def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id (null ids
+    last), then of the smallest hash of the text; of repeated rows one stays."""
+    key = F.md5(F.concat_ws("\x00", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col(text)))
+    found = near_duplicates(docs, text, id_col, row_key=key, **options)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("row"))
+    chosen = stored(first.select(F.col("row.key").alias("_row_key")), "simhash-kept")
+    return (docs.withColumn("_row_key", key).join(chosen, "_row_key", "left_semi")
+            .dropDuplicates(["_row_key"]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
 def op2_simhash(docs: DataFrame) -> DataFrame:
     """The digest of the operator: doc_id, fingerprint in 16 hex digits, component_id."""
     found = near_duplicates(docs)

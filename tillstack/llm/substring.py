@@ -184,7 +184,7 @@ def _single_windows(k: int):
     return run
 
 
-def _cut_out(k: int):
+def _cut_out(k: int, respace: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             total, gone, kept = [], [], []
@@ -195,7 +195,7 @@ def _cut_out(k: int):
                 total.append(n)
                 if not covered[r]:
                     gone.append(0)
-                    kept.append(text)
+                    kept.append(text if respace else data)
                     continue
                 edge = np.zeros(n + 1, np.int64)
                 starts = np.unique(np.asarray(covered[r], np.int64))
@@ -206,16 +206,21 @@ def _cut_out(k: int):
                 kept.append(b" ".join(text[begin[a]:end[z - 1]] for a, z in zip(turn[::2], turn[1::2])))
                 gone.append(int(n - stay.sum()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string())], ["id", "key", "n_words", "n_removed", "kept"])
+                [b.column(0), b.column(1), *b.columns[4:], pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
+                 pa.array(kept, pa.binary()).cast(pa.string())],
+                ["id", "key", *b.schema.names[4:], "n_words", "n_removed", "kept"])
     return run
 
 
 def cut_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = WINDOW, m: int = MINIMISER,
-                crowd: int = CROWD) -> DataFrame:
-    """``(id, key, n_words, n_removed, kept)`` for each row; ``kept`` is the text of
-    the words that stay, joined by one space, ``key`` the hash of the row's text
-    by which results meet their rows."""
+                crowd: int = CROWD, carry: tuple[str, ...] = (), respace: bool = True) -> DataFrame:
+    """``(id, key, *carry, n_words, n_removed, kept)`` for each row.
+
+    ``kept`` is the text of the words that stay, joined by one space (without
+    ``respace``, texts that lose nothing stay as they are); ``key`` is the hash of
+    the row's text by which results meet their rows; ``carry`` names columns of
+    ``docs`` to pass on as ``_c0``, ``_c1``...
+    """
     spark = docs.sparkSession
     small_batches(spark)
     n, kind = tasks(spark), docs.schema[id_col].dataType
@@ -254,8 +259,10 @@ def cut_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k:
                .select(F.col("id").alias("sid"), F.col("key").alias("skey"), "starts"))
     covered = stored(covered, "covered")
     small_batches(spark)
-    return rows.join(covered, here, "left").select("id", "key", "text", "starts").mapInArrow(_cut_out(k), StructType(
-        [*ident, StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType())]))
+    more = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)]
+    whole = docs.select(F.col(id_col).alias("id"), text_key(F.col(text)).alias("key"), F.col(text).cast("string").alias("text"), *more)
+    return whole.join(covered, here, "left").select("id", "key", "text", "starts", *whole.columns[3:]).mapInArrow(_cut_out(k, respace), StructType(
+        [*ident, *whole.schema.fields[3:], StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType())]))
 
 
 def op5_substring(docs: DataFrame) -> DataFrame:
