@@ -55,9 +55,9 @@ def window_minimisers(data: bytes, k: int = WINDOW, m: int = MINIMISER) -> np.nd
     h = np.concatenate(parts) if parts else np.empty(0, _U64)
     if len(h) < k:
         return np.empty(0, _U64)
-    base, width = _U64(0x9E3779B97F4A7C15), 1
+    base, width = 0x9E3779B97F4A7C15, 1
     while width < m:
-        h, base, width = h[:-width] * base + h[width:], base * base, 2 * width
+        h, base, width = h[:-width] * _U64(base) + h[width:], base * base % (1 << 64), 2 * width
     h = (h ^ (h >> _U64(29))) * _U64(0xBF58476D1CE4E5B9)
     h ^= h >> _U64(32)
     room, width = k - m + 1, 1
