@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstack.llm import packing, quality, simhash, substring
+from tillstack.llm import fixity, licenses, packing, quality, simhash, substring, topk, winnow
 from tillstack.llm.common import read_table
 
 
@@ -26,9 +26,26 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op8_packing(read_table(spark, sf_dir, "documents"))
 
 
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.op10_winnowing(read_table(spark, sf_dir, "documents"))
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.op6_topk(read_table(spark, sf_dir, "embeddings"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op9_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op1_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixity.op1_fixity(read_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op3_quality, op5_substring, op8_packing)}
+    return {f.__name__: f for f in (op1_fixity, op2_simhash, op3_quality, op5_substring, op6_topk, op8_packing, op9_licenses,
+                                   op10_winnowing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_fixity": fixity.SQL, "op6_topk": topk.SQL, "op9_licenses": licenses.oracle_sql()}
