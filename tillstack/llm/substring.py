@@ -15,8 +15,12 @@ minimiser's bucket.  There sorting puts equal windows side by side.
    and after the shuffle, so a group of copies arrives once.
 3. In each bucket the windows of the different strings are sorted; the first of
    equal ones has the owner, the smallest id.  A bucket of over ``crowd``
-   different strings (many contexts of one passage) is dealt out by whole
-   window instead, with a partial minimum.
+   different strings (many contexts of one passage) goes no task whole: its
+   strings are sorted over many tasks by the words right of the minimiser, then
+   left of it.  In such an order a neighbour shares the most words, so windows
+   that reach further have no equal; they are cut off.  What is left of the
+   strings is mostly equal and again reduced to the smallest id.  A bucket that
+   is still crowded is dealt out by whole window, with a partial minimum.
 4. Owners go back to every run by the string's SHA-256, covered words to their
    document.
 
@@ -36,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from tillstack.llm.common import (byte_values, laid_out, same, small_batches, stored, tasks, text_key,
                                   word_chunks)
@@ -48,18 +52,27 @@ _U64 = np.uint64
 _LAST = (1 << 63) - 1  # a null id's place in the order
 
 
-def window_minimisers(data: bytes, k: int = WINDOW, m: int = MINIMISER) -> np.ndarray:
-    """Each window's smallest hash of ``m`` (a power of two) consecutive words."""
+def _word_hashes(data: bytes) -> np.ndarray:
     h64 = xxhash.xxh64_intdigest
     parts = [np.fromiter(map(h64, words), _U64, len(words)) for words in word_chunks(data) if words]
-    h = np.concatenate(parts) if parts else np.empty(0, _U64)
-    if len(h) < k:
-        return np.empty(0, _U64)
+    return np.concatenate(parts) if parts else np.empty(0, _U64)
+
+
+def _sequence_hashes(h: np.ndarray, m: int) -> np.ndarray:
+    """The hash of every ``m`` (a power of two) consecutive words, given the words' hashes."""
     base, width = 0x9E3779B97F4A7C15, 1
     while width < m:
         h, base, width = h[:-width] * _U64(base) + h[width:], base * base % (1 << 64), 2 * width
     h = (h ^ (h >> _U64(29))) * _U64(0xBF58476D1CE4E5B9)
-    h ^= h >> _U64(32)
+    return h ^ (h >> _U64(32))
+
+
+def window_minimisers(data: bytes, k: int = WINDOW, m: int = MINIMISER) -> np.ndarray:
+    """Each window's smallest hash of ``m`` consecutive words."""
+    h = _word_hashes(data)
+    if len(h) < k:
+        return np.empty(0, _U64)
+    h = _sequence_hashes(h, m)
     room, width = k - m + 1, 1
     while 2 * width <= room:
         h, width = np.minimum(h[:-width], h[width:]), 2 * width
@@ -168,6 +181,85 @@ def _owners(k: int):
     return run
 
 
+def _anchored(m: int):
+    """A row for each place of the minimiser in a string: what stands left of it
+    (last word first) and right of it, and whether it stands there once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, left, right, once = [], [], [], []
+            for r, (mini, pack) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                words = pack.split(b" ")
+                places = np.flatnonzero(_sequence_hashes(_word_hashes(pack), m).view(np.int64) == mini).tolist()
+                for at in places:
+                    rows.append(r)
+                    # a space after each word: sequences that share words are neighbours in byte order
+                    left.append(b"".join(w + b" " for w in words[:at][::-1]))
+                    right.append(b"".join(w + b" " for w in words[at + m:]))
+                    once.append(len(places) == 1)
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns), pa.array(left, pa.binary()), pa.array(right, pa.binary()),
+                                              pa.array(once, pa.bool_())], [*b.schema.names, "left", "right", "once"])
+    return run
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """How many words two sequences, a space after each word, share from their start."""
+    n = 0
+    for x, y in zip(a.split(b" "), b.split(b" ")):
+        if x != y or not x:
+            break
+        n += 1
+    return n
+
+
+def _shared(side: int):
+    """Rows sorted by bucket and a side's words -> the most words that any other row
+    of the bucket shares on that side: that of a neighbour.  A neighbour in
+    another task may share everything."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: tuple[int, bytes] | None = None
+        held: list[tuple[pa.RecordBatch, int, int]] = []  # a row whose next one has not come yet, with its share so far
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = list(zip(b.column(0).to_pylist(), b.column(side).to_pylist()))
+            meet = [_common(x[1], y[1]) if x[0] == y[0] else 0 for x, y in zip([before or keys[0], *keys], keys)]
+            if before is None:
+                meet[0] = 1 << 20
+            if held:
+                row, _, share = held.pop()
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([max(share, meet[0])], pa.int32())], [*b.schema.names, "most"])
+            most = [max(x, y) for x, y in zip(meet, meet[1:])]
+            if most:
+                yield pa.RecordBatch.from_arrays([*b.slice(0, len(most)).columns, pa.array(most, pa.int32())], [*b.schema.names, "most"])
+            held, before = [(b.slice(b.num_rows - 1), 0, meet[-1])], keys[-1]
+        for row, _, _ in held:
+            yield pa.RecordBatch.from_arrays([*row.columns, pa.array([1 << 20], pa.int32())], [*row.schema.names, "most"])
+    return run
+
+
+def _trimmed(k: int, m: int):
+    """What is left of each string when windows that no other string can have are cut off both ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for mini, pack, lo, hi, left, right, once, to_right, to_left in zip(*(c.to_pylist() for c in b.columns)):
+                words, first, last = pack.split(b" "), 0, pack.count(b" ") + 1 - k  # windows first..last stay
+                if once and lo == hi:
+                    place = left.count(b" ")
+                    first = max(first, place - to_left)
+                    last = min(last, place + m + to_right - k)
+                if first <= last:
+                    out.append((mini, hashlib.sha256(pack).digest(), first, b" ".join(words[first:last + k]), lo, hi))
+            if out:
+                kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["mini", "whole", "shift", "pack", "lo", "hi"])
+    return run
+
+
 def _single_windows(k: int):
     """The windows of a crowded bucket's strings, each for itself."""
 
@@ -240,17 +332,39 @@ def cut_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k:
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")  # packed strings are of bounded length
     strings = stored(packs.groupBy("mini", "pack").agg(F.min(order).alias("lo"), F.max(order).alias("hi")), "strings")
-    crowded = stored(strings.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("mini"), "crowded")
     columns = ["mini", "pack", "lo", "hi"]
-    quiet = strings.join(crowded, "mini", "left_anti").select(columns).repartition(n, "mini").sortWithinPartitions("mini")
-    owners = quiet.mapInArrow(_owners(k), _OWNERS)
-    single = stored(strings.join(crowded, "mini", "left_semi").select(columns).mapInArrow(_single_windows(k), StructType(
+
+    def parted(some: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The strings of crowded buckets and the others."""
+        many = stored(some.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("mini"), "crowded")
+        return some.select(columns).join(many, "mini", "left_semi"), some.select(columns).join(many, "mini", "left_anti")
+
+    def sorted_owners(some: DataFrame) -> DataFrame:
+        return some.select(columns).repartition(n, "mini").sortWithinPartitions("mini").mapInArrow(_owners(k), _OWNERS)
+
+    many, few = parted(strings)
+    owners = sorted_owners(few)
+    # crowded buckets: cut off what only one string has, so that what they share becomes equal strings
+    sides = StructType([*strings.select(columns).schema.fields, StructField("left", BinaryType()), StructField("right", BinaryType()),
+                        StructField("once", BooleanType())])
+    for side, at in (("right", 5), ("left", 4)):
+        many = many.mapInArrow(_anchored(m), sides) if side == "right" else many
+        schema = StructType([*many.schema.fields, StructField("most", IntegerType())])
+        many = (many.repartitionByRange(n, "mini", side).sortWithinPartitions("mini", side).mapInArrow(_shared(at), schema)
+                .withColumnRenamed("most", f"to_{side}"))
+    cut = stored(many.mapInArrow(_trimmed(k, m), "mini long, whole binary, shift int, pack binary, lo long, hi long").distinct(), "trimmed")
+    again, fewer = parted(stored(cut.groupBy("mini", "pack").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "shared-strings"))
+    # what is crowded still has many different shared contexts: each window for itself
+    single = stored(again.mapInArrow(_single_windows(k), StructType(
         [*_OWNERS.fields[:2], StructField("i", IntegerType()), StructField("w", BinaryType()), StructField("lo", LongType()),
          StructField("hi", LongType())])), "single-windows")
     first = stored(single.groupBy("w").agg(F.min("lo").alias("own"), F.max("hi").alias("top")).filter("own < top").select("w", "own"), "first-windows")
     dealt = (single.join(first, "w").groupBy("mini", "sid")
              .agg(F.collect_list("i").alias("at"), F.collect_list("own").alias("own")))
-    owners = stored(owners.unionByName(dealt), "owners")
+    shared = stored(sorted_owners(fewer).unionByName(dealt), "shared-owners")
+    back = (cut.select("mini", "whole", "shift", F.unhex(F.sha2("pack", 256)).alias("sid")).join(shared, ["mini", "sid"])
+            .select("mini", F.col("whole").alias("sid"), F.expr("transform(at, x -> x + shift)").alias("at"), "own"))
+    owners = stored(owners.unionByName(back), "owners")
 
     packs = packs.withColumn("sid", F.unhex(F.sha2("pack", 256))).select("mini", "sid", "id", "key", "start")
     starts = F.expr(f"transform(filter(arrays_zip(at, own), x -> x.own < coalesce(cast(id as long), {_LAST})), x -> start + x.at)")
