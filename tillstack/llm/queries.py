@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstack.llm import fixity, licenses, packing, quality, simhash, substring, template, topk, winnow
+from tillstack.llm import bpe, fixity, licenses, packing, quality, simhash, substring, template, topk, winnow
 from tillstack.llm.common import read_table
 
 
@@ -38,6 +38,10 @@ def op4_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template.op4_template(read_table(spark, sf_dir, "pages"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.op7_bpe(read_table(spark, sf_dir, "documents"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op9_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op1_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fixity, op2_simhash, op3_quality, op4_template, op5_substring, op6_topk, op8_packing, op9_licenses,
+    return {f.__name__: f for f in (op1_fixity, op2_simhash, op3_quality, op4_template, op5_substring, op6_topk, op7_bpe, op8_packing, op9_licenses,
                                    op10_winnowing)}
 
 
