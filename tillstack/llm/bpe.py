@@ -30,12 +30,13 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import tiktoken
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from tokenizers import Regex, pre_tokenizers
+
 from tillstack.llm.common import small_batches, stored
 
 BLOCK_WORDS, LONG, BUCKETS = 1 << 20, 256, 1 << 16
@@ -94,8 +95,9 @@ def word_blocks(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     def split(words: pa.Array, odd: pa.Array) -> pa.Array:
         if odd.null_count == len(odd):
             return words
-        pattern = regex.compile(public_tokenizers.PATTERN)
-        return pa.array([w if t is None else pattern.findall(t) for w, t in zip(words.to_pylist(), odd.to_pylist())], pa.list_(pa.string()))
+        by = pre_tokenizers.Split(Regex(public_tokenizers.PATTERN), "isolated")
+        return pa.array([w if t is None else [x for x, _ in by.pre_tokenize_str(t)] for w, t in zip(words.to_pylist(), odd.to_pylist())],
+                        pa.list_(pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -133,7 +135,7 @@ def word_blocks(docs: DataFrame, text: str, id_col: str) -> DataFrame:
             yield made()
 
     whole = F.col(text).cast("string")
-    # a text with signs that this JVM's Unicode does not know yet is split in Python
+    # a text with signs that this JVM's Unicode does not know yet is split by the tokenizers library, which agrees with tiktoken
     odd = F.coalesce(whole.rlike(r"\p{Cn}"), F.lit(False))
     return docs.select(F.col(id_col).alias("id"), F.when(odd, F.array().cast("array<string>")).otherwise(split_words(whole)).alias("words"),
                        F.when(odd, whole).alias("odd")).mapInArrow(
