@@ -35,7 +35,7 @@ from tillstack.llm.common import small_batches, stored
 
 CAPACITY, END_ID = 2048, 0
 #: Pieces of one length that are numbered in one task.
-CELL = 1000
+CELL = 256
 #: The split pattern's ASCII-and-Unicode form is the vocabulary's own; words beyond this length go to
 #: the other library, whose merges do not slow down with the square of a word's length.
 LONG_WORD = 2000
