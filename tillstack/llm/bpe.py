@@ -39,7 +39,7 @@ from tokenizers import Regex, pre_tokenizers
 
 from tillstack.llm.common import small_batches, stored
 
-BLOCK_WORDS, LONG, BUCKETS = 1 << 20, 256, 1 << 16
+BLOCK_WORDS, LONG, BUCKETS = 1 << 22, 256, 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

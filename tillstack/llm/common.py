@@ -59,7 +59,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     _made.append((jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath))
     return spark.read.schema(df.schema).parquet(path)
