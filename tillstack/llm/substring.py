@@ -67,16 +67,36 @@ def _sequence_hashes(h: np.ndarray, m: int) -> np.ndarray:
     return h ^ (h >> _U64(32))
 
 
-def window_minimisers(data: bytes, k: int = WINDOW, m: int = MINIMISER) -> np.ndarray:
-    """Each window's smallest hash of ``m`` consecutive words."""
+def window_minimisers(data: bytes, k: int = WINDOW, m: int = MINIMISER) -> tuple[np.ndarray, np.ndarray]:
+    """Each window's bucket, and whether a run must end before the window.
+
+    The bucket is the smallest hash of ``m`` consecutive words.  A window in which
+    that hash occurs more than once (a repetitive text) has a bucket of its own
+    kind, so that elsewhere all windows of a run share one place of the hash.
+    """
     h = _word_hashes(data)
     if len(h) < k:
-        return np.empty(0, _U64)
+        return np.empty(0, _U64), np.empty(0, bool)
     h = _sequence_hashes(h, m)
-    room, width = k - m + 1, 1
+
+    def joined(a, b):
+        low = np.minimum(a[0], b[0])
+        return low, np.where(a[0] == low, a[1], 0).astype(np.uint8) + np.where(b[0] == low, b[1], 0).astype(np.uint8)
+
+    room, windows = k - m + 1, len(h) - (k - m)
+    parts, width = [(h, np.ones(len(h), np.uint8))], 1  # smallest hash and its number, over 1, 2, 4... places
     while 2 * width <= room:
-        h, width = np.minimum(h[:-width], h[width:]), 2 * width
-    return np.minimum(h[:len(h) - (room - width)], h[room - width:])
+        low, n = parts[-1]
+        parts.append(joined((low[:-width], n[:-width]), (low[width:], n[width:])))
+        width *= 2
+    found, at = None, 0
+    for bit in range(len(parts) - 1, -1, -1):
+        if room >> bit & 1:
+            part = tuple(x[at:at + windows] for x in parts[bit])
+            found, at = part if found is None else joined(found, part), at + (1 << bit)
+    mini, n = found
+    moved = np.concatenate(([False], (h[:windows - 1] == mini[:-1]) & (n[:-1] == 1)))  # the place falls out of the window
+    return np.where(n == 1, mini, ~mini), moved
 
 
 def _runs(k: int, m: int):
@@ -84,10 +104,10 @@ def _runs(k: int, m: int):
         for b in batches:
             rows, starts, sizes, minis = [], [], [], []
             for r, data in enumerate(byte_values(b.column(2))):
-                mini = window_minimisers(data, k, m)
+                mini, moved = window_minimisers(data, k, m)
                 if not len(mini):
                     continue
-                cut = np.concatenate(([0], np.flatnonzero(mini[1:] != mini[:-1]) + 1, [len(mini)]))
+                cut = np.concatenate(([0], np.flatnonzero((mini[1:] != mini[:-1]) | moved[1:]) + 1, [len(mini)]))
                 if (np.diff(cut) > RUN).any():  # a repetitive text: bounded strings
                     cut = np.unique(np.concatenate((cut, *(np.arange(a, z, RUN) for a, z in zip(cut, cut[1:])))))
                 rows.append(np.full(len(cut) - 1, r))
@@ -182,23 +202,21 @@ def _owners(k: int):
 
 
 def _anchored(m: int):
-    """A row for each place of the minimiser in a string: what stands left of it
-    (last word first) and right of it, and whether it stands there once."""
+    """What stands left of a string's minimiser (last word first) and right of it.
+    Strings of a repetitive bucket have no such place (``once`` is false)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, left, right, once = [], [], [], []
-            for r, (mini, pack) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+            left, right, once = [], [], []
+            for mini, pack in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = pack.split(b" ")
                 places = np.flatnonzero(_sequence_hashes(_word_hashes(pack), m).view(np.int64) == mini).tolist()
-                for at in places:
-                    rows.append(r)
-                    # a space after each word: sequences that share words are neighbours in byte order
-                    left.append(b"".join(w + b" " for w in words[:at][::-1]))
-                    right.append(b"".join(w + b" " for w in words[at + m:]))
-                    once.append(len(places) == 1)
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns), pa.array(left, pa.binary()), pa.array(right, pa.binary()),
+                once.append(len(places) == 1)
+                at = places[0] if once[-1] else 0
+                # a space after each word: sequences that share words are neighbours in byte order
+                left.append(b"".join(w + b" " for w in words[:at][::-1]))
+                right.append(b"".join(w + b" " for w in words[at + m:]) if once[-1] else b"")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(left, pa.binary()), pa.array(right, pa.binary()),
                                               pa.array(once, pa.bool_())], [*b.schema.names, "left", "right", "once"])
     return run
 
@@ -261,18 +279,20 @@ def _trimmed(k: int, m: int):
 
 
 def _single_windows(k: int):
-    """The windows of a crowded bucket's strings, each for itself."""
+    """The different windows of a crowded bucket's strings, each for itself, with their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            out = []
             for mini, pack, lo, hi in zip(*(c.to_pylist() for c in b.columns)):
-                ws = _windows(pack, k)
+                places: dict[bytes, list[int]] = {}
+                for i, w in enumerate(_windows(pack, k)):
+                    places.setdefault(w, []).append(i)
                 sid = hashlib.sha256(pack).digest()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([mini] * len(ws), pa.int64()), pa.array([sid] * len(ws), pa.binary()),
-                     pa.array(range(len(ws)), pa.int32()), pa.array([hashlib.sha256(w).digest() for w in ws], pa.binary()),
-                     pa.array([lo] * len(ws), pa.int64()), pa.array([hi] * len(ws), pa.int64())],
-                    ["mini", "sid", "i", "w", "lo", "hi"])
+                out += [(mini, sid, at, hashlib.sha256(w).digest(), lo, hi) for w, at in places.items()]
+            if out:
+                kinds = (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["mini", "sid", "at", "w", "lo", "hi"])
     return run
 
 
@@ -356,11 +376,11 @@ def cut_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k:
     again, fewer = parted(stored(cut.groupBy("mini", "pack").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "shared-strings"))
     # what is crowded still has many different shared contexts: each window for itself
     single = stored(again.mapInArrow(_single_windows(k), StructType(
-        [*_OWNERS.fields[:2], StructField("i", IntegerType()), StructField("w", BinaryType()), StructField("lo", LongType()),
-         StructField("hi", LongType())])), "single-windows")
+        [*_OWNERS.fields[:3], StructField("w", BinaryType()), StructField("lo", LongType()), StructField("hi", LongType())])), "single-windows")
     first = stored(single.groupBy("w").agg(F.min("lo").alias("own"), F.max("hi").alias("top")).filter("own < top").select("w", "own"), "first-windows")
-    dealt = (single.join(first, "w").groupBy("mini", "sid")
-             .agg(F.collect_list("i").alias("at"), F.collect_list("own").alias("own")))
+    dealt = (single.join(first, "w").groupBy("mini", "sid").agg(F.collect_list(F.struct("at", "own")).alias("got"))
+             .select("mini", "sid", F.flatten("got.at").alias("at"),
+                     F.flatten(F.transform("got", lambda g: F.array_repeat(g.own, F.size(g["at"])))).alias("own")))
     shared = stored(sorted_owners(fewer).unionByName(dealt), "shared-owners")
     back = (cut.select("mini", "whole", "shift", F.unhex(F.sha2("pack", 256)).alias("sid")).join(shared, ["mini", "sid"])
             .select("mini", F.col("whole").alias("sid"), F.expr("transform(at, x -> x + shift)").alias("at"), "own"))
