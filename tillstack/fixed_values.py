@@ -23,7 +23,7 @@ PASTRY_FLAVORS = [
 ]
 PASTRY_GROUP_RENAMES = {"Cookie": "Cookies"}
 PASTRY_FLAVOR_SUFFIX = "Cookie"
-QUANTITY_PATTERN = r"x\s*(\d+)"
+QUANTITY_MARK = "x"  # before a quantity: "x3", "x 3"; case-sensitive
 
 # --- FIXED VALUES: labels ----------------------------------------------------
 UNCATEGORIZED = "Uncategorized"

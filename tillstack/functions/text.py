@@ -1,9 +1,10 @@
 """Text rules as Column expressions (STR1-17, FLT10).
 
 All of them are built-in JVM expressions: no Python runs per row.  Regexes
-use Java flags chosen to behave like the Python ``re`` rules they stand for:
-``(?iu)`` is Unicode case-insensitive matching, ``(?U)`` makes ``\\s``
-Unicode whitespace, and ``(?d)`` makes ``.`` stop only at ``\\n``.
+behave like the Python ``re`` rules they stand for: ``(?iu)`` is Unicode
+case-insensitive matching, ``(?d)`` makes ``.`` stop only at ``\\n``, and white
+space is the explicit class ``SPACE`` (spreadsheets deliver no-break spaces).
+What the rules look for is an argument (``TextRules``).
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, functions as F
 
@@ -30,6 +32,29 @@ def alternation(words: Iterable[str]) -> str:
 # Every character Python's ``str.isspace()`` accepts, derived by that rule.
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace())
 
+# The same as a regex class, in escapes that Java and RE2 both read.
+SPACE = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in PY_WHITESPACE) + "]"
+
+
+@dataclass(frozen=True)
+class TextRules:
+    """What the text rules look for (UDF3); a shop passes its own."""
+
+    sizes: list = field(default_factory=lambda: list(FV.SIZE_WORDS))
+    variations: list = field(default_factory=lambda: list(FV.VARIATION_WORDS))
+    flavor_lines: list = field(default_factory=lambda: list(FV.FLAVOR_LINE_WORDS))
+    flavors: list = field(default_factory=lambda: list(FV.FLAVOR_WORDS))
+    sugar_levels: list = field(default_factory=lambda: list(FV.SUGAR_WORDS))
+    spice_levels: list = field(default_factory=lambda: list(FV.SPICE_WORDS))
+    pastry_groups: list = field(default_factory=lambda: list(FV.PASTRY_GROUPS))
+    pastry_flavors: list = field(default_factory=lambda: list(FV.PASTRY_FLAVORS))
+    pastry_renames: dict = field(default_factory=lambda: dict(FV.PASTRY_GROUP_RENAMES))
+    pastry_suffix: str = FV.PASTRY_FLAVOR_SUFFIX
+    quantity_mark: str = FV.QUANTITY_MARK
+
+
+DEFAULT_RULES = TextRules()
+
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: trim exactly the characters Python counts as
@@ -39,14 +64,14 @@ def strip_ws(c) -> Column:
 
 def title_case(c) -> Column:
     """Python ``str.title()``: upper-case the first letter of every run of
-    letters and lower-case the rest.
+    cased letters and lower-case the rest (a letter without case ends a run).
 
-    ``initcap`` only starts a word after a space, so every other non-letter
-    is first followed by a NUL + space marker (making the next letter a word
+    ``initcap`` only starts a word after a space, so everything else without
+    case is first followed by a NUL + space marker (making the next letter a word
     start), ``initcap`` runs, and the markers are removed.  All three are
     code-generated built-ins.
     """
-    marked = F.regexp_replace(_c(c), r"([^\p{L} ])", "$1\u0000 ")
+    marked = F.regexp_replace(_c(c), r"([^\p{IsLowercase}\p{IsUppercase}\p{Lt} ])", "$1\u0000 ")
     return F.regexp_replace(F.initcap(marked), "\u0000 ", "")
 
 
@@ -86,65 +111,66 @@ def _vocab(c, words) -> Column:
     return titled_match(extract_first(c, words), words)
 
 
-def extract_size(c) -> Column:  # STR1
-    return _vocab(c, FV.SIZE_WORDS)
+def extract_size(c, rules: TextRules = DEFAULT_RULES) -> Column:  # STR1
+    return _vocab(c, rules.sizes)
 
 
-def extract_variation(c) -> Column:  # STR2
-    return _vocab(c, FV.VARIATION_WORDS)
+def extract_variation(c, rules: TextRules = DEFAULT_RULES) -> Column:  # STR2
+    return _vocab(c, rules.variations)
 
 
-def extract_flavor(c) -> Column:  # STR3
-    return F.when(contains_any(c, FV.FLAVOR_LINE_WORDS), _vocab(c, FV.FLAVOR_WORDS))
+def extract_flavor(c, rules: TextRules = DEFAULT_RULES) -> Column:  # STR3
+    return F.when(contains_any(c, rules.flavor_lines), _vocab(c, rules.flavors))
 
 
-def extract_sugar(c) -> Column:  # STR4
-    return _vocab(c, FV.SUGAR_WORDS)
+def extract_sugar(c, rules: TextRules = DEFAULT_RULES) -> Column:  # STR4
+    return _vocab(c, rules.sugar_levels)
 
 
-def extract_spice(c) -> Column:  # STR5
-    return _vocab(c, FV.SPICE_WORDS)
+def extract_spice(c, rules: TextRules = DEFAULT_RULES) -> Column:  # STR5
+    return _vocab(c, rules.spice_levels)
 
 
-def extract_quantity(c) -> Column:  # STR6: case-sensitive, first match, default 1
-    digits = F.nullif(F.regexp_extract(_c(c), FV.QUANTITY_PATTERN, 1), F.lit(""))
+def extract_quantity(c, rules: TextRules = DEFAULT_RULES) -> Column:
+    """STR6: the digits after the first mark, case-sensitive; 1 without any."""
+    digits = F.nullif(F.regexp_extract(_c(c), rf"{re.escape(rules.quantity_mark)}{SPACE}*(\d+)", 1), F.lit(""))
     return F.coalesce(digits.try_cast("double"), F.lit(1.0))
 
 
-def is_pastry(c) -> Column:  # FLT10 for STR7-10
-    return contains_any(c, FV.PASTRY_GROUPS)
+def is_pastry(c, rules: TextRules = DEFAULT_RULES) -> Column:  # FLT10 for STR7-10
+    return contains_any(c, rules.pastry_groups)
 
 
-def pastry_flavor(c) -> Column:  # STR7 + STR8
-    raw = extract_first(c, FV.PASTRY_FLAVORS)
-    return strip_ws(F.regexp_replace(raw, r"(?iu)\s*" + re.escape(FV.PASTRY_FLAVOR_SUFFIX), ""))
+def pastry_flavor(c, rules: TextRules = DEFAULT_RULES) -> Column:  # STR7 + STR8
+    raw = extract_first(c, rules.pastry_flavors)
+    return strip_ws(F.regexp_replace(raw, rf"(?iu){SPACE}*{re.escape(rules.pastry_suffix)}", ""))
 
 
-def pastry_group(c) -> Column:  # STR9
-    return titled_match(extract_first(c, FV.PASTRY_GROUPS), FV.PASTRY_GROUPS, FV.PASTRY_GROUP_RENAMES)
+def pastry_group(c, rules: TextRules = DEFAULT_RULES) -> Column:  # STR9
+    return titled_match(extract_first(c, rules.pastry_groups), rules.pastry_groups, rules.pastry_renames)
 
 
-def composite_item(c) -> Column:  # STR10: null flavor -> null item
-    return F.concat(pastry_group(c), F.lit(" - "), pastry_flavor(c))
+def composite_item(c, rules: TextRules = DEFAULT_RULES) -> Column:  # STR10: null flavor -> null item
+    return F.concat(pastry_group(c, rules), F.lit(" - "), pastry_flavor(c, rules))
 
 
-def plain_item(c) -> Column:  # STR12
-    no_qty = F.regexp_replace(_c(c), r"x\s*\d+", "")
-    no_paren = F.regexp_replace(no_qty, r"(?dU)\s*\(.*\)", "")
-    return strip_ws(no_paren)
+def plain_item(c, rules: TextRules = DEFAULT_RULES) -> Column:
+    """STR12: without quantities and without what stands in parentheses."""
+    bare = F.regexp_replace(_c(c), rf"{re.escape(rules.quantity_mark)}{SPACE}*\d+", "")
+    return strip_ws(F.regexp_replace(bare, rf"(?d){SPACE}*\(.*\)", ""))
 
 
-def clean_item(c) -> Column:
+def clean_item(c, rules: TextRules = DEFAULT_RULES) -> Column:
     """Item name before corrections and title-casing (STR7-12)."""
-    return F.when(is_pastry(c), composite_item(c)).otherwise(plain_item(c))
+    return F.when(is_pastry(c, rules), composite_item(c, rules)).otherwise(plain_item(c, rules))
 
 
 def match_key(c) -> Column:  # STR15
     return F.upper(strip_ws(c))
 
 
-def blank_key(c) -> Column:  # STR16, compared null-safely
-    return F.nullif(strip_ws(c), F.lit(""))
+def blank_key(c) -> Column:  # STR16: blank and null match each other
+    return F.coalesce(F.nullif(strip_ws(c), F.lit("")), F.lit(FV.BLANK_MATCH))
 
 
 def drop_thousands(c) -> Column:  # STR17

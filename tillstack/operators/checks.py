@@ -124,16 +124,20 @@ def enforce(results: DataFrame) -> None:
         raise CheckFailed(f"error-severity checks failed: {names}")
 
 
-def store_failures(df: DataFrame, table: str, checks: list[Check], base: str) -> list[str]:
-    """CHK7/SNK13: write the failing rows of checks marked ``store_failures``
-    under ``base/audit/<check>`` (overwrite)."""
-    paths = []
-    for ch in checks:
-        if ch.store_failures:
-            path = f"{base}/audit/{ch.name(table)}"
-            failing_rows(df, ch).write.mode("overwrite").parquet(path)
-            paths.append(path)
-    return paths
+def stored_failures(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
+    """CHK7: the failing rows of the row-level checks marked ``store_failures``,
+    a row for each check it fails (``check_name`` first), in one pass over ``df``."""
+    marked = [ch for ch in checks if ch.store_failures]
+    if not marked:
+        return df.limit(0).select(F.lit("").alias("check_name"), "*")
+    failed = F.filter(F.array(*[F.when(failing_predicate(ch), F.lit(ch.name(table))) for ch in marked]), lambda x: x.isNotNull())
+    return df.select(F.explode(failed).alias("check_name"), "*")
+
+
+def store_failures(df: DataFrame, table: str, checks: list[Check], path: str) -> str:
+    """SNK13: write ``stored_failures`` under ``path``, a folder for each check."""
+    stored_failures(df, table, checks).write.partitionBy("check_name").mode("overwrite").parquet(path)
+    return path
 
 
 # --- suites (column names as they exist in the data) ------------------------

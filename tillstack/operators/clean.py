@@ -4,10 +4,9 @@ Every step is a DataFrame → DataFrame function so they chain with
 ``DataFrame.transform`` and can be tested one by one.  Nothing runs per row
 in Python.  The two steps that depend on file order (footer drop, keep-first
 dedup) avoid windows over a file or a key: a file or key may hold a third of
-all rows, and a window would put all of them in one task.  Instead each
-computes a small per-group aggregate (partial aggregation on the map side)
-and joins it back on the line's unique ordinal ``(source_file, row_idx,
-row_part, pos)``, which spreads a hot group evenly.
+all rows, and a window would put all of them in one task.  A partial aggregate
+per (file, key) keeps the first line whole, and a file's last line is one small
+row.
 """
 
 from __future__ import annotations
@@ -49,22 +48,22 @@ def drop_blank_items(df: DataFrame) -> DataFrame:
     return df.filter(stripped != "").withColumn("product_list", stripped).drop("product_text")
 
 
-def extract_attributes(df: DataFrame) -> DataFrame:
+def extract_attributes(df: DataFrame, rules: T.TextRules = T.DEFAULT_RULES) -> DataFrame:
     """STR1-6 on ``product_list``."""
     p = F.col("product_list")
     return df.withColumns({
-        "size": T.extract_size(p),
-        "variation": T.extract_variation(p),
-        "flavor": T.extract_flavor(p),
-        "sugar_level": T.extract_sugar(p),
-        "spice_level": T.extract_spice(p),
-        "quantity": T.extract_quantity(p),
+        "size": T.extract_size(p, rules),
+        "variation": T.extract_variation(p, rules),
+        "flavor": T.extract_flavor(p, rules),
+        "sugar_level": T.extract_sugar(p, rules),
+        "spice_level": T.extract_spice(p, rules),
+        "quantity": T.extract_quantity(p, rules),
     })
 
 
-def derive_item(df: DataFrame) -> DataFrame:
+def derive_item(df: DataFrame, rules: T.TextRules = T.DEFAULT_RULES) -> DataFrame:
     """STR7-12: composite pastry names or cleaned plain names."""
-    return df.withColumn("clean_item", T.clean_item("product_list"))
+    return df.withColumn("clean_item", T.clean_item("product_list", rules))
 
 
 def apply_corrections(df: DataFrame, spark: SparkSession, vocab: Vocabulary) -> DataFrame:
@@ -136,10 +135,7 @@ def drop_footer(df: DataFrame) -> DataFrame:
     map task); the anti join on the full ordinal is planned by AQE from the
     measured size of that per-file result.
     """
-    last = (df.groupBy("source_file")
-            .agg(F.max(F.struct(*ORDER_COLS, "pos")).alias("m"))
-            .select("source_file", *_ordinal_select("m")))
-    return df.join(last, on=LINE_ORDER, how="left_anti")
+    return df.join(file_lasts(df), on=LINE_ORDER, how="left_anti")
 
 
 def dedup_first(df: DataFrame, keys=FV.DEDUP_KEYS) -> DataFrame:
@@ -154,24 +150,33 @@ def dedup_first(df: DataFrame, keys=FV.DEDUP_KEYS) -> DataFrame:
     return df.join(firsts, on=LINE_ORDER, how="left_semi")
 
 
-def keep_first_drop_last(df: DataFrame, keys=FV.DEDUP_KEYS, drop_last_row: bool = True) -> DataFrame:
-    """FLT3 + WIN2 in one aggregate and one semi join.
+def keep_first_drop_last(df: DataFrame, keys=FV.DEDUP_KEYS, drop_last_row: bool = True,
+                         lasts: DataFrame | None = None) -> DataFrame:
+    """FLT3 + WIN2 in one aggregate.
 
-    Per (file, key) one partial aggregate gives the first and last ordinal;
-    the file's last line is the max of the group maxima (a tiny second
-    aggregate).  The footer drop runs before the dedup in the rule, and the
-    last line of a file is either alone in its key group (so the group
-    disappears) or a later copy (which the dedup drops anyway), so a line is
-    kept iff it is its group's first and not the file's last.  Lineage
-    columns are never null (the readers set them).
+    Per (file, key) a partial aggregate keeps the first line whole: the smallest
+    struct that starts with the ordinal.  The footer drop runs before the dedup
+    in the rule, and the last line of a file is either alone in its key group (so
+    the group disappears) or a later copy (which the dedup drops anyway), so a
+    line stays iff it is its group's first and not the file's last.  ``lasts``
+    are the files' last ordinals (default: taken from ``df``; a caller may pass
+    a cheaper relation), one small row each.  Lineage columns are never null
+    (the readers set them).
     """
-    ordinal = F.struct(*ORDER_COLS, "pos")
-    groups = df.groupBy("source_file", *keys).agg(F.min(ordinal).alias("first"), F.max(ordinal).alias("last"))
+    others = [c for c in df.columns if c not in (*keys, *LINE_ORDER)]
+    line = F.struct(*ORDER_COLS, "pos", *[F.col(f"`{c}`") for c in others])
+    first = (df.groupBy("source_file", *keys).agg(F.min(line).alias("l"))
+             .select("source_file", *keys, *[F.col(f"l.`{c}`").alias(c) for c in [*ORDER_COLS, "pos", *others]]))
     if drop_last_row:
-        per_file = groups.groupBy("source_file").agg(F.max("last").alias("file_last"))
-        groups = groups.join(per_file, "source_file").filter(F.col("first") != F.col("file_last"))
-    firsts = groups.select("source_file", *_ordinal_select("first"))
-    return df.join(firsts, on=LINE_ORDER, how="left_semi")
+        lasts = file_lasts(df) if lasts is None else lasts
+        first = first.join(lasts, on=LINE_ORDER, how="left_anti")
+    return first.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def file_lasts(df: DataFrame) -> DataFrame:
+    """The ordinal of every file's last line: a partial aggregate, a row a file."""
+    return (df.groupBy("source_file").agg(F.max(F.struct(*ORDER_COLS, "pos")).alias("m"))
+            .select("source_file", *_ordinal_select("m")))
 
 
 def parse_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary) -> DataFrame:
@@ -179,18 +184,16 @@ def parse_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary) -> DataFr
     return (df.transform(order_fields)
             .transform(explode_items)
             .transform(drop_blank_items)
-            .transform(extract_attributes)
-            .transform(derive_item)
+            .transform(lambda d: extract_attributes(d, vocab.rules))
+            .transform(lambda d: derive_item(d, vocab.rules))
             .transform(lambda d: apply_corrections(d, spark, vocab))
             .transform(lambda d: categorize(d, spark, vocab)))
 
 
 def finished_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
-                   persist: bool = True, keep_unparsed: bool = False) -> DataFrame:
+                   persist: bool = False, keep_unparsed: bool = False) -> DataFrame:
     """Parsed lines after FLT2 and the column cleanup, before the file-order
-    steps.  Those steps read the lines twice (an aggregate, then a join back),
-    so by default they are persisted once (memory, spilling to disk) instead
-    of parsing every line twice."""
+    steps.  ``persist`` is for callers that read them several times."""
     extra = ("product_list",) if keep_unparsed else ()
     out = (parse_lines(df, spark, vocab or Vocabulary())
            .transform(lambda d: keep_columns(d, extra))
@@ -201,13 +204,24 @@ def finished_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None
     return out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
 
 
+def surviving_lasts(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None, keep_unparsed: bool = False) -> DataFrame:
+    """``file_lasts`` of the surviving lines, from the item names alone: no
+    attributes, amounts or lookups are parsed for it."""
+    vocab = vocab or Vocabulary()
+    items = drop_blank_items(explode_items(df.select("source_file", *ORDER_COLS, "products")))
+    named = apply_corrections(derive_item(items, vocab.rules), spark, vocab)
+    return file_lasts(drop_missing_items(named, keep_unparsed))
+
+
 def clean_report(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
-                 drop_last_row: bool = True, keys=FV.DEDUP_KEYS, persist: bool = True,
+                 drop_last_row: bool = True, keys=FV.DEDUP_KEYS, persist: bool = False,
                  keep_unparsed: bool = False) -> DataFrame:
     """MDL8: normalised report → clean item lines, in the reference order.
 
-    The output keeps the lineage columns ``source_file, row_idx, row_part,
-    pos``; ``conform`` drops what a load schema does not list.
+    One shuffle (the keep-first aggregate), nothing persisted unless asked.  The output keeps
+    the lineage columns ``source_file, row_idx, row_part, pos``; ``conform`` drops
+    what a load schema does not list.
     """
     lines = finished_lines(df, spark, vocab, persist, keep_unparsed)
-    return keep_first_drop_last(lines, keys, drop_last_row)
+    lasts = surviving_lasts(df, spark, vocab, keep_unparsed) if drop_last_row else None
+    return keep_first_drop_last(lines, keys, drop_last_row, lasts)

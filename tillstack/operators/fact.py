@@ -8,23 +8,17 @@ until the writer's ``repartition(sale_date)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tillstack import fixed_values as FV
 from tillstack.functions.dates import date_key, to_naive_ts
 from tillstack.functions.numeric import null_false
-from tillstack.functions.text import strip_ws
+from tillstack.functions.text import blank_key, match_key
 from tillstack.operators.dims import Dims
 
 
-def _product_key_text(c) -> Column:
-    return F.upper(strip_ws(c))
-
-
-def _blank_tolerant(c) -> Column:
-    return F.coalesce(F.nullif(strip_ws(c), F.lit("")), F.lit(FV.BLANK_MATCH))
-
-
 def high_water_filter(staging: DataFrame, existing: DataFrame | None, ts_col: str = "payment_time",
                       use_flag: bool = True, cast_ts: bool = True) -> DataFrame:
     """FLT6/FLT7/FLT8: rows strictly after the target's max time, or flagged
@@ -39,19 +33,25 @@ def high_water_filter(staging: DataFrame, existing: DataFrame | None, ts_col: st
     return staging.filter(cond)
 
 
-def join_dimensions(raw: DataFrame, dims: Dims, dim_date: DataFrame | None = None) -> DataFrame:
-    """JN1-JN7 as broadcast left joins; unmatched product → −1, others → 0."""
+KEYS = ["product_key", "flavor_key", "sugar_key", "spice_key", "payment_type_key", "order_type_key"]
+#: What tells one fact line from another: recovery matches on it, nulls equal.
+LINE_GRAIN = ["order_id", "payment_time", "product_key", "flavor_key", "sugar_key", "spice_key"]
+
+
+def resolve_keys(raw: DataFrame, dims: Dims, dim_date: DataFrame | None = None) -> DataFrame:
+    """JN1-JN7 as broadcast left joins: ``raw`` with ``ts``, ``k_date`` and the six
+    keys; unmatched product → −1, others → 0."""
     dp = dims.product.hinted().select(
         F.col("product_key"),
-        _product_key_text("items").alias("dp_items"),
-        _blank_tolerant("variation").alias("dp_variation"),
-        _blank_tolerant("size").alias("dp_size"),
+        match_key("items").alias("dp_items"),
+        blank_key("variation").alias("dp_variation"),
+        blank_key("size").alias("dp_size"),
     )
     f = raw.select(
         "*",
-        _product_key_text("items").alias("k_items"),
-        _blank_tolerant("variation").alias("k_variation"),
-        _blank_tolerant("size").alias("k_size"),
+        match_key("items").alias("k_items"),
+        blank_key("variation").alias("k_variation"),
+        blank_key("size").alias("k_size"),
         to_naive_ts("payment_time").alias("ts"),
     ).withColumn("k_date", date_key(F.to_date("ts")))
     f = f.join(dp,
@@ -73,18 +73,16 @@ def join_dimensions(raw: DataFrame, dims: Dims, dim_date: DataFrame | None = Non
          .join(sp, F.coalesce("spice_level", F.lit(FV.NO_SPICE)) == F.col("d_spice"), "left")
          .join(pt, F.col("payment_type") == F.col("d_payment"), "left")
          .join(ot, F.col("order_type") == F.col("d_order"), "left"))
-    return f.select(
-        F.col("ts").alias("payment_time"),
-        F.col("k_date").alias("date_key"),
-        F.coalesce("product_key", F.lit(FV.UNKNOWN_PRODUCT_KEY)).cast("int").alias("product_key"),
-        F.coalesce("flavor_key", F.lit(FV.UNKNOWN_MEMBER_KEY)).cast("int").alias("flavor_key"),
-        F.coalesce("sugar_key", F.lit(FV.UNKNOWN_MEMBER_KEY)).cast("int").alias("sugar_key"),
-        F.coalesce("spice_key", F.lit(FV.UNKNOWN_MEMBER_KEY)).cast("int").alias("spice_key"),
-        F.coalesce("payment_type_key", F.lit(FV.UNKNOWN_MEMBER_KEY)).cast("int").alias("payment_type_key"),
-        F.coalesce("order_type_key", F.lit(FV.UNKNOWN_MEMBER_KEY)).cast("int").alias("order_type_key"),
-        "order_id", "category", "sub_category",
-        "quantity", "total_order_amount", "received_amount",
-    )
+    unknown = {"product_key": FV.UNKNOWN_PRODUCT_KEY}
+    keys = [F.coalesce(k, F.lit(unknown.get(k, FV.UNKNOWN_MEMBER_KEY))).cast("int").alias(k) for k in KEYS]
+    return f.select(*[F.col(f"`{c}`") for c in raw.columns], "ts", "k_date", *keys)
+
+
+def join_dimensions(raw: DataFrame, dims: Dims, dim_date: DataFrame | None = None) -> DataFrame:
+    """The fact rows (PRJ5-8) of staging rows."""
+    return resolve_keys(raw, dims, dim_date).select(
+        F.col("ts").alias("payment_time"), F.col("k_date").alias("date_key"), *KEYS,
+        "order_id", "category", "sub_category", "quantity", "total_order_amount", "received_amount")
 
 
 def build_fact(staging: DataFrame, dims: Dims, existing: DataFrame | None = None,
@@ -93,6 +91,38 @@ def build_fact(staging: DataFrame, dims: Dims, existing: DataFrame | None = None
     return join_dimensions(high_water_filter(staging, existing, use_flag=use_flag), dims, dim_date)
 
 
+def newest_day(fact: DataFrame):
+    """The last day partition of a day-partitioned fact, or None: partition
+    values alone, no file is opened."""
+    row = fact.select(F.max("sale_date").alias("d")).first()
+    return row.d
+
+
+def fact_increment(staging: DataFrame, dims: Dims, existing: DataFrame) -> DataFrame:
+    """UPS3 on day-partitioned tables: the rows to append to ``existing``.
+
+    The high-water mark comes from the newest day partition.  New rows are read
+    from that day's partition of staging on; rows flagged for reprocessing come
+    from all days (a pushed-down filter), minus the lines that the fact has
+    already, so a run that stopped before the flags were reset appends nothing
+    twice.  Rows of the null partition have no time to be after the mark.
+    """
+    day = newest_day(existing)
+    flagged = F.coalesce(F.col("is_reprocessed"), F.lit(False))
+    if day is None:
+        return join_dimensions(staging, dims)
+    mark = existing.filter(F.col("sale_date") == F.lit(day)).agg(F.max("payment_time").alias("t")).first().t
+    recent = staging.filter((F.col("sale_date") >= F.lit(day)) & ~flagged & (to_naive_ts("payment_time") > F.lit(mark).cast("timestamp_ntz")))
+    again = join_dimensions(staging.filter(F.col("is_reprocessed")), dims)
+    have = existing.select(*[F.col(c).alias(f"_h_{c}") for c in LINE_GRAIN])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in LINE_GRAIN])
+    days = again.agg(F.min(F.to_date("payment_time")).alias("lo"), F.max(F.to_date("payment_time")).alias("hi")).first()
+    if days.lo is not None:  # only the flagged rows' days of the fact are read
+        have_days = existing.filter(F.col("sale_date").between(F.lit(days.lo), F.lit(days.hi)))
+        have = have_days.select(*[F.col(c).alias(f"_h_{c}") for c in LINE_GRAIN])
+    return join_dimensions(recent, dims).unionByName(again.join(have, same, "left_anti"))
+
+
 def with_sale_date(fact: DataFrame) -> DataFrame:
     """SNK10 partition column: the day of ``payment_time``."""
     return fact.withColumn("sale_date", F.to_date("payment_time"))

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstack import fixed_values as FV
+from tillstack.operators.dims import Dims
+from tillstack.operators.fact import LINE_GRAIN, resolve_keys
 from tillstack.operators.quarantine import good_rows
 from tillstack.schemas import STAGING, STAGING_FLAGGED, conform
 
@@ -67,55 +69,54 @@ def load_fixed(staging: DataFrame, edited_quarantine: DataFrame, keys=FV.MERGE_K
     return merge_insert(staging, conform(passing, STAGING), keys, reprocessed=True)
 
 
-def delete_fixed(quarantine: DataFrame, loaded: DataFrame, keys=FV.MERGE_KEYS) -> DataFrame:
-    """REC2: the quarantine table without the rows REC1 loaded."""
-    r, cond = null_safe_match(quarantine, loaded, keys)
+def delete_fixed(quarantine: DataFrame, staged: DataFrame, keys=FV.MERGE_KEYS) -> DataFrame:
+    """REC2: the quarantine table without the rows whose key is among ``staged``."""
+    r, cond = null_safe_match(quarantine, staged, keys)
     return quarantine.join(r, cond, "left_anti")
 
 
-def consumed_keys(fact: DataFrame) -> DataFrame:
-    """Order keys present in the fact (a distinct, i.e. a partial aggregate)."""
-    return fact.select(F.col("order_id").alias("_c_order"),
-                       F.col("payment_time").alias("_c_time")).distinct()
+def _lines(fact: DataFrame) -> DataFrame:
+    """The different lines of fact rows (a partial aggregate)."""
+    return fact.select(*[F.col(c).alias(f"_l_{c}") for c in LINE_GRAIN]).distinct().withColumn("_l_hit", F.lit(True))
 
 
-def reset_flag(staging: DataFrame, fact: DataFrame) -> DataFrame:
-    """REC3: clear ``is_reprocessed`` on rows whose order is in the fact."""
-    c = consumed_keys(fact)
-    j = staging.join(c, (F.col("order_id") == F.col("_c_order"))
-                     & (F.col("payment_time").cast("timestamp_ntz") == F.col("_c_time")), "left")
-    return j.withColumn(
-        "is_reprocessed",
-        F.when(F.col("_c_order").isNotNull(), F.lit(False)).otherwise(F.col("is_reprocessed")),
-    ).select(*staging.columns)
+def _same_line(time: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(time if c == "payment_time" else c).eqNullSafe(F.col(f"_l_{c}")) for c in LINE_GRAIN])
+
+
+def _matched(staging: DataFrame, fact: DataFrame, dims: Dims | None) -> DataFrame:
+    """``staging`` with ``_l_hit``: whether the row is one of the lines of ``fact``."""
+    j = resolve_keys(staging, dims or Dims.build(staging.sparkSession)).join(_lines(fact), _same_line("ts"), "left")
+    return j.withColumn("_l_hit", F.coalesce("_l_hit", F.lit(False)))
+
+
+def reset_flag(staging: DataFrame, fact: DataFrame, dims: Dims | None = None) -> DataFrame:
+    """REC3: clear ``is_reprocessed`` on rows whose line is in the fact."""
+    return _matched(staging, fact, dims).withColumn(
+        "is_reprocessed", F.when(F.col("_l_hit"), F.lit(False)).otherwise(F.col("is_reprocessed"))).select(*staging.columns)
 
 
 def remove_failed(fact: DataFrame, failures: DataFrame) -> DataFrame:
-    """Drop the fact rows of failing orders before they are re-fed (the
-    fact load only appends)."""
-    c = consumed_keys(failures)
-    return fact.join(c, (F.col("order_id") == F.col("_c_order"))
-                     & (F.col("payment_time") == F.col("_c_time")), "left_anti")
+    """Drop the failing lines before they are re-fed (the fact load only appends)."""
+    return fact.join(_lines(failures), _same_line("payment_time"), "left_anti")
 
 
-def recover(staging: DataFrame, failures: DataFrame, column: str, value) -> DataFrame:
-    """REC4/REC5: set ``column`` to ``value`` on staging rows of the orders
-    in ``failures`` (fact rows of a failed check) and flag them."""
+def recover(staging: DataFrame, failures: DataFrame, column: str, value, dims: Dims | None = None) -> DataFrame:
+    """REC4/REC5: set ``column`` to ``value`` on the staging rows of the lines in
+    ``failures`` (fact rows of a failed check) and flag them; other lines of the
+    same order stay as they are."""
     staging = with_flag(staging)
-    c = consumed_keys(failures)
-    j = staging.join(c, (F.col("order_id") == F.col("_c_order"))
-                     & (F.col("payment_time").cast("timestamp_ntz") == F.col("_c_time")), "left")
-    hit = F.col("_c_order").isNotNull()
     dtype = STAGING_FLAGGED[column].dataType
+    j = _matched(staging, failures, dims)
     return j.withColumns({
-        column: F.when(hit, F.lit(value).cast(dtype)).otherwise(F.col(column)),
-        "is_reprocessed": hit | F.col("is_reprocessed"),
+        column: F.when(F.col("_l_hit"), F.lit(value).cast(dtype)).otherwise(F.col(column)),
+        "is_reprocessed": F.col("_l_hit") | F.coalesce("is_reprocessed", F.lit(False)),
     }).select(*staging.columns)
 
 
-def recover_int(staging: DataFrame, failures: DataFrame, column: str, value: int) -> DataFrame:
-    return recover(staging, failures, column, int(value))
+def recover_int(staging: DataFrame, failures: DataFrame, column: str, value: int, dims: Dims | None = None) -> DataFrame:
+    return recover(staging, failures, column, int(value), dims)
 
 
-def recover_str(staging: DataFrame, failures: DataFrame, column: str, value: str) -> DataFrame:
-    return recover(staging, failures, column, str(value))
+def recover_str(staging: DataFrame, failures: DataFrame, column: str, value: str, dims: Dims | None = None) -> DataFrame:
+    return recover(staging, failures, column, str(value), dims)

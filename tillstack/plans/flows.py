@@ -5,12 +5,18 @@ the shared folder and read back, so later steps start from storage (lineage
 is cut at every table, and a lost executor costs at most the current step).
 Cleaning a backfill is one Spark job over all its files: every file-order
 rule is scoped by ``source_file``, so this equals running day by day.
+
+Every run has an id, and lake zones, archive and audit results are folders of
+that run: nothing that an earlier run wrote is replaced, and a run without new
+files writes nothing.  Each flow can be repeated after a stop at any step.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
@@ -22,14 +28,21 @@ from tillstack.operators import upsert as U
 from tillstack.operators.audit import unmapped_rows
 from tillstack.operators.clean import clean_report
 from tillstack.operators.dims import Dims
-from tillstack.operators.fact import build_fact
-from tillstack.operators.quarantine import good_rows, quarantine_rows
+from tillstack.operators.fact import build_fact, fact_increment
+from tillstack.operators.quarantine import bad_mask, good_rows, quarantine_reason
+from tillstack.functions.dates import local_today
+from tillstack import fixed_values as FV
 from tillstack.sources import reports as RP
 from tillstack.sources import sinks as K
 from tillstack.sources.seeds import Vocabulary
 
 LEDGER = StructType([StructField("source_file", StringType()), StructField("run_date", DateType()),
                      StructField("rows", LongType()), StructField("archived_to", StringType())])
+GOOD, BAD = "good", "quarantine"
+
+
+def new_run(label: str) -> str:
+    return f"{label}-{uuid.uuid4().hex[:12]}"
 
 
 @dataclass(frozen=True)
@@ -43,15 +56,14 @@ class Paths:
     def incoming(self) -> str:
         return self.incoming_dir or f"{self.base}/incoming"
 
-    def zone(self, name: str, day: _dt.date) -> str:
-        return f"{self.base}/lake/{name}/run_date={day.isoformat()}"
+    def zone(self, name: str, run: str) -> str:
+        return f"{self.base}/lake/{name}/run={run}"
 
-    def archive(self, day: _dt.date) -> str:
-        return f"{self.base}/archive/run_date={day.isoformat()}"
+    def archive(self, name: str, run: str) -> str:
+        return f"{self.base}/archive/{name}/run={run}"
 
-    @property
-    def audit(self) -> str:
-        return f"{self.base}/audit"
+    def audit(self, name: str, run: str) -> str:
+        return f"{self.base}/audit/{name}/run={run}"
 
     def table(self, name: str, schema, partition_by=()) -> K.Table:
         return K.Table(f"{self.base}/tables/{name}", schema, tuple(partition_by))
@@ -77,128 +89,209 @@ class Paths:
         return self.table("processed_files", LEDGER)
 
 
-def _unprocessed(spark: SparkSession, paths: Paths, raw: DataFrame) -> DataFrame:
-    """SNK7 ledger: skip files already ingested (anti join on the file)."""
-    done = paths.ledger.read(spark).select(F.col("source_file").alias("_done")).distinct()
-    return raw.join(done, raw.source_file == done._done, "left_anti")
+def unprocessed(spark: SparkSession, paths: Paths, files: list[str]) -> list[str]:
+    """SNK7 ledger: the files that no run has finished; the others are not read again."""
+    if not files or not paths.ledger.exists(spark):
+        return files
+    done = paths.ledger.read(spark).filter(F.col("source_file").isin(files) if len(files) < 1000 else F.lit(True))
+    seen = {r.source_file for r in done.select("source_file").distinct().collect()}  # a row a file, like the list itself
+    return [f for f in files if f not in seen]
+
+
+def _in_days(df: DataFrame, col: str = "payment_time"):
+    """Which rows can have a time of ``df``: a condition on the day partitions
+    (times that do not parse, and null ones, are all in the null partition) and one
+    on the value itself, in its own order, that is pushed into the scan."""
+    day = F.to_date(F.col(col).cast("string").try_cast("timestamp_ntz"))
+    w = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi"), F.count_if(day.isNull()).alias("none"),
+               F.min(col).alias("first"), F.max(col).alias("last"), F.count_if(F.col(col).isNull()).alias("nulls")).first()
+    days = F.col("sale_date").between(F.lit(w.lo), F.lit(w.hi)) if w.lo is not None else F.lit(False)
+    values = F.col(col).between(F.lit(w.first), F.lit(w.last)) if w.first is not None else F.lit(False)
+    return (days | F.col("sale_date").isNull() if w.none else days) & (values | F.col(col).isNull() if w.nulls else values)
 
 
 def merge_candidates(target: DataFrame, batch: DataFrame, col: str = "payment_time") -> DataFrame:
     """The target rows a batch can collide with: merge keys include
-    ``payment_time``, so only target rows inside the batch's time window (or
-    with a null time) can match.  The window is two literals (one tiny
-    aggregate of the batch), so the range filter is pushed into the Parquet
-    scan and row groups of older history are skipped instead of read."""
-    w = batch.agg(F.min(col).alias("lo"), F.max(col).alias("hi"),
-                  F.count_if(F.col(col).isNull()).alias("nulls")).first()
-    cond = F.col(col).between(w.lo, w.hi) if w.lo is not None else F.lit(False)
-    if w.lo is not None and "sale_date" in target.columns:
-        # day-partitioned targets: the same window on the partition column
-        # prunes whole day directories before any file is opened
-        days = [F.to_date(F.lit(v).try_cast("timestamp_ntz")) for v in (w.lo, w.hi)]
-        cond = cond & (F.col("sale_date").between(*days) | F.col("sale_date").isNull())
-    if w.nulls:
-        cond = cond | F.col(col).isNull()
-    return target.filter(cond)
-
-
-def ingest(spark: SparkSession, paths: Paths, raw: DataFrame, run_day: _dt.date,
-           vocab: Vocabulary | None = None, now_utc: _dt.datetime | None = None,
-           enforce: bool = True) -> dict:
-    """Clean → split → land → load → merge ×2 → staging/quarantine checks →
-    archive + ledger.  Returns the step counts (AGG2/SNK14)."""
-    raw = _unprocessed(spark, paths, raw)
-    lines = clean_report(raw, spark, vocab)
-    counts = {}
-    good_path, bad_path = paths.zone("good", run_day), paths.zone("quarantine", run_day)
-    # SNK1/SNK2/SNK3: land both halves (the quarantine one is always written,
-    # possibly empty, so a stale batch is never re-loaded — Q16).
-    counts["good"] = K.write_parquet(S.conform(good_rows(lines), S.STAGING), good_path)
-    counts["quarantined"] = K.write_parquet(
-        S.conform(quarantine_rows(lines, now_utc), S.QUARANTINE), bad_path)
-    # SNK4/SNK5: fixed-schema loads read back from the lake zone.
-    temp_good = spark.read.schema(S.STAGING).parquet(good_path)
-    temp_bad = spark.read.schema(S.QUARANTINE).parquet(bad_path)
-    # UPS1/UPS2: insert-if-absent merges.
-    staging_hits = merge_candidates(paths.staging.read(spark), temp_good)
-    counts["staged"] = paths.staging.append(spark, U.merge_insert(staging_hits, temp_good))
-    quarantine_hits = merge_candidates(paths.quarantine.read(spark), temp_bad)
-    counts["quarantine_added"] = paths.quarantine.append(
-        spark, U.merge_insert(quarantine_hits, temp_bad, reprocessed=None))
-    results = C.check_suite({
-        "staging_fact_sales": (paths.staging.read(spark), C.STAGING_CHECKS),
-        "fact_sales_quarantine": (paths.quarantine.read(spark), C.QUARANTINE_CHECKS),
-    })
+    ``payment_time``, so only rows of the batch's day partitions can match."""
+    return target.filter(_in_days(batch, col))
+
+
+def merge(spark: SparkSession, table: K.Table, batch: DataFrame, reprocessed: bool | None = False) -> int:
+    """UPS1/UPS2 on a day-partitioned table: append what is not there; again, nothing."""
+    return table.append(spark, U.merge_insert(merge_candidates(table.read(spark), batch), batch, reprocessed=reprocessed))
+
+
+def gate(spark: SparkSession, paths: Paths, run: str, stage: str, tables: dict, enforce: bool) -> DataFrame:
+    """CHK10/CHK8: evaluate the suites once, keep their results, stop on an error."""
+    path = paths.audit(f"results/{stage}", run)
+    C.check_suite(tables).write.mode("overwrite").parquet(path)
+    results = spark.read.parquet(path)
     if enforce:
         C.enforce(results)
-    # SNK7: archive the inputs, verify by count, then record them.
-    archived = K.write_parquet(raw, paths.archive(run_day))
-    if archived != spark.read.parquet(paths.archive(run_day)).count():
-        raise RuntimeError("archive verification failed")
-    ledger = (spark.read.parquet(paths.archive(run_day)).groupBy("source_file").count()
-              .select("source_file", F.lit(run_day).alias("run_date"), F.col("count").alias("rows"),
-                      F.lit(paths.archive(run_day)).alias("archived_to")))
-    paths.ledger.append(spark, ledger)
-    counts["archived"] = archived
+    return results
+
+
+def ingest(spark: SparkSession, paths: Paths, files: list[str], run: str, vocab: Vocabulary | None = None,
+           now_utc: _dt.datetime | None = None, enforce: bool = True, fmt: str = "csv", multiline: bool = False,
+           drop_last_row: bool = True, keep_unparsed: bool = False) -> dict:
+    """Clean → land → load → merge ×2 → staging/quarantine checks → archive +
+    ledger, for the files that are not in the ledger.  Returns the step counts
+    (AGG2/SNK14) and the names of unreadable files, which stay out of the ledger."""
+    files = unprocessed(spark, paths, files)
+    scan = RP.scan_files(spark, files, fmt)
+    counts = {"files": len(scan.rows), "unreadable": scan.unreadable, "good": 0, "quarantined": 0, "staged": 0,
+              "quarantine_added": 0, "archived": 0}
+    if not scan.rows:
+        return counts
+    raw = RP.read_files(spark, files, scan, fmt, multiline)
+    lines = clean_report(raw, spark, vocab, drop_last_row, keep_unparsed=keep_unparsed)
+    bad = bad_mask(lines)
+    schema = StructType([*S.QUARANTINE.fields, StructField("half", StringType())])
+    halves = S.conform(lines.withColumns({
+        "quarantine_reason": F.when(bad, quarantine_reason()),
+        "quarantine_timestamp": F.when(bad, local_today(FV.QUARANTINE_TIMEZONE, now_utc)),
+        "half": F.when(bad, BAD).otherwise(GOOD)}), schema)
+    # SNK1-3: both halves in one write, in folders of this run
+    zone = paths.zone("lines", run)
+    K.write_parquet(halves, zone, "overwrite", ("half",))
+    # SNK4/SNK5: fixed-schema loads read back from the lake zone
+    load = spark.read.schema(schema).parquet(zone)
+    good, quarantined = (load.filter(F.col("half") == h) for h in (GOOD, BAD))
+    per_half = {r.half: r.n for r in load.groupBy("half").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts["good"], counts["quarantined"] = per_half.get(GOOD, 0), per_half.get(BAD, 0)
+    temp_good, temp_bad = S.conform(good, S.STAGING), S.conform(quarantined, S.QUARANTINE)
+    counts["staged"] = merge(spark, paths.staging, temp_good)
+    counts["quarantine_added"] = merge(spark, paths.quarantine, temp_bad, reprocessed=None)
+    # the checks' keys hold a day, so the batch's days are all that a batch can have broken
+    gate(spark, paths, run, "staging", {
+        "staging_fact_sales": (merge_candidates(paths.staging.read(spark), temp_good), C.STAGING_CHECKS),
+        "fact_sales_quarantine": (merge_candidates(paths.quarantine.read(spark), temp_bad), C.QUARANTINE_CHECKS),
+    }, enforce)
+    counts["archived"] = archive(spark, paths, run, raw, load, scan, counts)
     return counts
 
 
-def build_models(spark: SparkSession, paths: Paths, vocab: Vocabulary | None = None,
-                 enforce: bool = True) -> dict:
-    """Incremental fact + unmapped audit, then the fact checks (CHK7 store
-    failures, CHK8 circuit breaker)."""
+def archive(spark: SparkSession, paths: Paths, run: str, raw: DataFrame, halves: DataFrame, scan: RP.Scan, counts: dict) -> int:
+    """SNK7: the delivered rows and both halves into the run's archive, compared
+    with the source's own counts, then the ledger."""
+    to = paths.archive("raw", run)
+    K.write_parquet(raw, to, "overwrite", ("report_date",))
+    held = {r.source_file: r.n for r in spark.read.parquet(to).groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wrong = {f: (n, held.get(f, 0)) for f, n in scan.rows.items() if held.get(f, 0) != n}
+    if wrong:
+        raise RuntimeError(f"archive differs from the source (file: rows there, archived): {wrong}")
+    if K.write_parquet(halves, paths.archive("lines", run), "overwrite", ("half",)) != counts["good"] + counts["quarantined"]:
+        raise RuntimeError("archive of the cleaned lines is incomplete")
+    rows = [(f, _day_of(f), n, to) for f, n in sorted(scan.rows.items())]
+    paths.ledger.append(spark, spark.createDataFrame(rows, LEDGER))
+    return sum(scan.rows.values())
+
+
+def _day_of(file: str) -> _dt.date | None:
+    at = file.rfind(RP.REPORT_FILE_PREFIX)
+    text = file[at + len(RP.REPORT_FILE_PREFIX):][:10]
+    try:
+        return _dt.date.fromisoformat(text) if at >= 0 else None
+    except ValueError:
+        return None
+
+
+def archived_rows(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The archived delivered rows of every file in the ledger, each from the run that finished it."""
+    runs = [r.archived_to for r in paths.ledger.read(spark).select("archived_to").distinct().collect()]
+    parts = [spark.read.parquet(to).withColumn("archived_to", F.lit(to)) for to in sorted(runs)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.join(paths.ledger.read(spark).select("source_file", "archived_to"), ["source_file", "archived_to"], "left_semi")
+
+
+def build_models(spark: SparkSession, paths: Paths, vocab: Vocabulary | None = None, enforce: bool = True,
+                 run: str | None = None) -> dict:
+    """Incremental fact + unmapped audit.  The new fact rows wait in a lake zone
+    until the checks on their days have passed (CHK8); failing rows are stored
+    (CHK7) before a failed check stops the run."""
+    run = run or new_run("models")
     dims = Dims.build(spark, vocab)
     staging = paths.staging.read(spark)
     existing = paths.fact.read(spark) if paths.fact.exists(spark) else None
-    counts = {"fact_appended": paths.fact.append(spark, build_fact(staging, dims, existing))}
-    audit_existing = paths.unmapped.read(spark) if paths.unmapped.exists(spark) else None
-    counts["unmapped_appended"] = paths.unmapped.append(spark, unmapped_rows(staging, dims, audit_existing))
-    fact = paths.fact.read(spark)
-    results = C.run_checks(fact, "fact_sales", C.FACT_CHECKS)
-    C.store_failures(fact, "fact_sales", C.FACT_CHECKS, paths.audit)
+    new = build_fact(staging, dims) if existing is None else fact_increment(staging, dims, existing)
+    zone = paths.zone("fact", run)
+    counts = {"fact_appended": K.write_parquet(S.conform(new, S.FACT), zone)}
+    new = spark.read.schema(S.FACT).parquet(zone)
+    days = new if existing is None else new.unionByName(S.conform(merge_candidates(existing, new), S.FACT))
+    C.store_failures(days, "fact_sales", C.FACT_CHECKS, paths.audit("failures", run))
+    results = gate(spark, paths, run, "fact", {"fact_sales": (days, C.FACT_CHECKS)}, enforce)
     counts["failed_checks"] = results.filter(~F.col("passed")).count()
-    if enforce:
-        C.enforce(results)
+    if counts["fact_appended"]:
+        paths.fact.append(spark, new)
+    audited = paths.unmapped.read(spark) if paths.unmapped.exists(spark) else None
+    counts["unmapped_appended"] = paths.unmapped.append(spark, unmapped_rows(staging, dims, audited))
     return counts
 
 
 def run_day(spark: SparkSession, paths: Paths, ds, vocab: Vocabulary | None = None,
-            now_utc: _dt.datetime | None = None, enforce: bool = True, fmt: str = "csv") -> dict:
+            now_utc: _dt.datetime | None = None, enforce: bool = True, fmt: str = "csv", run: str | None = None, **options) -> dict:
     """FLW1: the report for ``ds − 1`` through every step; no file ⇒ no-op."""
     day = report_date(ds)
-    raw = RP.read_day(spark, paths.incoming, ds, fmt)
-    if not raw.take(1):
+    files = RP.day_files(spark, paths.incoming, day, day)
+    if not files:
         return {"report_date": day.isoformat(), "skipped": True}
-    counts = ingest(spark, paths, raw, day, vocab, now_utc, enforce)
-    counts.update(build_models(spark, paths, vocab, enforce))
+    run = run or new_run(day.isoformat())
+    counts = ingest(spark, paths, files, run, vocab, now_utc, enforce, fmt, **options)
+    counts.update(build_models(spark, paths, vocab, enforce, run))
     counts["report_date"] = day.isoformat()
     return counts
 
 
 def run_range(spark: SparkSession, paths: Paths, first_ds, last_ds, vocab: Vocabulary | None = None,
-              now_utc: _dt.datetime | None = None, enforce: bool = True) -> dict:
+              now_utc: _dt.datetime | None = None, enforce: bool = True, fmt: str = "csv", run: str | None = None,
+              **options) -> dict:
     """FLW2: backfill every report from ``first_ds − 1`` to ``last_ds − 1``
-    in one job (partition pruning on ``report_date`` selects the files)."""
-    d0, d1 = report_date(first_ds), report_date(last_ds)
-    raw = RP.read_report(spark, paths.incoming, "csv")
-    raw = raw.filter(F.col("report_date").between(F.lit(d0), F.lit(d1))).drop("report_date")
-    counts = ingest(spark, paths, raw, d1, vocab, now_utc, enforce)
-    counts.update(build_models(spark, paths, vocab, enforce))
+    in one job over the files of those day folders."""
+    first, last = report_date(first_ds), report_date(last_ds)
+    run = run or new_run(f"{first.isoformat()}_{last.isoformat()}")
+    counts = ingest(spark, paths, RP.day_files(spark, paths.incoming, first, last), run, vocab, now_utc, enforce, fmt, **options)
+    counts.update(build_models(spark, paths, vocab, enforce, run))
     return counts
 
 
-def recover_quarantine(spark: SparkSession, paths: Paths, edited: DataFrame,
-                       vocab: Vocabulary | None = None) -> dict:
+def reset(spark: SparkSession, paths: Paths, dims: Dims) -> None:
+    """REC3 on the tables."""
+    paths.staging.replace(spark, U.reset_flag(paths.staging.read(spark), paths.fact.read(spark), dims))
+
+
+def recover_quarantine(spark: SparkSession, paths: Paths, edited: DataFrame, vocab: Vocabulary | None = None,
+                       enforce: bool = False) -> dict:
     """FLW3: edited quarantine rows → staging (flagged) → quarantine without
-    them → fact picks them up → flags reset."""
-    staging = paths.staging.read(spark)
-    loaded_path = f"{paths.base}/lake/reprocessed"
-    K.write_parquet(U.load_fixed(staging, edited), loaded_path)
-    loaded = spark.read.schema(S.STAGING_FLAGGED).parquet(loaded_path)
-    counts = {"loaded": paths.staging.append(spark, loaded)}
+    them → fact picks them up → flags reset.  What leaves quarantine is decided by
+    what staging holds, and the fact skips lines that it has, so the flow can be
+    run again after a stop at any step."""
+    run = new_run("recovery")
+    dims = Dims.build(spark, vocab)
+    passing = S.conform(good_rows(edited), S.STAGING)
+    zone = paths.zone("reprocessed", run)
+    K.write_parquet(passing, zone)
+    passing = spark.read.schema(S.STAGING).parquet(zone)
+    counts = {"loaded": merge(spark, paths.staging, passing, reprocessed=True)}
+    staged = merge_candidates(paths.staging.read(spark), passing)
+    here, cond = U.null_safe_match(passing, staged, FV.MERGE_KEYS)
     counts["quarantine_left"] = paths.quarantine.replace(
-        spark, U.delete_fixed(paths.quarantine.read(spark), loaded))
-    counts.update(build_models(spark, paths, vocab, enforce=False))
-    counts["staging_rows"] = paths.staging.replace(
-        spark, U.reset_flag(paths.staging.read(spark), paths.fact.read(spark)))
+        spark, U.delete_fixed(paths.quarantine.read(spark), passing.join(here, cond, "left_semi")))
+    counts.update(build_models(spark, paths, vocab, enforce, run))
+    reset(spark, paths, dims)
+    return counts
+
+
+def recover_failed(spark: SparkSession, paths: Paths, check: C.Check, column: str, value, vocab: Vocabulary | None = None,
+                   enforce: bool = False) -> dict:
+    """REC4/REC5 as a flow: repair and flag the staging lines that fail ``check``,
+    take the failing fact lines out, re-feed, reset.  Repeatable: staging is
+    repaired before the fact forgets which lines failed."""
+    dims = Dims.build(spark, vocab)
+    failures = C.failing_rows(paths.fact.read(spark), check)
+    counts = {"failing": failures.count()}
+    if counts["failing"]:
+        paths.staging.replace(spark, U.recover(paths.staging.read(spark), failures, column, value, dims))
+        paths.fact.replace(spark, U.remove_failed(paths.fact.read(spark), failures))
+    counts.update(build_models(spark, paths, vocab, enforce))
+    reset(spark, paths, dims)
     return counts

@@ -27,10 +27,11 @@ from tillstack.operators.fact import build_fact
 from tillstack.operators.quarantine import bad_mask, good_rows, quarantine_rows
 from tillstack.plans import oracle as O
 from tillstack.plans import flows as P
-from tillstack.schemas import QUARANTINE, STAGING, STAGING_FLAGGED, conform
+from tillstack.schemas import FACT, QUARANTINE, RAW_REPORT_COLUMNS, STAGING, STAGING_FLAGGED, conform
 from tillstack.session import configure, run_dir
+from tillstack.sources import reports as RP
 from tillstack.sources import sinks as K
-from tillstack.sources.fixture import daily_report, normalized_report
+from tillstack.sources.fixture import daily_report, normalized_report, raw_report
 from tillstack.sources.seeds import Vocabulary
 
 RUN_NOW = _dt.datetime.fromisoformat(O.RUN_DATE + " 00:00:00")
@@ -68,7 +69,7 @@ class Run:
 
     @cached_property
     def finished(self) -> DataFrame:
-        return CL.finished_lines(self.report, self.spark, self.vocab)
+        return CL.finished_lines(self.report, self.spark, self.vocab, persist=True)
 
     @cached_property
     def nofoot(self) -> DataFrame:
@@ -80,7 +81,7 @@ class Run:
         # query may read several of them (checks, recovery), so they are
         # computed once (memory, spilling to disk), like the tables a daily
         # run writes.
-        return CL.keep_first_drop_last(self.finished).persist(StorageLevel.MEMORY_AND_DISK)
+        return CL.clean_report(self.report, self.spark, self.vocab).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def staging(self) -> DataFrame:
@@ -105,12 +106,7 @@ class Run:
     # recovery inputs -------------------------------------------------------
     @cached_property
     def edited_quarantine(self) -> DataFrame:
-        """Our stand-in for the hand edit: bad quantities set to 1, missing
-        order amounts taken from the received amount; keys untouched."""
-        return self.quarantine.withColumns({
-            "quantity": F.when(F.col("quantity") <= 0, F.lit(1.0)).otherwise(F.col("quantity")),
-            "total_order_amount": F.coalesce("total_order_amount", "received_amount"),
-        })
+        return _edit(self.quarantine)
 
     @cached_property
     def loaded(self) -> DataFrame:
@@ -301,7 +297,7 @@ def q_delete_fixed(r: Run):
 
 def q_reset_flag(r: Run):
     fact2 = r.fact.unionByName(r.fact_reprocessed)
-    return U.reset_flag(r.staging2, fact2)
+    return U.reset_flag(r.staging2, fact2, r.dims)
 
 
 def _fact_failures(r: Run, check: C.Check) -> DataFrame:
@@ -313,27 +309,35 @@ ORDER_TYPE_KNOWN = C.Check("expression", ("order_type_key",), expression="!= 0",
 
 
 def q_recover_int(r: Run):
-    fixed = U.recover_int(r.staging, _fact_failures(r, NOT_NULL_RECEIVED), "received_amount", 0)
-    return fixed.filter("is_reprocessed")
+    return U.recover_int(r.staging, _fact_failures(r, NOT_NULL_RECEIVED), "received_amount", 0, r.dims)
 
 
 def q_recover_str(r: Run):
-    fixed = U.recover_str(r.staging, _fact_failures(r, ORDER_TYPE_KNOWN), "order_type", "Dine-in")
-    return fixed.filter("is_reprocessed")
+    return U.recover_str(r.staging, _fact_failures(r, ORDER_TYPE_KNOWN), "order_type", "Dine-in", r.dims)
+
+
+def _edit(quarantine: DataFrame) -> DataFrame:
+    """Our stand-in for the hand edit: bad quantities set to 1, missing order
+    amounts taken from the received amount; keys untouched."""
+    return quarantine.withColumns({
+        "quantity": F.when(F.col("quantity") <= 0, F.lit(1.0)).otherwise(F.col("quantity")),
+        "total_order_amount": F.coalesce("total_order_amount", "received_amount")})
 
 
 def q_recover_quarantine(r: Run):
-    """FLW3 in one plan: edit → load → delete → fact → reset, as counts."""
-    remaining = U.delete_fixed(r.quarantine, r.loaded)
-    fact2 = r.fact.unionByName(r.fact_reprocessed)
-    reset = U.reset_flag(r.staging2, fact2)
-    parts = [
-        r.loaded.agg(F.count(F.lit(1)).alias("n")).select(F.lit("loaded").alias("step"), "n"),
-        remaining.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantine_left").alias("step"), "n"),
-        r.fact_reprocessed.agg(F.count(F.lit(1)).alias("n")).select(F.lit("fact_appended").alias("step"), "n"),
-        reset.agg(F.count_if("is_reprocessed").alias("n")).select(F.lit("still_flagged").alias("step"), "n"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """FLW3 as it runs on tables, twice over: all of staging, quarantine and fact after it."""
+    paths = _backfilled(r)
+    edited = _edit(paths.quarantine.read(r.spark).drop("sale_date"))
+    P.recover_quarantine(r.spark, paths, edited, r.vocab)
+    P.recover_quarantine(r.spark, paths, edited, r.vocab)
+    line = ["order_id", "items", "payment_time", "quantity", "is_reprocessed"]
+    st, qu, fa = (t.read(r.spark) for t in (paths.staging, paths.quarantine, paths.fact))
+    none = F.lit(None)
+    return (st.select(F.lit("staging").alias("table_name"), *line)
+            .unionByName(qu.withColumn("is_reprocessed", none.cast("boolean")).select(F.lit("quarantine").alias("table_name"), *line))
+            .unionByName(fa.select(F.lit("fact").alias("table_name"), "order_id", none.cast("string").alias("items"),
+                                   F.date_format("payment_time", "yyyy-MM-dd HH:mm:ss").alias("payment_time"), "quantity",
+                                   none.cast("boolean").alias("is_reprocessed"))))
 
 
 def _dim_tables(r: Run) -> dict:
@@ -467,28 +471,101 @@ def _report_days(paths: P.Paths, spark) -> list:
     return sorted(_dt.date.fromisoformat(d) for d in days)
 
 
-def q_run_range(r: Run):
-    paths = _landed(r)
+def _backfilled(r: Run, first: int = 0, last: int = -1, paths: P.Paths | None = None, enforce: bool = False) -> P.Paths:
+    """``run_range`` over the delivered days number ``first`` to ``last``."""
+    paths = paths or _landed(r)
     days = _report_days(paths, r.spark)
-    P.run_range(r.spark, paths, days[0] + _dt.timedelta(days=1), days[-1] + _dt.timedelta(days=1),
-                r.vocab, RUN_NOW, enforce=False)
-    return paths.fact.read(r.spark)
+    one = _dt.timedelta(days=1)
+    P.run_range(r.spark, paths, days[first] + one, days[last] + one, r.vocab, RUN_NOW, enforce=enforce)
+    return paths
+
+
+def _again(r: Run, paths: P.Paths) -> None:
+    """The last day, and then everything, once more."""
+    P.run_day(r.spark, paths, _report_days(paths, r.spark)[-1] + _dt.timedelta(days=1), r.vocab, RUN_NOW, enforce=False)
+    _backfilled(r, paths=paths)
+
+
+def q_run_range(r: Run):
+    return _backfilled(r).fact.read(r.spark)
 
 
 def q_archive_ledger(r: Run):
-    paths = _landed(r)
-    days = _report_days(paths, r.spark)
-    P.run_range(r.spark, paths, days[0] + _dt.timedelta(days=1), days[-1] + _dt.timedelta(days=1),
-                r.vocab, RUN_NOW, enforce=False)
-    return paths.ledger.read(r.spark).select(_day_of().alias("source_file"), "run_date", "rows")
+    return _backfilled(r).ledger.read(r.spark).select(_day_of().alias("source_file"), "run_date", "rows")
+
+
+def q_archive_rows(r: Run):
+    """The archive's content after days were run again."""
+    paths = _backfilled(r)
+    _again(r, paths)
+    return P.archived_rows(r.spark, paths).withColumn("source_file", _day_of()).select(*RAW_REPORT_COLUMNS, "source_file")
+
+
+def q_rerun_day(r: Run):
+    """How many rows each table, zone and archive holds after days were run again."""
+    paths = _backfilled(r)
+    _again(r, paths)
+    held = {name: t.read(r.spark) for name, t in (("staging", paths.staging), ("quarantine", paths.quarantine), ("fact", paths.fact),
+                                                 ("unmapped", paths.unmapped), ("ledger", paths.ledger))}
+    held["archive"] = P.archived_rows(r.spark, paths)
+    held["zone"] = r.spark.read.parquet(f"{paths.base}/lake/lines")
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+                                          for name, df in held.items()])
 
 
 def q_run_day(r: Run):
+    paths = _backfilled(r, last=-2)
+    P.run_day(r.spark, paths, _report_days(paths, r.spark)[-1] + _dt.timedelta(days=1), r.vocab, RUN_NOW, enforce=False)
+    return paths.staging.read(r.spark).withColumn("source_file", _day_of()).select(*STAGING_FLAGGED.names)
+
+
+def q_flow_quarantine(r: Run):
+    return _backfilled(r).quarantine.read(r.spark).withColumn("source_file", _day_of()).select(*QUARANTINE.names)
+
+
+def q_unmapped_incremental(r: Run):
+    """The audit table after a run up to the middle day and one over the rest."""
     paths = _landed(r)
+    middle = len(_report_days(paths, r.spark)) // 2
+    _backfilled(r, 0, middle - 1, paths)
+    _backfilled(r, middle, -1, paths)
+    return paths.unmapped.read(r.spark)
+
+
+def q_flow_merge(r: Run):
+    """The flow's own merge, twice, with times that do not parse and null ones."""
+    table = P.Paths(run_dir(r.spark, "merge")).staging
+    order = F.col("order_id").cast("long")
+    time = F.when(order % 17 == 0, F.lit("unknown")).when(order % 19 == 0, F.lit(None)).otherwise(F.col("payment_time"))
+    rows = r.staging.withColumn("payment_time", time)
+    P.merge(r.spark, table, rows.filter(order % 2 == 0))
+    P.merge(r.spark, table, rows)
+    P.merge(r.spark, table, rows)
+    return table.read(r.spark)
+
+
+def q_mixed_headers(r: Run):
+    """Reports whose columns differ from file to file, read by name."""
+    path = run_dir(r.spark, "mixed")
+    raw = raw_report(r.spark, r.sf_dir)
+    names = raw.columns[:8]
+    part = F.pmod("row_idx", F.lit(3))
+    for k, header in enumerate((names, names[::-1], [c for c in names if c != "GCash"])):
+        (raw.filter(part == k).select(*[F.col(f"`{c}`").alias(f" {c} " if k == 1 else c) for c in header])
+         .write.option("header", True).csv(f"{path}/part={k}"))
+    return RP.read_report(r.spark, path).select(*RAW_REPORT_COLUMNS)
+
+
+def q_gate_failures(r: Run):
+    """The stored failing rows of a run that the fact checks stopped."""
+    paths, run = _landed(r), P.new_run("gate")
     days = _report_days(paths, r.spark)
-    P.run_range(r.spark, paths, days[0] + _dt.timedelta(days=1), days[-1], r.vocab, RUN_NOW, enforce=False)
-    P.run_day(r.spark, paths, days[-1] + _dt.timedelta(days=1), r.vocab, RUN_NOW, enforce=False)
-    return paths.staging.read(r.spark).withColumn("source_file", _day_of()).select(*STAGING_FLAGGED.names)
+    P.ingest(r.spark, paths, RP.day_files(r.spark, paths.incoming, days[0], days[-1]), run, r.vocab, RUN_NOW, enforce=False)
+    try:
+        P.build_models(r.spark, paths, r.vocab, enforce=True, run=run)
+    except C.CheckFailed:
+        assert not paths.fact.exists(r.spark)
+    return r.spark.read.parquet(paths.audit("failures", run)).select("check_name", *FACT.names)
 
 
 def q_stream_incoming(r: Run):
@@ -561,6 +638,13 @@ SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "append_merge_schema": q_append_merge_schema,
     "partitioned_fact": q_partitioned_fact,
     "archive_ledger": q_archive_ledger,
+    "archive_rows": q_archive_rows,
+    "rerun_day": q_rerun_day,
+    "flow_quarantine": q_flow_quarantine,
+    "unmapped_incremental": q_unmapped_incremental,
+    "flow_merge": q_flow_merge,
+    "mixed_headers": q_mixed_headers,
+    "gate_failures": q_gate_failures,
     "run_day": q_run_day,
     "run_range": q_run_range,
     "stream_incoming": q_stream_incoming,

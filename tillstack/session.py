@@ -54,17 +54,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for written tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); only
-    when neither is set (local tests) is a private folder created and
-    registered, so every later call agrees on it.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
+    in local mode, where one machine sees it all, is a folder made when neither
+    is set; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = held.get() if held.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tillstack-")
         spark.sparkContext.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 

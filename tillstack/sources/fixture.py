@@ -6,10 +6,10 @@ monthly report file.  Headers come as delivered (``Order ID`` …) so the
 pipeline's header normalisation runs too.
 
 Plan: the needed line fields are grouped into report cells by
-``(l_orderkey, cell)`` with ``cell = (l_linenumber-1) div CELL_LINES`` — a
-partial aggregate, and no cell holds more than ``CELL_LINES`` line numbers,
-so one huge order becomes many bounded cells spread over many tasks instead
-of one giant string.  Item text is built on the reducers after ordering each
+``(l_orderkey, cell)``.  Part of the report's definition, not of the engine: an
+order is delivered as one row for each ``CELL_LINES`` line numbers (the cell is
+``(l_linenumber - 1) div CELL_LINES``), so a long order is several rows at every
+size of the data.  Item text is built on the reducers after ordering each
 cell, and cells are left-joined to ``orders`` (unique per key) with a
 sort-merge join.  Footers are one partial aggregate per file.
 """
@@ -30,7 +30,7 @@ TEMPLATES = [
     "Ube Cheesecake{S}", "Club Sandwich{S}", "Spicy Ramen{P}", "Croffle Biscoff",
     "Croffle caramel", "Nutella Pecan Cookie", "Red Velvet Cookie",
     "Croissant Spam and Egg", "Butter Croissant", "Espresso Shot", "Extra Rice",
-    "Scented Candle", "Mystery Box", "Hazelnut Frappe w/Cream", "cafe latte{V}",
+    "Scented Candle", "Mystery Box", "Mocca{V}", "cafe latte{V}", "Baker's Toast", "抹茶latte",
     "Bottled Water", "Beef Tapa Rice", "Chocolate Chip Cookie",
 ]
 SLOTS = {
@@ -56,6 +56,7 @@ def item_text(get=F.col) -> Column:
     q = get("l_quantity").cast("int")
     qty = (F.when(F.pmod(q, F.lit(17)) == 0, F.lit(" x0"))
            .when(F.pmod(q, F.lit(5)) == 0, F.lit(""))
+           .when(F.pmod(q, F.lit(11)) == 0, F.lit(" x\u00a02"))  # as spreadsheets deliver it
            .otherwise(F.concat(F.lit(" x"), (F.pmod(q, F.lit(4)) + 1).cast("string"))))
     return F.concat(text, qty)
 
@@ -135,8 +136,13 @@ def normalized_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same orders as daily report files: one file per payment day with
-    a blank footer row last, as delivered (``report_date`` names the day)."""
+    a blank footer row last, as delivered (``report_date`` names the day).  The
+    shop opens on the 1st, 11th, 21st and 31st: orders of the days between are
+    paid on the opening day before them, so there are some hundred files."""
     raw = raw_report(spark, sf_dir)
+    paid = F.col("Payment Time")
+    day = F.lpad((F.floor((F.substring(paid, 9, 2).cast("int") - 1) / 10) * 10 + 1).cast("string"), 2, "0")
+    raw = raw.withColumn("Payment Time", F.concat(F.substring(paid, 1, 8), day, F.substring(paid, 11, 9)))
     rows = (raw.filter(F.col("row_idx") != FOOTER_ROW_IDX)
             .withColumn("report_date", F.to_date(F.col("Payment Time").cast("timestamp_ntz"))))
     footers = rows.groupBy("report_date").agg(F.count(F.lit(1)).alias("n")).select(

@@ -1,23 +1,33 @@
 """Report sources (SRC1-3, SRC6-7, PRJ3).
 
 A delivered report is read all-string, headers are normalised, and every
-row carries its lineage: ``source_file`` and the file-order columns
-``row_idx`` / ``row_part`` that the footer drop and keep-first dedup use.
+row carries its lineage: ``source_file``, ``report_date`` and the file-order
+columns ``row_idx`` / ``row_part`` that the footer drop and keep-first dedup use.
+
+The files of a run are listed first, by day folder, so a run opens only its own
+days.  One pass over them (``scan_files``) finds each file's header and number
+of rows; files that cannot be read to their end are left out whole and named.
+Files are then read by their own header: column names decide, not positions.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+import re
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from tillstack.functions.dates import report_date
 from tillstack.schemas import RAW_REPORT_COLUMNS
 
 ORDER_COLS = ["row_idx", "row_part"]
 REPORT_FILE_PREFIX = "report_date="
+_DAY = r"report_date=([0-9]{4}-[0-9]{2}-[0-9]{2})"
 
 
 def normalize_header(name: str) -> str:
@@ -33,9 +43,8 @@ def raw_schema() -> StructType:
     """Schema of a normalised report with lineage columns."""
     return StructType(
         [StructField(c, StringType(), True) for c in RAW_REPORT_COLUMNS]
-        + [StructField("source_file", StringType(), True),
-           StructField("row_idx", LongType(), True),
-           StructField("row_part", LongType(), True)]
+        + [StructField("source_file", StringType(), True), StructField("report_date", DateType(), True),
+           StructField("row_idx", LongType(), True), StructField("row_part", LongType(), True)]
     )
 
 
@@ -43,48 +52,147 @@ def empty_report(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], raw_schema())
 
 
-def read_report(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False) -> DataFrame:
-    """SRC2/SRC7: read report file(s) with lineage.
+# --- listing ---------------------------------------------------------------------
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """All data files under a folder, file or glob, without opening any."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.globStatus(p) or []:
+        files = fs.listFiles(status.getPath(), True)
+        while files.hasNext():
+            f = files.next().getPath()
+            if not f.getName().startswith(("_", ".")):
+                out.append(file_key(f.toString()))
+    return sorted(out)
+
+
+def file_key(path: str) -> str:
+    """One spelling of a file's name: ``file:/x`` and ``file:///x`` are the same."""
+    return re.sub("^file:/+", "file:///", path)
 
-    CSV is read as all-string with a header; ``ignoreCorruptFiles`` skips an
-    unreadable file instead of failing the run.  File order comes from
-    ``_metadata.row_index`` for Parquet; CSV has none, so it is the split
-    start plus the id Spark assigns in read order (splits of one file are
-    read in offset order).
-    """
-    reader = spark.read.option("ignoreCorruptFiles", "true")
-    if fmt == "csv":
-        # Single-line CSV is split by byte range, so a very large file is read
-        # by many tasks; ``multiline`` (quoted newlines) makes files unsplittable.
-        df = (reader.option("header", True).option("multiLine", multiline)
-              .option("inferSchema", False).csv(path))
-        order = [
-            F.col("_metadata.file_block_start").alias("row_idx"),
-            F.monotonically_increasing_id().alias("row_part"),
-        ]
-    elif fmt == "parquet":
-        df = reader.parquet(path)
-        order = [F.col("_metadata.row_index").alias("row_idx"), F.lit(0).cast("long").alias("row_part")]
-    else:
-        raise ValueError(f"unsupported report format: {fmt}")
-    data_cols = [c for c in df.columns if c not in ("source_file", "row_idx", "row_part")]
-    df = df.select(
-        *[F.col(f"`{c}`").cast("string").alias(c) for c in data_cols],
-        F.col("_metadata.file_path").alias("source_file"), *order,
-    )
-    return normalize_headers(df)
+
+def _file_name():
+    """The current file's name as ``file_key`` spells it (Spark's own is URL-encoded)."""
+    path = F.col("_metadata.file_path")
+    plain = F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.regexp_replace(plain, "^file:/+", "file:///")
 
 
 def day_path(incoming: str, day: _dt.date) -> str:
     return f"{incoming.rstrip('/')}/{REPORT_FILE_PREFIX}{day.isoformat()}"
 
 
+def day_files(spark: SparkSession, incoming: str, first: _dt.date, last: _dt.date) -> list[str]:
+    """SRC1 / FLW2: the files in the day folders from ``first`` to ``last``; other
+    folders are not listed further, their files never opened."""
+    from tillstack.sources.sinks import list_dirs
+    days = [d.removeprefix(REPORT_FILE_PREFIX) for d in list_dirs(spark, incoming) if d.startswith(REPORT_FILE_PREFIX)]
+    wanted = [d for d in days if first.isoformat() <= d <= last.isoformat()]
+    return [f for d in wanted for f in list_files(spark, f"{incoming.rstrip('/')}/{REPORT_FILE_PREFIX}{d}")]
+
+
+# --- scanning --------------------------------------------------------------------
+
+@dataclass
+class Scan:
+    """What one pass over delivered files found: each file's header (CSV) and
+    number of rows, and the files that cannot be read."""
+
+    rows: dict[str, int] = field(default_factory=dict)
+    headers: dict[str, tuple] = field(default_factory=dict)
+    unreadable: list[str] = field(default_factory=list)
+
+
+def _failed_file(error: Exception, files: list[str]) -> str | None:
+    """The file that a failed read names."""
+    text = str(error)
+    named = [f for f in files if re.sub("^file:/+", "/", f) in text]
+    return max(named, key=len, default=None)  # a longer name may begin with a shorter one
+
+
+def scan_files(spark: SparkSession, files: list[str], fmt: str = "csv") -> Scan:
+    """One pass over ``files``.  A file that fails is named in ``unreadable`` and
+    the pass is repeated without it; an error that names no file is raised."""
+    found, left = Scan(), list(files)
+    while left:
+        try:
+            if fmt == "csv":
+                lines = spark.read.text(left).select(
+                    _file_name().alias("f"), "value",
+                    F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("i")).alias("o"))
+                got = (lines.filter(F.trim("value") != "").groupBy("f")
+                       .agg(F.min(F.struct("o", "value")).alias("first"), F.count(F.lit(1)).alias("n")).collect())  # a row a file
+                found.rows = {r.f: r.n - 1 for r in got}
+                found.headers = {r.f: tuple(next(csv.reader([r.first.value.removeprefix("\ufeff")]))) for r in got}
+            else:
+                got = (spark.read.option("mergeSchema", "true").format(fmt).load(left)
+                       .groupBy(_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n")).collect())
+                found.rows = {r.f: r.n for r in got}
+            return found
+        except PySparkException as e:
+            bad = _failed_file(e, left)
+            if bad is None:
+                raise
+            found.unreadable.append(bad)
+            left.remove(bad)
+    return found
+
+
+# --- reading ---------------------------------------------------------------------
+
+def _lineage(df: DataFrame, row_idx, row_part) -> DataFrame:
+    data = [c for c in df.columns if normalize_header(c) not in ("source_file", "report_date", *ORDER_COLS)]
+    path = _file_name()
+    out = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in data], path.alias("source_file"),
+                    F.regexp_extract(path, _DAY, 1).try_cast("date").alias("report_date"),
+                    row_idx.alias("row_idx"), row_part.alias("row_part"))
+    return normalize_headers(out)
+
+
+def read_files(spark: SparkSession, files: list[str], scan: Scan, fmt: str = "csv", multiline: bool = False) -> DataFrame:
+    """SRC2/SRC7: the rows of scanned files with lineage.
+
+    CSV files are read by their own header, all files of one header together;
+    a column that a file lacks is null there.  File order comes from
+    ``_metadata.row_index`` for Parquet; CSV has none, so it is the split start
+    plus the id Spark assigns in read order (splits of one file are read in
+    offset order).  Single-line CSV is split by byte range, so a very large file
+    is read by many tasks; ``multiline`` (quoted newlines) makes files unsplittable.
+    """
+    files = [f for f in files if scan.rows.get(f) is not None]
+    if not files:
+        return empty_report(spark)
+    if fmt == "parquet":
+        df = spark.read.option("mergeSchema", "true").parquet(*files)
+        return _lineage(df, F.col("_metadata.row_index"), F.lit(0).cast("long"))
+    if fmt != "csv":
+        raise ValueError(f"unsupported report format: {fmt}")
+    parts = []
+    for header in sorted({scan.headers[f] for f in files}):
+        schema = StructType([StructField(name, StringType()) for name in header])
+        df = (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
+              .csv([f for f in files if scan.headers[f] == header]))
+        parts.append(_lineage(df, F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_report(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False) -> DataFrame:
+    """The report file(s) under ``path``; a file that cannot be read is an error."""
+    files = list_files(spark, path)
+    scan = scan_files(spark, files, fmt)
+    if scan.unreadable:
+        raise OSError(f"unreadable report files: {', '.join(scan.unreadable)}")
+    return read_files(spark, files, scan, fmt, multiline)
+
+
 def read_day(spark: SparkSession, incoming: str, ds, fmt: str = "csv", multiline: bool = False) -> DataFrame:
     """SRC1: the report for ``ds − 1 day``; no file ⇒ an empty report."""
-    path = day_path(incoming, report_date(ds))
-    try:
-        return read_report(spark, path, fmt, multiline)
-    except AnalysisException as e:  # PATH_NOT_FOUND: the shop was closed
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return empty_report(spark)
-        raise
+    day = report_date(ds)
+    files = day_files(spark, incoming, day, day)
+    scan = scan_files(spark, files, fmt)
+    if scan.unreadable:
+        raise OSError(f"unreadable report files: {', '.join(scan.unreadable)}")
+    return read_files(spark, files, scan, fmt, multiline)

@@ -15,6 +15,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tillstack import catalog as CAT
 from tillstack import fixed_values as FV
+from tillstack.functions.text import TextRules
 from tillstack.schemas import HOLIDAYS_SEED, PRODUCTS_SEED
 
 # Lookups above this many rows are not broadcast by hint.
@@ -51,12 +52,16 @@ def bounded_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_RO
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """User-editable maps and catalog (UDF3).  Defaults are our own menu."""
+    """User-editable maps, catalog and text rules (UDF3).  Defaults are our own
+    menu; ``catalog_path`` / ``holidays_path`` read the seeds from files (SRC4-5)."""
 
     product_to_sub: dict = field(default_factory=lambda: dict(CAT.PRODUCT_TO_SUB))
     sub_to_category: dict = field(default_factory=lambda: dict(CAT.SUB_TO_CATEGORY))
     corrections: dict = field(default_factory=lambda: dict(CAT.CORRECTIONS))
     catalog: list = field(default_factory=lambda: list(CAT.CATALOG))
+    rules: TextRules = field(default_factory=TextRules)
+    catalog_path: str | None = None
+    holidays_path: str | None = None
 
 
 @dataclass(frozen=True)
@@ -84,6 +89,9 @@ def corrections_lookup(spark: SparkSession, vocab: Vocabulary) -> Sized:
 
 
 def products_seed(spark: SparkSession, vocab: Vocabulary) -> Sized:
+    if vocab.catalog_path:
+        df = read_products_seed(spark, vocab.catalog_path)
+        return Sized(df, df.count())
     return Sized(local_table(spark, vocab.catalog, PRODUCTS_SEED), len(vocab.catalog))
 
 

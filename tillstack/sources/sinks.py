@@ -3,8 +3,9 @@
 Tables live as Parquet directories under a base folder on shared storage.
 Parquet has no MERGE/UPDATE/DELETE, so a table is a sequence of version
 directories: appends add files to the current version, a rewrite writes the
-next version and only then becomes current, so a path that is being read
-is never overwritten.  Every write reads its result back from storage,
+next version.  A version counts once its write has ended (``_SUCCESS``), so a
+path that is being read is never overwritten and a rewrite that stops half-way
+leaves the version before it current.  Every write reads its result back from storage,
 which also cuts the lineage for later steps (executors lost later do not
 force a recompute from the raw reports).
 """
@@ -19,6 +20,7 @@ from pyspark.sql.types import StructType
 from tillstack.schemas import conform
 
 VERSION_PREFIX = "v="
+DONE = "_SUCCESS"  # the mark that Spark leaves when a write has ended
 
 
 def _fs(spark: SparkSession, path: str):
@@ -47,10 +49,18 @@ class Table:
     schema: StructType
     partition_by: tuple = ()
 
-    def _versions(self, spark: SparkSession) -> list[int]:
+    def _started(self, spark: SparkSession) -> list[int]:
         return sorted(int(d[len(VERSION_PREFIX):]) for d in list_dirs(spark, self.path)
                       if d.startswith(VERSION_PREFIX))
 
+    def _versions(self, spark: SparkSession) -> list[int]:
+        """The finished versions."""
+        return [v for v in self._started(spark) if path_exists(spark, f"{self._dir(v)}/{DONE}")]
+
+    def _next(self, spark: SparkSession) -> int:
+        """A number that no version, finished or not, has used."""
+        return max(self._started(spark), default=0) + 1
+
     def _dir(self, v: int) -> str:
         return f"{self.path}/{VERSION_PREFIX}{v:06d}"
 
@@ -66,20 +76,23 @@ class Table:
             for c in self.partition_by:
                 empty = empty.withColumn(c, F.lit(None).cast("date"))
             return empty
-        return spark.read.schema(self.schema).option("mergeSchema", "true").parquet(self._dir(vs[-1]))
+        out = spark.read.schema(self.schema).option("mergeSchema", "true").parquet(self._dir(vs[-1]))
+        for c in self.partition_by:
+            if c not in out.columns:  # a version without any row has no partition folder
+                out = out.withColumn(c, F.lit(None).cast("date"))
+        return out
 
     def append(self, spark: SparkSession, df: DataFrame) -> int:
         """SNK6/SNK9/SNK12: append rows to the current version; returns the
         number appended (SNK14, measured on the write itself)."""
         vs = self._versions(spark)
-        target = self._dir(vs[-1] if vs else 1)
+        target = self._dir(vs[-1] if vs else self._next(spark))
         return _write_counted(self._prepare(df), target, "append", self.partition_by)
 
     def replace(self, spark: SparkSession, df: DataFrame) -> int:
         """SNK8: write ``df`` as the next version; readers of the previous
         version are unaffected."""
-        vs = self._versions(spark)
-        return _write_counted(self._prepare(df), self._dir((vs[-1] if vs else 0) + 1), "overwrite",
+        return _write_counted(self._prepare(df), self._dir(self._next(spark)), "errorifexists",
                               self.partition_by)
 
     def _prepare(self, df: DataFrame) -> DataFrame:
