@@ -19,7 +19,8 @@ hold, outside menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments, which are known by element, class, id or role.  Text of the
 template itself is left out too, unless it stands inside an article: there a
 sentence that many pages share is still the article's.  Without an article or
-main element, and with one page to a host, the slots are all the body's texts.
+main element, and with one page to a host, the slots are all the body's texts;
+a page that would have no text left keeps what it shares.
 
 Edge cases: null and empty pages have an empty text; a null or odd url is a host
 of its own kind; broken, unclosed or crossing tags are tolerated; repeated rows
@@ -182,6 +183,8 @@ def main_text(page: str, candidates: dict[int, tuple[int, float]]) -> str:
     template = template_of(found, candidates)
     places = {t.place for t in found if t.text is not None and t.text.strip() and t.place}
     wanted = next((p for p in ("article", "main", "body") if p in places), None)
+    if wanted != "article" and all(i in template for i, t in enumerate(found) if t.key and t.text is not None and t.place == wanted):
+        template = set()  # pages alike throughout, such as repeated rows: what they share is their text
     blocks, open_block = [], []
 
     def close() -> None:
