@@ -9,9 +9,11 @@ dealt by the pieces' hash, because a map's lookup is a scan.  Decoding
 concatenates the binary pieces of the ids.
 
 Words reach the documents again by blocks: a block holds the different words of
-some documents once and, for each document, the numbers of its words.  Only
-(block, word) pairs are joined with the encoded words, and the text moves not at
-all.
+some documents once and, for each document, the numbers of its words (frequent
+words have small numbers, so they compress well).  Words that have a rank of
+their own need no fold.  The places (block, number) of each other word are
+gathered with a partial aggregate, at most one for each block; the word is
+folded once and its ids go back to the blocks.  The text moves not at all.
 
 Words of over ``LONG`` bytes (the fold's work grows with the square of a word's
 length) are encoded by the tiktoken library's merge of single pieces instead.
@@ -32,8 +34,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import tiktoken
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from tokenizers import Regex, pre_tokenizers
 
@@ -86,9 +89,10 @@ def fold_merges(word: Column, rank) -> Column:
     return F.coalesce(F.when(rank(signs).isNotNull(), F.array(rank(signs))), F.transform(folded.p, rank))
 
 
-def word_blocks(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    """``(block, words, ids, sizes, index)``: a block's different words, its
-    documents' ids and numbers of words, and the words' numbers, one after another."""
+def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str) -> DataFrame:
+    """``(block, words, ids, sizes, own, index)``: a block's different words without
+    a rank, its documents' ids and numbers of words, all its words' ranks (-1 for
+    none), and the words' numbers, one after another."""
     small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
 
@@ -106,17 +110,22 @@ def word_blocks(docs: DataFrame, text: str, id_col: str) -> DataFrame:
             ids = pa.concat_arrays([h[0] for h in held])
             sizes = np.concatenate([h[1] for h in held]).astype("<i4")
             coded = pa.concat_arrays([h[2] for h in held]).dictionary_encode()
-            words = coded.dictionary
-            index = coded.indices.to_numpy(zero_copy_only=False).astype("<u4" if len(words) > 65536 else "<u2").tobytes()
+            index = coded.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(-np.bincount(index, minlength=len(coded.dictionary)), kind="stable")  # frequent words first
+            number = np.empty(len(order), "<u4")
+            number[order] = np.arange(len(order))
+            words = coded.dictionary.take(pa.array(order)) if len(order) else pa.array([], pa.string())
+            own = [ranks.get(w.encode(), -1) for w in words.to_pylist()]
+            planes = np.ascontiguousarray(number[index].view(np.uint8).reshape(-1, 4).T)  # the bytes of one place side by side
+            parts = [sizes.tobytes(), np.array(own, "<i4").tobytes(), planes.tobytes()]
             name = xxhash.xxh64(repr(ids.to_pylist()).encode())
-            name.update(sizes.tobytes())
-            name.update(index)
-            for part in words.buffers():
-                name.update(memoryview(part) if part is not None else b"")
+            for part in (*parts, *(w.encode() for w in words.to_pylist())):
+                name.update(part)
+            asked = words.filter(pa.array([x < 0 for x in own], pa.bool_()))
             return pa.RecordBatch.from_arrays(
-                [pa.array([name.intdigest() - (1 << 63)]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([sizes.tobytes()], pa.binary()),
-                 pa.array([index], pa.binary())], ["block", "words", "ids", "sizes", "index"])
+                [pa.array([name.intdigest() - (1 << 63)]), pa.ListArray.from_arrays(pa.array([0, len(asked)], pa.int32()), asked),
+                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                 *(pa.array([zstandard.compress(x)], pa.binary()) for x in parts)], ["block", "words", "ids", "sizes", "own", "index"])
 
         for b in batches:
             words = split(b.column(1), b.column(2))
@@ -139,61 +148,60 @@ def word_blocks(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     odd = F.coalesce(whole.rlike(r"\p{Cn}"), F.lit(False))
     return docs.select(F.col(id_col).alias("id"), F.when(odd, F.array().cast("array<string>")).otherwise(split_words(whole)).alias("words"),
                        F.when(odd, whole).alias("odd")).mapInArrow(
-        run, f"block long, words array<string>, ids array<{id_type.simpleString()}>, sizes binary, index binary")
+        run, f"block long, words array<string>, ids array<{id_type.simpleString()}>, sizes binary, own binary, index binary")
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``(word, tokens)`` of a column ``word`` of different words."""
+    """``words`` (different words in a column ``word``) with ``tokens``, their ids."""
     rank = rank_lookup(ranks)
     short = F.octet_length("word") <= LONG
+    at = words.columns.index("word")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = None
         for b in batches:
             merges = merges or tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-            got = [merges.encode_ordinary(w) for w in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32()))], ["word", "tokens"])
+            got = [merges.encode_ordinary(w) for w in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.list_(pa.int32()))], [*b.schema.names, "tokens"])
 
-    folded = words.filter(short).select("word", fold_merges(F.col("word"), rank).alias("tokens"))
-    return folded.unionByName(words.filter(~short).select("word").mapInArrow(run, "word string, tokens array<int>"))
+    folded = words.filter(short).withColumn("tokens", fold_merges(F.col("word"), rank))
+    schema = StructType([*words.schema.fields, StructField("tokens", ArrayType(IntegerType()))])
+    return folded.unionByName(words.filter(~short).mapInArrow(run, schema))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``(id, tokens)`` for each row; tokens are little-endian unsigned 32-bit integers."""
     id_type = docs.schema[id_col].dataType
-    blocks = stored(word_blocks(docs, text, id_col), "word-blocks")
-    pairs = blocks.select("block", F.posexplode("words").alias("j", "word"))
-    words = stored(pairs.select("word").distinct(), "words")
-    coded = stored(encode_words(words, ranks), "coded-words")
-    found = pairs.join(coded, "word").select(F.col("block").alias("of_block"), "j", "tokens")
+    blocks = stored(word_blocks(docs, ranks, text, id_col), "word-blocks")
+    places = blocks.select("block", F.posexplode("words").alias("j", "word"))
+    words = stored(places.groupBy("word").agg(F.collect_list(F.struct("block", "j")).alias("places")), "words")
+    found = (encode_words(words, ranks).withColumn("place", F.explode("places"))
+             .select(F.col("place.block").alias("of_block"), F.col("place.j").alias("j"), "tokens"))
 
     def whole(block: pa.Table, coded: pa.Table) -> pa.Table:
+        order = np.unique(coded["j"].to_numpy(), return_index=True)[1]  # blocks that repeat have their words twice
+        lists = coded["tokens"].combine_chunks().take(pa.array(order))
         ids, out = [], []
-        if len(coded):
-            order = np.unique(coded["j"].to_numpy(), return_index=True)[1]  # blocks that repeat have their words twice
-            lists = coded["tokens"].combine_chunks().take(pa.array(order))
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-            begin = np.cumsum(lengths) - lengths
         for r in range(len(block)):
-            names = block["ids"][r].values
-            sizes = np.frombuffer(block["sizes"][r].as_py(), "<i4")
-            wide = len(block["words"][r]) > 65536
-            index = np.frombuffer(block["index"][r].as_py(), "<u4" if wide else "<u2")
+            sizes, own, planes = (np.frombuffer(zstandard.decompress(block[c][r].as_py()), kind)
+                                  for c, kind in (("sizes", "<i4"), ("own", "<i4"), ("index", np.uint8)))
+            index = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+            lengths = np.ones(len(own), np.int64)
+            lengths[own < 0] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            begin = np.cumsum(lengths) - lengths
+            flat = np.empty(lengths.sum(), "<u4")
+            flat[begin[own >= 0]] = own[own >= 0]
+            flat[np.repeat(own < 0, lengths)] = lists.flatten().to_numpy(zero_copy_only=False)
             at = 0
             for size in sizes.tolist():
-                if size:
-                    some = index[at:at + size]
-                    n = lengths[some]
-                    places = np.arange(n.sum()) + np.repeat(begin[some] - (np.cumsum(n) - n), n)
-                    out.append(flat[places].tobytes())
-                else:
-                    out.append(b"")
+                some = index[at:at + size]
+                n = lengths[some]
+                out.append(flat[np.arange(n.sum()) + np.repeat(begin[some] - (np.cumsum(n) - n), n)].tobytes())
                 at += size
-            ids.append(names)
+            ids.append(block["ids"][r].values)
         return pa.table([pa.concat_arrays(ids), pa.array(out, pa.binary())], names=["id", "tokens"])
 
-    return blocks.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(
+    return blocks.drop("words").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(
         whole, StructType([StructField("id", id_type), StructField("tokens", BinaryType())]))
 
 
