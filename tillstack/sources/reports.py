@@ -18,6 +18,7 @@ import re
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
@@ -132,7 +133,7 @@ def scan_files(spark: SparkSession, files: list[str], fmt: str = "csv") -> Scan:
                        .groupBy(_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n")).collect())
                 found.rows = {r.f: r.n for r in got}
             return found
-        except PySparkException as e:
+        except (PySparkException, Py4JJavaError) as e:
             bad = _failed_file(e, left)
             if bad is None:
                 raise
