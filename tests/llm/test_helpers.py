@@ -125,3 +125,11 @@ def test_template_and_main_text():
 def test_license_bounds():
     for name, grams, n in licenses.template_sizes(licenses.TEMPLATES):
         assert n >= len(grams) > 0, name
+
+
+def test_attributes_are_read_as_whole_pairs():
+    for mark in ('style="overflow:hidden"', 'title="The hidden valley"', 'data-id="share"', 'data-role="search"', "data-class='ad'",
+                 "alt=hidden", 'title="class=ad"', "data-hidden"):
+        assert template.main_text(f"<body><div {mark}><article {mark}><p>Own text</p></article></div>", {}) == "Own text", mark
+    for mark in ("hidden", "HIDDEN=''", "aria-hidden=true", "aria-hidden='true' title=x", 'title="a b" id="share"', "data-x=1 role = 'search'", "class=ad"):
+        assert template.main_text(f"<body><article><p>Own text</p><div {mark}>gone</div></article>", {}) == "Own text", mark

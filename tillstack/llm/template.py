@@ -59,7 +59,8 @@ LOOSE = INLINE | frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option", "
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                      r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: A whole ``name=value`` pair, so that no part of a name or value is read as a name.
+_ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _HOST = re.compile(r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 _SPACE = re.compile(r"\s+")
 
@@ -126,8 +127,10 @@ def tokens(page: str) -> list[Token]:
                     shown.append(value)
             elif kind == "role":
                 role = value.lower()
-            else:
-                hidden = value.lower() != "false" if kind == "aria-hidden" else True
+            elif kind == "aria-hidden":
+                hidden = hidden or value.lower() != "false"
+            elif kind == "hidden":
+                hidden = True
         out.append(Token(f"{path}<{name} {' '.join(shown)}>", None, place, name))
         if name in RAW:
             close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
