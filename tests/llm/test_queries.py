@@ -249,3 +249,18 @@ def test_oracle(spark):
     con = duck(SF_SMALL)
     for name in ("op1_fixity", "op6_topk", "op9_licenses"):
         assert compare(spark, name, SF_SMALL, con)["status"] == "ok", name
+
+
+def test_template_blocks_inside_articles(spark):
+    def page(i, near=""):
+        box = '<div class="box-7"><p>Get our letter</p><p>Every week</p></div>' if i != 4 else ""
+        return (f"<html><body><nav>Menu</nav><article><h1>Daily</h1><p>Own {i} text</p>{box}<p>{near or f'More {i}'}</p>"
+                f"<p>All rights are ours</p></article></body></html>")
+    rows = [(i, f"https://a.org/{i}", page(i, "What most quote" if i > 2 else "")) for i in range(8)]
+    rows += [(20 + i, "https://same.org/", page(0)) for i in range(4)]  # alike throughout
+    rows += [(30 + i, f"https://two.org/{i}", page(i)) for i in range(2)]  # too few pages to tell
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    whole = "Daily\n\nOwn {0} text\n\nGet our letter\n\nEvery week\n\nMore {0}\n\nAll rights are ours"
+    want = [(i, f"Daily\n\nOwn {i} text\n\n" + ("What most quote" if i > 2 else f"More {i}")) for i in range(8)]
+    want += [(20 + i, whole.format(0)) for i in range(4)] + [(30 + i, whole.format(i)) for i in range(2)]
+    assert bag(template.op4_template(table), "page_id", "text") == sorted(want, key=repr)

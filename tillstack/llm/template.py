@@ -17,10 +17,12 @@ page's tokens.
 The main text is what the slots in an ``article`` (else ``main``, else the body)
 hold, outside menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments, which are known by element, class, id or role.  Text of the
-template itself is left out too, unless it stands inside an article: there a
-sentence that many pages share is still the article's.  Without an article or
-main element, and with one page to a host, the slots are all the body's texts;
-a page that would have no text left keeps what it shares.
+template itself is left out too.  Inside an article this needs a class that at
+least three pages have and that holds markup as well as text: a block such as a
+request to subscribe.  A class of texts alone is a sentence that articles share,
+and ``h1`` is the article's own title; both stay.  Without an article or main
+element, and with one page to a host, the slots are all the body's texts; a page
+that would have no text left, or only its title, keeps what it shares.
 
 Edge cases: null and empty pages have an empty text; a null or odd url is a host
 of its own kind; broken, unclosed or crossing tags are tolerated; repeated rows
@@ -61,6 +63,8 @@ _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>
                      r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 #: A whole ``name=value`` pair, so that no part of a name or value is read as a name.
 _ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Fixed value: inside an article, a block that fewer pages have is not the template's.
+BLOCK_PAGES = 3
 _HOST = re.compile(r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 _SPACE = re.compile(r"\s+")
 
@@ -155,10 +159,10 @@ def _hash(key: str) -> int:
     return xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def template_of(found: list[Token], candidates: dict[int, tuple[int, float]]) -> set[int]:
+def template_of(found: list[Token], candidates: dict[int, tuple]) -> set[int]:
     """Which tokens (by number) belong to the page's template.
 
-    ``candidates``: token hash -> (class, mean position), whose order is the class's.
+    ``candidates``: token hash -> (class, mean position, pages); the positions' order is the class's.
     """
     classes: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for i, t in enumerate(found):
@@ -181,12 +185,31 @@ def template_of(found: list[Token], candidates: dict[int, tuple[int, float]]) ->
     return template
 
 
-def main_text(page: str, candidates: dict[int, tuple[int, float]]) -> str:
+def blocks_of(found: list[Token], candidates: dict[int, tuple], template: set[int]) -> set[int]:
+    """The texts inside an article (by number) that are blocks of the template; none where nothing but titles would be left."""
+    marked = {candidates[_hash(found[i].key)][0] for i in template if found[i].text is None}
+    out, title, rest = set(), False, False
+    for i, t in enumerate(found):
+        if t.text is None:
+            if t.tag not in INLINE and t.tag != "br":
+                title = t.tag == "h1" and not t.key.endswith("</h1>")
+        elif t.key and t.place == "article" and not title:
+            cls, _, pages = candidates[_hash(t.key)] if i in template else (None, 0, 0)
+            if pages >= BLOCK_PAGES and cls in marked:
+                out.add(i)
+            else:
+                rest = True
+    return out if rest else set()
+
+
+def main_text(page: str, candidates: dict[int, tuple]) -> str:
     found = tokens(page)
     template = template_of(found, candidates)
     places = {t.place for t in found if t.text is not None and t.text.strip() and t.place}
     wanted = next((p for p in ("article", "main", "body") if p in places), None)
-    if wanted != "article" and all(i in template for i, t in enumerate(found) if t.key and t.text is not None and t.place == wanted):
+    if wanted == "article":
+        template = blocks_of(found, candidates, template)
+    elif all(i in template for i, t in enumerate(found) if t.key and t.text is not None and t.place == wanted):
         template = set()  # pages alike throughout, such as repeated rows: what they share is their text
     blocks, open_block = [], []
 
@@ -202,7 +225,7 @@ def main_text(page: str, candidates: dict[int, tuple[int, float]]) -> str:
                 open_block.append(" ")
             elif t.tag not in INLINE:
                 close()
-        elif wanted and t.place == wanted and (wanted == "article" or not t.key or i not in template):
+        elif wanted and t.place == wanted and (not t.key or i not in template):
             open_block.append(t.text)
     close()
     return "\n\n".join(blocks)
@@ -247,7 +270,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", id_col: str
     hosts = seen.filter("token = 0").select("host", F.col("pages").alias("all_pages"))
     classes = (seen.filter("token <> 0").join(hosts, "host").filter("2 * pages >= all_pages")
                .groupBy("host").agg(F.collect_list(F.struct(
-                   "token", F.xxhash64("pages", "total", "mark").alias("class"), (F.col("place") / F.col("pages")).alias("place"))).alias("candidates"))
+                   "token", F.xxhash64("pages", "total", "mark").alias("class"), (F.col("place") / F.col("pages")).alias("place"),
+                   "pages")).alias("candidates"))
                .withColumnRenamed("host", "_host"))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +283,7 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", id_col: str
                 if host not in held:
                     if len(held) > 64:
                         held.clear()
-                    held[host] = {c["token"]: (c["class"], c["place"]) for c in found.as_py() or ()}
+                    held[host] = {c["token"]: (c["class"], c["place"], c["pages"]) for c in found.as_py() or ()}
                 out.append(main_text(page.as_py() or "", held[host]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], ["id", "url", "text"])
 
