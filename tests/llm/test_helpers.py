@@ -133,3 +133,39 @@ def test_attributes_are_read_as_whole_pairs():
         assert template.main_text(f"<body><div {mark}><article {mark}><p>Own text</p></article></div>", {}) == "Own text", mark
     for mark in ("hidden", "HIDDEN=''", "aria-hidden=true", "aria-hidden='true' title=x", 'title="a b" id="share"', "data-x=1 role = 'search'", "class=ad"):
         assert template.main_text(f"<body><article><p>Own text</p><div {mark}>gone</div></article>", {}) == "Own text", mark
+
+
+def test_template_classes_nest_beyond_any_number():
+    found = [template.Token(k, None, "body", "div") for k in ["a"] + ["b", "c"] * 300 + ["x", "d", "y", "d"]]
+    found.insert(400, template.Token("x", None, "body", "div"))
+    shared = {template._hash(k): (n, float(i), 3) for i, (k, n) in enumerate((("b", 1), ("c", 1), ("x", 2), ("d", 3), ("y", 2)))}
+    kept = template.template_of(found, shared)
+    # x ... x y is not in its class's order; d stands alone
+    assert {found[i].key for i in kept} == {"b", "c", "d"}
+    rnd = random.Random(3)
+    for _ in range(300):
+        keys = [rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 14))]
+        cut = rnd.randint(1, 7)
+        shared = {template._hash(k): (i // 2 if i < cut else i, float(rnd.random()), 3) for i, k in enumerate("abcdefgh")}
+        keys = [k for k in keys for _ in range(rnd.choice((1, 1, 40)))]
+        want, spans = set(), []
+        classes = {}
+        for i, k in enumerate(keys):
+            classes.setdefault(shared[template._hash(k)][0], []).append((i, template._hash(k)))
+        for _, places in sorted(classes.items(), key=lambda x: (-len(x[1]), x[0])):
+            order = sorted({h for _, h in places}, key=lambda h: (shared[h][1], h))
+            m = len(order)
+            if len(places) % m or [h for _, h in places] != order * (len(places) // m):
+                continue
+            new = [(places[j][0], places[j + m - 1][0]) for j in range(0, len(places), m)]
+            if not any(a < c < b < d or c < a < d < b for a, b in new for c, d in spans):
+                spans += new
+                want |= {i for i, _ in places}
+        assert template.template_of([template.Token(k, None, "body", "p") for k in keys], shared) == want
+
+
+def test_a_class_of_many_stretches_can_be_crossed():
+    keys = ["a", "b"] * 299 + ["a", "x", "b", "y"]
+    shared = {template._hash(k): (c, float(i), 3) for i, (k, c) in enumerate((("a", 1), ("b", 1), ("x", 2), ("y", 2)))}
+    kept = template.template_of([template.Token(k, None, "body", "p") for k in keys], shared)
+    assert {keys[i] for i in kept} == {"a", "b"}  # x y crosses the last a b

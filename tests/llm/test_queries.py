@@ -264,3 +264,24 @@ def test_template_blocks_inside_articles(spark):
     want = [(i, f"Daily\n\nOwn {i} text\n\n" + ("What most quote" if i > 2 else f"More {i}")) for i in range(8)]
     want += [(20 + i, whole.format(0)) for i in range(4)] + [(30 + i, whole.format(i)) for i in range(2)]
     assert bag(template.op4_template(table), "page_id", "text") == sorted(want, key=repr)
+
+
+def test_template_classes_of_repeated_rows(spark):
+    """Marks of equal rows must add up: here B is on the rows 0 and 1, each there twice, C on 2 and 3."""
+    def page(i):
+        b = "<div class=b><p>Both of B</p></div>" if i < 2 else ""
+        c = "<div class=b><p>Both of C</p></div>" if i > 1 else ""
+        return f"<body>{c if i == 3 else b}{b if i == 3 else c}<p>Own {i}</p></body>"
+    rows = [(i, f"https://a.org/{i}", page(i)) for i in range(4) for _ in range(2)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    seen = {}
+    real = template.stored
+    template.stored = lambda df, label: seen.setdefault(label, real(df, label))
+    try:
+        template.extract(table)
+    finally:
+        template.stored = real
+    classes = {c.token: c["class"] for r in seen["templates"].collect() for c in r.candidates}
+    keys = {t.key: t for i in range(4) for t in template.tokens(page(i)) if t.key and t.text}
+    found = {k[-9:]: classes[template._hash(k)] for k in keys if template._hash(k) in classes}
+    assert set(found) >= {"Both of B", "Both of C"} and found["Both of B"] != found["Both of C"]

@@ -9,8 +9,8 @@ own order, once or several times over, and if these stretches nest with those of
 the larger classes.  Valid classes nested in one another are the page's
 template; what lies between their tokens are the slots.
 
-An occurrence vector is compared by number of pages, sum and an XOR of hashes of
-(page, count), all partial aggregates: a host with a third of all pages is
+An occurrence vector is compared by number of pages, sum and the sums of both
+halves of hashes of (page, count), all partial aggregates: a host with a third of all pages is
 never gathered.  A host's candidates are at most twice as many as an average
 page's tokens.
 
@@ -169,7 +169,16 @@ def template_of(found: list[Token], candidates: dict[int, tuple]) -> set[int]:
         got = candidates.get(_hash(t.key)) if t.key else None
         if got:
             classes[got[0]].append((i, _hash(t.key)))
-    kept: list[tuple[int, int]] = []
+    size = 1 << len(found).bit_length()
+    over = [0] * (size + 1)  # Fenwick tree: the XOR up to a token names the kept stretches around it
+
+    def around(i: int) -> int:
+        got = 0
+        while i:
+            got ^= over[i]
+            i &= i - 1
+        return got
+
     template: set[int] = set()
     for cls, places in sorted(classes.items(), key=lambda x: (-len(x[1]), x[0])):
         order = sorted({h for _, h in places}, key=lambda h: (candidates[h][1], h))
@@ -177,10 +186,15 @@ def template_of(found: list[Token], candidates: dict[int, tuple]) -> set[int]:
         if len(places) % m or any(h != order[j % m] for j, (_, h) in enumerate(places)):
             continue  # not in the class's order
         spans = [(places[j][0], places[j + m - 1][0]) for j in range(0, len(places), m)]
-        if any(a < c <= b < d or c < a <= d < b for a, b in spans for c, d in kept if a != b and c != d):
+        if any(around(a + 1) != around(b + 1) for a, b in spans):
             continue  # crosses a larger class
-        if len(kept) + len(spans) <= 256:  # single tokens and short stretches beyond these cannot cross
-            kept += [s for s in spans if s[0] != s[1]]
+        for span in spans if m > 1 else ():  # single tokens cannot be crossed
+            name = xxhash.xxh64_intdigest(span[0].to_bytes(8, "little"))
+            for i in span:
+                i += 1
+                while i <= size:
+                    over[i] ^= name
+                    i += i & -i
         template |= {i for i, _ in places}
     return template
 
@@ -251,26 +265,27 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", id_col: str
                         first.setdefault(h, i)
                 counts[0], first[0] = 1, 0  # stands for the page itself
                 for h, n in counts.items():
-                    mark = xxhash.xxh64_intdigest(n.to_bytes(8, "little"), seed=row) - (1 << 63)
-                    at = sums.setdefault((host, h), [0, 0, 0, 0])
+                    mark = xxhash.xxh64_intdigest(n.to_bytes(8, "little"), seed=row)
+                    at = sums.setdefault((host, h), [0, 0, 0, 0, 0])
                     at[0] += 1
                     at[1] += n
-                    at[2] ^= mark
-                    at[3] += first[h]
+                    at[2] += mark & 0xFFFFFFFF
+                    at[3] += mark >> 32
+                    at[4] += first[h]
             if sums:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int64()),
-                     *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(4))],
-                    ["host", "token", "pages", "total", "mark", "place"])
+                     *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(5))],
+                    ["host", "token", "pages", "total", "low", "high", "place"])
 
-    seen = (rows.mapInArrow(vectors, "host string, token long, pages long, total long, mark long, place long")
-            .groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "total", "place")], F.bit_xor("mark").alias("mark"))
+    seen = (rows.mapInArrow(vectors, "host string, token long, pages long, total long, low long, high long, place long")
+            .groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "total", "low", "high", "place")])
             .filter("pages >= 2"))
     seen = stored(seen, "vectors")
     hosts = seen.filter("token = 0").select("host", F.col("pages").alias("all_pages"))
     classes = (seen.filter("token <> 0").join(hosts, "host").filter("2 * pages >= all_pages")
                .groupBy("host").agg(F.collect_list(F.struct(
-                   "token", F.xxhash64("pages", "total", "mark").alias("class"), (F.col("place") / F.col("pages")).alias("place"),
+                   "token", F.xxhash64("pages", "total", "low", "high").alias("class"), (F.col("place") / F.col("pages")).alias("place"),
                    "pages")).alias("candidates"))
                .withColumnRenamed("host", "_host"))
 
