@@ -285,3 +285,41 @@ def test_template_classes_of_repeated_rows(spark):
     keys = {t.key: t for i in range(4) for t in template.tokens(page(i)) if t.key and t.text}
     found = {k[-9:]: classes[template._hash(k)] for k in keys if template._hash(k) in classes}
     assert set(found) >= {"Both of B", "Both of C"} and found["Both of B"] != found["Both of C"]
+
+
+def brute_passages(text, name, body, t=licenses.THRESHOLD):
+    """The best Dice of all passages of a text, up to the template's upper size bound."""
+    pairs = lambda w: [f"{a} {b}" for a, b in zip(w, w[1:])]
+    grams, words = pairs(licenses.normal_words(body)), pairs(licenses.normal_words(text))
+    bag, most = set(grams), int(len(grams) * (2 - t) / t + 1e-9)
+    best = 0
+    for i in range(len(words)):
+        seen, hits = set(), 0
+        for w in words[i:i + most]:
+            if w not in seen:
+                seen.add(w)
+                hits += w in bag
+            best = max(best, 2 * hits / (len(seen) + len(bag)))
+    return best
+
+
+def test_licenses_wrapped_and_in_full(spark):
+    rnd = np.random.default_rng(6)
+    prose = " ".join(rnd.choice(["the", "sea", "software", "of", "license", "copy", "under", "any", "licensed"], 400))
+    wrap = lambda body, n: "\n".join(" * " + " ".join(body.split()[i:i + n]) for i in range(0, len(body.split()), n))
+    texts, every = {}, licenses.TEMPLATES | licenses.full_texts()
+    for k, name in enumerate(("MIT-grant", "GPL-3.0-header", "BSD-2-Clause-header", "MPL-2.0", "ISC", "Apache-2.0-header")):
+        texts[k] = (name, f"/*\n{wrap(every[name], 9)}\n */\n{prose}\n{prose}")
+    texts[10] = ("MIT", f"{prose} It was Released under the MIT License. {prose}")
+    texts[11] = ("MIT-text", f"MIT License\n\nCopyright (c) 2020 Some One\n\n{every['MIT-text']}")
+    texts[12] = ("Apache-2.0-text", every["Apache-2.0-text"])
+    texts[13] = ("ISC", f"{prose}\n{wrap(every['ISC'].replace('distribute', 'hand on'), 7)}\n{prose}\n{wrap(every['ISC'], 5)}\n{prose}")
+    texts[14] = (None, f"{prose}\n{prose}")
+    table = spark.createDataFrame([(k, t) for k, (_, t) in texts.items()], "doc_id long, text string")
+    rows = {r.doc_id: r for r in licenses.op9_licenses(table).collect()}
+    for k, (name, text) in texts.items():
+        got = set(filter(None, rows[k].licenses.split(",")))
+        assert got == {n for n, b in every.items() if len(b) < 2000 and brute_passages(text, n, b) >= 0.8} | {name} - {None}, k
+    assert rows[12].n_units > 1 and rows[11].best_dice == 1.0 and rows[14].n_units == 0 and rows[13].n_units == 2
+    plan = licenses.op9_licenses(table)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan.split("Scan")[0]

@@ -11,8 +11,20 @@ matches a template if
 - Dice: 2 |A n B| / (|A| + |B|) >= t over the sets of bigrams.
 
 The size bound is tested on word counts before any bigram is formed, and again
-for each template before its bigrams are compared.  Everything happens inside a
-row: no shuffle, and a frequent line costs no more than a rare one.
+for each template before its bigrams are compared.
+
+A notice that is wrapped over lines, or stands in a longer line, and the full
+licence texts of ``license_texts`` are looked for as passages: runs of at most
+n (2 - t) / t bigrams that start where a run of the template's bigrams starts and
+end where one ends (any others only add foreign bigrams).  Of a start the best
+end counts, of passages that overlap the best one.  This is done for templates
+that no line and not the text as a whole matches, and only where it can succeed:
+the text has one of the template's anchors (words chosen so that the bigrams
+without them are too few for t), and then at least |B| t / (2 - t) of the
+template's |B| different bigrams.  Unit -i is a passage that starts at word i.
+
+Everything happens inside a row: no shuffle, and a frequent line costs no more
+than a rare one.
 
 Edge cases: null and empty texts, and units of one word, match nothing; of
 equal Dice values the name first in order is the best; repeated rows each give a
@@ -21,7 +33,11 @@ row; very long texts are scanned whole; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -78,21 +94,105 @@ def template_sizes(templates: dict[str, str]) -> list[tuple[str, list[str], int]
     return out
 
 
+@lru_cache
+def full_texts() -> dict[str, str]:
+    """The full licence texts; only the driver reads the files."""
+    return {f"{f.stem}-text": f.read_text() for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+
+def anchors(templates: dict[str, str], threshold: float) -> dict[str, tuple[int, list[str]]]:
+    """Of each template, how many different bigrams a match shares at least, and
+    words of which a match has one: fewer bigrams than that are without them."""
+    out, used = {}, set()
+    for name, grams, _ in template_sizes(templates):
+        need = max(1, math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9))
+        left, chosen = [set(g.split()) for g in grams], []
+        while len(left) >= need:
+            held = Counter(w for g in left for w in g)  # long words, and those of other templates, first
+            best = max(sorted(held), key=lambda w: held[w] * min(len(w), 9) ** 2 * (3 if w in used else 1) * (1 if len(w) > 5 else 0.02))
+            chosen.append(best)
+            left = [g for g in left if best not in g]
+        used |= set(chosen)
+        out[name] = need, chosen
+    return out
+
+
+def _list(words: list[str]) -> Column:
+    return F.split(F.lit("\n".join(words)), "\n")
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)``, for which ``value`` is computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def passages(clean: Column, names: Column, templates: dict[str, str], threshold: float) -> Column:
+    """``(unit, name, dice)`` of the passages of a normalised text (with line ends)
+    that match templates other than ``names``."""
+    marks, sizes = anchors(templates, threshold), template_sizes(templates)
+    if not sizes:
+        return F.array().cast("array<struct<unit:int,name:string,dice:double>>")
+    known = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(name).alias("name"), F.lit(2 * marks[name][0]).alias("length"),
+                               _list(marks[name][1]).alias("anchors")) for i, (name, _, _) in enumerate(sizes)])
+    whole = F.array(*[F.struct(F.lit(name).alias("name"), _list(grams).alias("grams"), F.lit(len(grams)).alias("size"),
+                               F.lit(marks[name][0]).alias("need"), F.lit(math.floor(n * (2 - threshold) / threshold + 1e-9)).alias("most"))
+                      for name, grams, n in sizes])
+    words = F.split(F.trim(F.regexp_replace(clean, r"[ \n]+", " ")), " ")
+    grams = _let(words, lambda w: F.slice(F.zip_with(w, F.slice(w, 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b)), 1, F.size(w) - 1))
+    shared = lambda a, b: F.size(F.array_intersect(a, b))
+    flag = lambda hits, i: F.coalesce(F.get(hits, i), F.lit(False))
+
+    def best_from(g: Column, x: Column, ends: Column, at: Column) -> Column:
+        last = F.least(at + x.most - 1, F.size(g))
+        dice = lambda a: F.lit(2.0) * shared(a, x.grams) / (F.size(F.array_distinct(a)) + x["size"])
+        ways = F.transform(F.array_distinct(F.concat(F.filter(ends, lambda e: (e >= at) & (e <= last)), F.array(last))),
+                           lambda e: F.struct((-dice(F.slice(g, at, e - at + 1))).alias("d"), at.alias("at"), e.alias("end")))
+        return F.array_min(ways)
+
+    def search(g: Column, x: Column) -> Column:
+        def of(hits: Column) -> Column:
+            places = F.sequence(F.lit(1), F.size(g))
+            starts = F.filter(places, lambda i: flag(hits, i - 1) & ~flag(hits, i - 2))
+            starts = F.filter(starts, lambda i: shared(F.slice(g, i, x.most), x.grams) >= x.need)
+            ends = F.filter(places, lambda i: flag(hits, i - 1) & ~flag(hits, i))
+            found = _let(ends, lambda z: F.transform(starts, lambda at: best_from(g, x, z, at)))
+            ranked = F.array_sort(F.filter(found, lambda m: -m.d >= F.lit(threshold)))
+            apart = F.aggregate(ranked, F.filter(ranked, lambda m: F.lit(False)), lambda kept, m: F.when(
+                F.exists(kept, lambda o: (o["at"] <= m.end) & (m["at"] <= o.end)), kept).otherwise(F.concat(kept, F.array(m))))
+            return F.transform(apart, lambda m: F.struct((-m["at"]).alias("unit"), x["name"].alias("name"), (-m.d).alias("dice")))
+        return _let(F.transform(g, lambda v: F.array_contains(x.grams, v)), of)
+
+    def within(near: Column) -> Column:
+        def of(g: Column) -> Column:
+            likely = F.filter(F.transform(near, lambda i: F.get(whole, i)), lambda x: shared(g, x.grams) >= x.need)
+            return F.flatten(F.transform(likely, lambda x: search(g, x)))
+        return F.when(F.size(near) > 0, _let(grams, of))
+
+    every = sorted({w for _, chosen in marks.values() for w in chosen})
+    here = F.array_intersect(F.split(F.translate(clean, "\n", " "), " "), _list(every))
+    near = _let(here, lambda w: F.transform(F.filter(known, lambda x: (F.length(clean) >= x.length) & ~F.array_contains(names, x["name"])
+                                                     & F.arrays_overlap(x.anchors, w)), lambda x: x.i))
+    return F.coalesce(_let(near, within), F.array().cast("array<struct<unit:int,name:string,dice:double>>"))
+
+
 def _templates(templates: dict[str, str]) -> Column:
     return F.array(*[F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, grams)).alias("grams"), F.lit(n).alias("n"))
                      for name, grams, n in template_sizes(templates)])
 
 
 def scan(docs: DataFrame, text: str = "text", into: str = "matches", templates: dict[str, str] | None = None,
-         threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float = THRESHOLD, long_templates: dict[str, str] | None = None) -> DataFrame:
     """``docs`` with ``into``, an array of ``(unit, name, dice)``: unit 0 is the text
-    as a whole, unit i its i-th line."""
+    as a whole, unit i its i-th line, unit -i a passage that starts at its i-th
+    word.  ``long_templates`` are looked for as passages only."""
+    long_templates = full_texts() if long_templates is None and templates is None else long_templates or {}
     templates = TEMPLATES if templates is None else templates
     sizes = [n for _, _, n in template_sizes(templates)]
     least, most = min(sizes) * threshold / (2 - threshold), max(sizes) * (2 - threshold) / threshold
     t = F.lit(threshold)
 
-    clean = F.lower(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[^A-Za-z0-9\n]+", " "))
+    docs = docs.withColumn("_clean", F.lower(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[^A-Za-z0-9\n]+", " ")))
+    clean = F.col("_clean")
     lines = F.transform(F.split(clean, "\n"), lambda x, i: F.struct((i + 1).alias("unit"), F.trim(x).alias("body")))
     whole = F.array(F.struct(F.lit(0).alias("unit"), F.trim(F.regexp_replace(clean, r"[ \n]+", " ")).alias("body")))
     step = docs.withColumn("_units", F.when(clean.contains("\n"), F.concat(whole, lines)).otherwise(lines))
@@ -113,7 +213,9 @@ def scan(docs: DataFrame, text: str = "text", into: str = "matches", templates:
                              (F.lit(2.0) * F.size(F.array_intersect(u.grams, x.grams)) / (F.size(u.grams) + F.size(x.grams))).alias("dice")))
         return F.filter(scored, lambda m: m.dice >= t)
 
-    return step.withColumn(into, F.flatten(F.transform("_units", against))).drop("_units")
+    step = step.withColumn("_found", F.flatten(F.transform("_units", against)))
+    more = passages(clean, F.transform("_found", lambda m: m["name"]), {**templates, **long_templates}, threshold)
+    return step.withColumn(into, F.concat("_found", more)).drop("_units", "_clean", "_found")
 
 
 def op9_licenses(docs: DataFrame) -> DataFrame:
