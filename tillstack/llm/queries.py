@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstack.llm import bpe, fixity, licenses, packing, quality, simhash, substring, template, topk, winnow
+from tillstack.llm import bpe, fixity, lexical, licenses, minhash, packing, quality, runs, simhash, substring, template, topk, winnow
 from tillstack.llm.common import read_table
 
 
@@ -50,10 +50,23 @@ def op1_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity.op1_fixity(read_table(spark, sf_dir, "pages"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.op11_lexical(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.op12_minhash(read_table(spark, sf_dir, "documents"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.op13_runs(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_fixity, op2_simhash, op3_quality, op4_template, op5_substring, op6_topk, op7_bpe, op8_packing, op9_licenses,
-                                   op10_winnowing)}
+                                   op10_winnowing, op11_lexical, op12_minhash, op13_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_fixity": fixity.SQL, "op6_topk": topk.SQL, "op9_licenses": licenses.oracle_sql()}
+    return {"op1_fixity": fixity.SQL, "op6_topk": topk.SQL, "op9_licenses": licenses.oracle_sql(), "op11_lexical": lexical.SQL,
+            "op12_minhash": minhash.SQL}
