@@ -258,7 +258,8 @@ def set_links(docs: DataFrame, groups: DataFrame, text: str, id_col: str, shingl
     ``(root, node, n, id, text_key)``, a row of ``docs`` for each node."""
     sized = groups.groupBy("root").agg(F.ceil(8 * F.sum("n") / group_bytes).cast("long").alias("cells"))
     texts = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text).cast("string")).alias("_key"), F.col(text).cast("string").alias("text"))
-    whole = texts.join(groups, texts["_id"].eqNullSafe(groups["id"]) & (texts["_key"] == groups["text_key"])).select("root", "node", "text")
+    # the groups grow with the documents: one plan at every size, never a broadcast
+    whole = texts.join(groups.hint("merge"), texts["_id"].eqNullSafe(groups["id"]) & (texts["_key"] == groups["text_key"])).select("root", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
