@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstack import fixed_values as FV
 from tillstack.functions.dates import date_key, to_naive_ts
 from tillstack.functions.numeric import null_false
 from tillstack.functions.text import blank_key, match_key
 from tillstack.operators.dims import Dims
+from tillstack.sources.sinks import in_days
 
 
 def high_water_filter(staging: DataFrame, existing: DataFrame | None, ts_col: str = "payment_time",
@@ -34,8 +35,21 @@ def high_water_filter(staging: DataFrame, existing: DataFrame | None, ts_col: st
 
 
 KEYS = ["product_key", "flavor_key", "sugar_key", "spice_key", "payment_type_key", "order_type_key"]
-#: What tells one fact line from another: recovery matches on it, nulls equal.
-LINE_GRAIN = ["order_id", "payment_time", "product_key", "flavor_key", "sugar_key", "spice_key"]
+#: What tells one fact line from another, nulls equal.  The resolved keys do not: all
+#: unknown items of an order share one product key.
+LINE = ["order_id", "line_key"]
+
+
+def line_key() -> Column:
+    """A staging line's key: a hash of its merge keys, by which staging is unique."""
+    return F.xxhash64(*FV.MERGE_KEYS, *[F.col(c).isNull() for c in FV.MERGE_KEYS])
+
+
+def same_line(left: DataFrame, right: DataFrame) -> tuple[DataFrame, Column]:
+    """The different lines of ``right`` under other names, and the condition that a row
+    of ``left`` is one of them."""
+    lines = right.select(*[F.col(c).alias(f"_l_{c}") for c in LINE]).distinct()
+    return lines, reduce(lambda a, b: a & b, [left[c].eqNullSafe(lines[f"_l_{c}"]) for c in LINE])
 
 
 def resolve_keys(raw: DataFrame, dims: Dims, dim_date: DataFrame | None = None) -> DataFrame:
@@ -79,10 +93,10 @@ def resolve_keys(raw: DataFrame, dims: Dims, dim_date: DataFrame | None = None)
 
 
 def join_dimensions(raw: DataFrame, dims: Dims, dim_date: DataFrame | None = None) -> DataFrame:
-    """The fact rows (PRJ5-8) of staging rows."""
-    return resolve_keys(raw, dims, dim_date).select(
+    """The fact rows (PRJ5-8) of staging rows, with their line's key."""
+    return resolve_keys(raw.withColumn("line_key", line_key()), dims, dim_date).select(
         F.col("ts").alias("payment_time"), F.col("k_date").alias("date_key"), *KEYS,
-        "order_id", "category", "sub_category", "quantity", "total_order_amount", "received_amount")
+        "order_id", "category", "sub_category", "quantity", "total_order_amount", "received_amount", "line_key")
 
 
 def build_fact(staging: DataFrame, dims: Dims, existing: DataFrame | None = None,
@@ -91,36 +105,34 @@ def build_fact(staging: DataFrame, dims: Dims, existing: DataFrame | None = None
     return join_dimensions(high_water_filter(staging, existing, use_flag=use_flag), dims, dim_date)
 
 
-def newest_day(fact: DataFrame):
-    """The last day partition of a day-partitioned fact, or None: partition
-    values alone, no file is opened."""
-    row = fact.select(F.max("sale_date").alias("d")).first()
-    return row.d
+def high_water_mark(fact: DataFrame):
+    """The last time in a day-partitioned fact and its day, or None: the newest day
+    partition alone is read."""
+    day = fact.select(F.max("sale_date").alias("d")).first().d  # partition values, no file
+    if day is None:
+        return None
+    return fact.filter(F.col("sale_date") == F.lit(day)).agg(F.max("payment_time").alias("t")).first().t, day
 
 
 def fact_increment(staging: DataFrame, dims: Dims, existing: DataFrame) -> DataFrame:
     """UPS3 on day-partitioned tables: the rows to append to ``existing``.
 
-    The high-water mark comes from the newest day partition.  New rows are read
-    from that day's partition of staging on; rows flagged for reprocessing come
-    from all days (a pushed-down filter), minus the lines that the fact has
-    already, so a run that stopped before the flags were reset appends nothing
-    twice.  Rows of the null partition have no time to be after the mark.
+    New rows are read from the mark's day partition of staging on; rows flagged for
+    reprocessing come from all days (a pushed-down filter), minus the lines that the
+    fact has already, so a run that stopped before the flags were reset appends
+    nothing twice.
     """
-    day = newest_day(existing)
-    flagged = F.coalesce(F.col("is_reprocessed"), F.lit(False))
-    if day is None:
+    at = high_water_mark(existing)
+    if at is None:
         return join_dimensions(staging, dims)
-    mark = existing.filter(F.col("sale_date") == F.lit(day)).agg(F.max("payment_time").alias("t")).first().t
+    mark, day = at
+    flagged = F.coalesce(F.col("is_reprocessed"), F.lit(False))
     recent = staging.filter((F.col("sale_date") >= F.lit(day)) & ~flagged & (to_naive_ts("payment_time") > F.lit(mark).cast("timestamp_ntz")))
     again = join_dimensions(staging.filter(F.col("is_reprocessed")), dims)
-    have = existing.select(*[F.col(c).alias(f"_h_{c}") for c in LINE_GRAIN])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in LINE_GRAIN])
-    days = again.agg(F.min(F.to_date("payment_time")).alias("lo"), F.max(F.to_date("payment_time")).alias("hi")).first()
-    if days.lo is not None:  # only the flagged rows' days of the fact are read
-        have_days = existing.filter(F.col("sale_date").between(F.lit(days.lo), F.lit(days.hi)))
-        have = have_days.select(*[F.col(c).alias(f"_h_{c}") for c in LINE_GRAIN])
-    return join_dimensions(recent, dims).unionByName(again.join(have, same, "left_anti"))
+    # only the flagged rows' days of the fact are read (a row a day)
+    days = [r.sale_date for r in staging.filter(F.col("is_reprocessed")).select("sale_date").distinct().collect()]
+    lines, same = same_line(again, existing.filter(in_days(days)))
+    return join_dimensions(recent, dims).unionByName(again.join(lines, same, "left_anti"))
 
 
 def with_sale_date(fact: DataFrame) -> DataFrame:

@@ -13,8 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstack import fixed_values as FV
-from tillstack.operators.dims import Dims
-from tillstack.operators.fact import LINE_GRAIN, resolve_keys
+from tillstack.operators.fact import line_key, same_line
 from tillstack.operators.quarantine import good_rows
 from tillstack.schemas import STAGING, STAGING_FLAGGED, conform
 
@@ -46,13 +45,13 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys=FV.MERGE_KEYS) ->
 
 
 def merge_insert(target: DataFrame, batch: DataFrame, keys=FV.MERGE_KEYS,
-                 reprocessed: bool | None = False) -> DataFrame:
+                 reprocessed: bool | Column | None = False) -> DataFrame:
     """UPS1/UPS2: the rows a MERGE would insert.  Running it again with the
     same batch after appending them inserts nothing.  ``reprocessed`` sets
     the staging flag (None = the table has no flag, e.g. quarantine)."""
     new = insert_if_absent(target, dedup_by_keys(batch, keys), keys)
     if reprocessed is not None:
-        new = conform(new, STAGING).withColumn("is_reprocessed", F.lit(reprocessed))
+        new = conform(new, STAGING).withColumn("is_reprocessed", reprocessed if isinstance(reprocessed, Column) else F.lit(reprocessed))
     return new
 
 
@@ -75,48 +74,42 @@ def delete_fixed(quarantine: DataFrame, staged: DataFrame, keys=FV.MERGE_KEYS) -
     return quarantine.join(r, cond, "left_anti")
 
 
-def _lines(fact: DataFrame) -> DataFrame:
-    """The different lines of fact rows (a partial aggregate)."""
-    return fact.select(*[F.col(c).alias(f"_l_{c}") for c in LINE_GRAIN]).distinct().withColumn("_l_hit", F.lit(True))
-
-
-def _same_line(time: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(time if c == "payment_time" else c).eqNullSafe(F.col(f"_l_{c}")) for c in LINE_GRAIN])
-
-
-def _matched(staging: DataFrame, fact: DataFrame, dims: Dims | None) -> DataFrame:
+def _matched(staging: DataFrame, fact: DataFrame) -> DataFrame:
     """``staging`` with ``_l_hit``: whether the row is one of the lines of ``fact``."""
-    j = resolve_keys(staging, dims or Dims.build(staging.sparkSession)).join(_lines(fact), _same_line("ts"), "left")
-    return j.withColumn("_l_hit", F.coalesce("_l_hit", F.lit(False)))
+    keyed = staging.withColumn("line_key", line_key())
+    lines, same = same_line(keyed, fact)
+    hit = keyed.join(lines.withColumn("_l_hit", F.lit(True)), same, "left")
+    return hit.withColumn("_l_hit", F.coalesce("_l_hit", F.lit(False)))
 
 
-def reset_flag(staging: DataFrame, fact: DataFrame, dims: Dims | None = None) -> DataFrame:
+def reset_flag(staging: DataFrame, fact: DataFrame) -> DataFrame:
     """REC3: clear ``is_reprocessed`` on rows whose line is in the fact."""
-    return _matched(staging, fact, dims).withColumn(
+    return _matched(staging, fact).withColumn(
         "is_reprocessed", F.when(F.col("_l_hit"), F.lit(False)).otherwise(F.col("is_reprocessed"))).select(*staging.columns)
 
 
 def remove_failed(fact: DataFrame, failures: DataFrame) -> DataFrame:
     """Drop the failing lines before they are re-fed (the fact load only appends)."""
-    return fact.join(_lines(failures), _same_line("payment_time"), "left_anti")
+    lines, same = same_line(fact, failures)
+    return fact.join(lines, same, "left_anti")
 
 
-def recover(staging: DataFrame, failures: DataFrame, column: str, value, dims: Dims | None = None) -> DataFrame:
+def recover(staging: DataFrame, failures: DataFrame, column: str, value) -> DataFrame:
     """REC4/REC5: set ``column`` to ``value`` on the staging rows of the lines in
     ``failures`` (fact rows of a failed check) and flag them; other lines of the
     same order stay as they are."""
     staging = with_flag(staging)
     dtype = STAGING_FLAGGED[column].dataType
-    j = _matched(staging, failures, dims)
+    j = _matched(staging, failures)
     return j.withColumns({
         column: F.when(F.col("_l_hit"), F.lit(value).cast(dtype)).otherwise(F.col(column)),
         "is_reprocessed": F.col("_l_hit") | F.coalesce("is_reprocessed", F.lit(False)),
     }).select(*staging.columns)
 
 
-def recover_int(staging: DataFrame, failures: DataFrame, column: str, value: int, dims: Dims | None = None) -> DataFrame:
-    return recover(staging, failures, column, int(value), dims)
+def recover_int(staging: DataFrame, failures: DataFrame, column: str, value: int) -> DataFrame:
+    return recover(staging, failures, column, int(value))
 
 
-def recover_str(staging: DataFrame, failures: DataFrame, column: str, value: str, dims: Dims | None = None) -> DataFrame:
-    return recover(staging, failures, column, str(value), dims)
+def recover_str(staging: DataFrame, failures: DataFrame, column: str, value: str) -> DataFrame:
+    return recover(staging, failures, column, str(value))

@@ -18,7 +18,7 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from tillstack import schemas as S
@@ -28,17 +28,20 @@ from tillstack.operators import upsert as U
 from tillstack.operators.audit import unmapped_rows
 from tillstack.operators.clean import clean_report
 from tillstack.operators.dims import Dims
-from tillstack.operators.fact import build_fact, fact_increment
+from tillstack.operators.fact import build_fact, fact_increment, high_water_mark
 from tillstack.operators.quarantine import bad_mask, good_rows, quarantine_reason
 from tillstack.functions.dates import local_today
 from tillstack import fixed_values as FV
 from tillstack.sources import reports as RP
 from tillstack.sources import sinks as K
-from tillstack.sources.seeds import Vocabulary
+from tillstack.sources.seeds import Vocabulary, bounded_broadcast
 
 LEDGER = StructType([StructField("source_file", StringType()), StructField("run_date", DateType()),
                      StructField("rows", LongType()), StructField("archived_to", StringType())])
 GOOD, BAD = "good", "quarantine"
+LATE_FLAG, LATE_STRICT = "flag", "strict"
+#: Up to so many order ids are named in the filter on the fact's history.
+FEW_ORDERS = 500
 
 
 def new_run(label: str) -> str:
@@ -65,12 +68,12 @@ class Paths:
     def audit(self, name: str, run: str) -> str:
         return f"{self.base}/audit/{name}/run={run}"
 
-    def table(self, name: str, schema, partition_by=()) -> K.Table:
-        return K.Table(f"{self.base}/tables/{name}", schema, tuple(partition_by))
+    def table(self, name: str, schema, partition_by=(), bloom=()) -> K.Table:
+        return K.Table(f"{self.base}/tables/{name}", schema, tuple(partition_by), tuple(bloom))
 
     @property
     def staging(self) -> K.Table:
-        return self.table("staging_fact_sales", S.STAGING_FLAGGED, ["sale_date"])
+        return self.table("staging_fact_sales", S.STAGING_FLAGGED, ["sale_date"], ["order_id"])
 
     @property
     def quarantine(self) -> K.Table:
@@ -78,7 +81,7 @@ class Paths:
 
     @property
     def fact(self) -> K.Table:
-        return self.table("fact_sales", S.FACT, ["sale_date"])
+        return self.table("fact_sales", S.FACT_LINES, ["sale_date"], ["order_id"])
 
     @property
     def unmapped(self) -> K.Table:
@@ -93,21 +96,26 @@ def unprocessed(spark: SparkSession, paths: Paths, files: list[str]) -> list[str
     """SNK7 ledger: the files that no run has finished; the others are not read again."""
     if not files or not paths.ledger.exists(spark):
         return files
-    done = paths.ledger.read(spark).filter(F.col("source_file").isin(files) if len(files) < 1000 else F.lit(True))
-    seen = {r.source_file for r in done.select("source_file").distinct().collect()}  # a row a file, like the list itself
-    return [f for f in files if f not in seen]
+    asked = spark.createDataFrame([(f,) for f in files], "source_file string")
+    left = asked.join(paths.ledger.read(spark).select("source_file"), "source_file", "left_anti")
+    return sorted(r.source_file for r in left.collect())  # names of the list itself
 
 
 def _in_days(df: DataFrame, col: str = "payment_time"):
-    """Which rows can have a time of ``df``: a condition on the day partitions
-    (times that do not parse, and null ones, are all in the null partition) and one
-    on the value itself, in its own order, that is pushed into the scan."""
-    day = F.to_date(F.col(col).cast("string").try_cast("timestamp_ntz"))
-    w = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi"), F.count_if(day.isNull()).alias("none"),
-               F.min(col).alias("first"), F.max(col).alias("last"), F.count_if(F.col(col).isNull()).alias("nulls")).first()
-    days = F.col("sale_date").between(F.lit(w.lo), F.lit(w.hi)) if w.lo is not None else F.lit(False)
-    values = F.col(col).between(F.lit(w.first), F.lit(w.last)) if w.first is not None else F.lit(False)
-    return (days | F.col("sale_date").isNull() if w.none else days) & (values | F.col(col).isNull() if w.nulls else values)
+    """Which rows can have a time of ``df``: a condition on the day partitions (a
+    value a day; times that do not parse, and null ones, are all in the null
+    partition) and one on the value itself, in its own order, that is pushed into
+    the scan."""
+    per = df.groupBy(K.day_of(col).alias("d")).agg(F.min(col).alias("lo"), F.max(col).alias("hi"),
+                                                   F.count_if(F.col(col).isNull()).alias("nulls")).collect()
+    known = [r for r in per if r.lo is not None]
+    values = F.col(col).between(F.lit(min(r.lo for r in known)), F.lit(max(r.hi for r in known))) if known else F.lit(False)
+    return K.in_days([r.d for r in per]) & (values | F.col(col).isNull() if any(r.nulls for r in per) else values)
+
+
+def touched_days(df: DataFrame) -> list:
+    """The day partitions of some rows: a value a day."""
+    return [r.d for r in df.select(K.day_of().alias("d")).distinct().collect()]
 
 
 def merge_candidates(target: DataFrame, batch: DataFrame, col: str = "payment_time") -> DataFrame:
@@ -116,15 +124,27 @@ def merge_candidates(target: DataFrame, batch: DataFrame, col: str = "payment_ti
     return target.filter(_in_days(batch, col))
 
 
-def merge(spark: SparkSession, table: K.Table, batch: DataFrame, reprocessed: bool | None = False) -> int:
+def merge(spark: SparkSession, table: K.Table, batch: DataFrame, reprocessed: bool | Column | None = False) -> int:
     """UPS1/UPS2 on a day-partitioned table: append what is not there; again, nothing."""
     return table.append(spark, U.merge_insert(merge_candidates(table.read(spark), batch), batch, reprocessed=reprocessed))
 
 
-def gate(spark: SparkSession, paths: Paths, run: str, stage: str, tables: dict, enforce: bool) -> DataFrame:
+def late_flag(spark: SparkSession, paths: Paths, late: str) -> bool | Column:
+    """Whether a new staging line comes too late for the increment: it has no time, or
+    one that is not after the fact's mark.  A time that does not parse is no such line."""
+    if late not in (LATE_FLAG, LATE_STRICT):
+        raise ValueError(f"late is {LATE_FLAG!r} or {LATE_STRICT!r}")
+    at = high_water_mark(paths.fact.read(spark)) if late == LATE_FLAG and paths.fact.exists(spark) else None
+    if at is None:
+        return False
+    time = F.col("payment_time").try_cast("timestamp_ntz")
+    return F.coalesce(time <= F.lit(at[0]).cast("timestamp_ntz"), F.col("payment_time").isNull())
+
+
+def gate(spark: SparkSession, paths: Paths, run: str, stage: str, tables: list, enforce: bool) -> DataFrame:
     """CHK10/CHK8: evaluate the suites once, keep their results, stop on an error."""
     path = paths.audit(f"results/{stage}", run)
-    C.check_suite(tables).write.mode("overwrite").parquet(path)
+    reduce(DataFrame.unionByName, [C.run_checks(df, name, checks) for name, df, checks in tables]).write.mode("overwrite").parquet(path)
     results = spark.read.parquet(path)
     if enforce:
         C.enforce(results)
@@ -133,10 +153,14 @@ def gate(spark: SparkSession, paths: Paths, run: str, stage: str, tables: dict,
 
 def ingest(spark: SparkSession, paths: Paths, files: list[str], run: str, vocab: Vocabulary | None = None,
            now_utc: _dt.datetime | None = None, enforce: bool = True, fmt: str = "csv", multiline: bool = False,
-           drop_last_row: bool = True, keep_unparsed: bool = False) -> dict:
+           drop_last_row: bool = True, keep_unparsed: bool = False, late: str = LATE_FLAG) -> dict:
     """Clean → land → load → merge ×2 → staging/quarantine checks → archive +
     ledger, for the files that are not in the ledger.  Returns the step counts
-    (AGG2/SNK14) and the names of unreadable files, which stay out of the ledger."""
+    (AGG2/SNK14) and the names of unreadable files, which stay out of the ledger.
+
+    ``late``: what happens to new lines whose time is not after the fact's mark, which
+    the incremental load would pass over.  ``LATE_FLAG`` flags them for it as recovered
+    lines are; ``LATE_STRICT`` leaves them in staging alone, as the rule reads (Q7)."""
     files = unprocessed(spark, paths, files)
     scan = RP.scan_files(spark, files, fmt)
     counts = {"files": len(scan.rows), "unreadable": scan.unreadable, "good": 0, "quarantined": 0, "staged": 0,
@@ -160,13 +184,13 @@ def ingest(spark: SparkSession, paths: Paths, files: list[str], run: str, vocab:
     per_half = {r.half: r.n for r in load.groupBy("half").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts["good"], counts["quarantined"] = per_half.get(GOOD, 0), per_half.get(BAD, 0)
     temp_good, temp_bad = S.conform(good, S.STAGING), S.conform(quarantined, S.QUARANTINE)
-    counts["staged"] = merge(spark, paths.staging, temp_good)
+    counts["staged"] = merge(spark, paths.staging, temp_good, late_flag(spark, paths, late))
     counts["quarantine_added"] = merge(spark, paths.quarantine, temp_bad, reprocessed=None)
     # the checks' keys hold a day, so the batch's days are all that a batch can have broken
-    gate(spark, paths, run, "staging", {
-        "staging_fact_sales": (merge_candidates(paths.staging.read(spark), temp_good), C.STAGING_CHECKS),
-        "fact_sales_quarantine": (merge_candidates(paths.quarantine.read(spark), temp_bad), C.QUARANTINE_CHECKS),
-    }, enforce)
+    gate(spark, paths, run, "staging", [
+        ("staging_fact_sales", merge_candidates(paths.staging.read(spark), temp_good), C.STAGING_CHECKS),
+        ("fact_sales_quarantine", merge_candidates(paths.quarantine.read(spark), temp_bad), C.QUARANTINE_CHECKS),
+    ], enforce)
     counts["archived"] = archive(spark, paths, run, raw, load, scan, counts)
     return counts
 
@@ -204,27 +228,42 @@ def archived_rows(spark: SparkSession, paths: Paths) -> DataFrame:
     return rows.join(paths.ledger.read(spark).select("source_file", "archived_to"), ["source_file", "archived_to"], "left_semi")
 
 
+def history(existing: DataFrame, new: DataFrame, rows: int) -> DataFrame:
+    """The fact's rows of the ``rows`` new rows' orders, whatever their day.
+
+    Few order ids go into the scan's filter, where the files' Bloom filters skip row
+    groups; a known small number is broadcast, more are joined by their size."""
+    ids = new.select("order_id").distinct()
+    if rows <= FEW_ORDERS:
+        return existing.filter(F.col("order_id").isin([r.order_id for r in ids.collect()]))
+    return existing.join(bounded_broadcast(ids, rows), "order_id", "left_semi")
+
+
 def build_models(spark: SparkSession, paths: Paths, vocab: Vocabulary | None = None, enforce: bool = True,
                  run: str | None = None) -> dict:
-    """Incremental fact + unmapped audit.  The new fact rows wait in a lake zone
-    until the checks on their days have passed (CHK8); failing rows are stored
-    (CHK7) before a failed check stops the run."""
+    """Incremental fact + unmapped audit.  The new fact rows wait in a lake zone until
+    their checks have passed (CHK8), the grain among the rows that the fact already
+    holds of their orders; failing rows are stored (CHK7) before a failed check stops
+    the run.  Then the flags of lines that have reached the fact are cleared."""
     run = run or new_run("models")
     dims = Dims.build(spark, vocab)
     staging = paths.staging.read(spark)
     existing = paths.fact.read(spark) if paths.fact.exists(spark) else None
     new = build_fact(staging, dims) if existing is None else fact_increment(staging, dims, existing)
     zone = paths.zone("fact", run)
-    counts = {"fact_appended": K.write_parquet(S.conform(new, S.FACT), zone)}
-    new = spark.read.schema(S.FACT).parquet(zone)
-    days = new if existing is None else new.unionByName(S.conform(merge_candidates(existing, new), S.FACT))
-    C.store_failures(days, "fact_sales", C.FACT_CHECKS, paths.audit("failures", run))
-    results = gate(spark, paths, run, "fact", {"fact_sales": (days, C.FACT_CHECKS)}, enforce)
+    counts = {"fact_appended": K.write_parquet(S.conform(new, S.FACT_LINES), zone)}
+    new = spark.read.schema(S.FACT_LINES).parquet(zone)
+    C.store_failures(new.select(*S.FACT.names), "fact_sales", C.FACT_CHECKS, paths.audit("failures", run))
+    grain = [c for c in C.FACT_CHECKS if c.kind == "unique_combination"]
+    lines = new if existing is None else new.unionByName(S.conform(history(existing, new, counts["fact_appended"]), S.FACT_LINES))
+    results = gate(spark, paths, run, "fact", [("fact_sales", lines, grain),
+                                              ("fact_sales", new, [c for c in C.FACT_CHECKS if c not in grain])], enforce)
     counts["failed_checks"] = results.filter(~F.col("passed")).count()
     if counts["fact_appended"]:
         paths.fact.append(spark, new)
     audited = paths.unmapped.read(spark) if paths.unmapped.exists(spark) else None
     counts["unmapped_appended"] = paths.unmapped.append(spark, unmapped_rows(staging, dims, audited))
+    reset(spark, paths)
     return counts
 
 
@@ -254,9 +293,12 @@ def run_range(spark: SparkSession, paths: Paths, first_ds, last_ds, vocab: Vocab
     return counts
 
 
-def reset(spark: SparkSession, paths: Paths, dims: Dims) -> None:
-    """REC3 on the tables."""
-    paths.staging.replace(spark, U.reset_flag(paths.staging.read(spark), paths.fact.read(spark), dims))
+def reset(spark: SparkSession, paths: Paths) -> int:
+    """REC3 on the tables: only the days that hold flagged lines are written again."""
+    staging = paths.staging.read(spark)
+    days = [r.sale_date for r in staging.filter(F.col("is_reprocessed")).select("sale_date").distinct().collect()]
+    here = K.in_days(days)
+    return paths.staging.replace_days(spark, U.reset_flag(staging.filter(here), paths.fact.read(spark).filter(here)), days)
 
 
 def recover_quarantine(spark: SparkSession, paths: Paths, edited: DataFrame, vocab: Vocabulary | None = None,
@@ -264,9 +306,8 @@ def recover_quarantine(spark: SparkSession, paths: Paths, edited: DataFrame, voc
     """FLW3: edited quarantine rows → staging (flagged) → quarantine without
     them → fact picks them up → flags reset.  What leaves quarantine is decided by
     what staging holds, and the fact skips lines that it has, so the flow can be
-    run again after a stop at any step."""
+    run again after a stop at any step.  Only the edited rows' days are rewritten."""
     run = new_run("recovery")
-    dims = Dims.build(spark, vocab)
     passing = S.conform(good_rows(edited), S.STAGING)
     zone = paths.zone("reprocessed", run)
     K.write_parquet(passing, zone)
@@ -274,24 +315,26 @@ def recover_quarantine(spark: SparkSession, paths: Paths, edited: DataFrame, voc
     counts = {"loaded": merge(spark, paths.staging, passing, reprocessed=True)}
     staged = merge_candidates(paths.staging.read(spark), passing)
     here, cond = U.null_safe_match(passing, staged, FV.MERGE_KEYS)
-    counts["quarantine_left"] = paths.quarantine.replace(
-        spark, U.delete_fixed(paths.quarantine.read(spark), passing.join(here, cond, "left_semi")))
+    days = touched_days(passing)
+    held = paths.quarantine.read(spark).filter(K.in_days(days))
+    paths.quarantine.replace_days(spark, U.delete_fixed(held, passing.join(here, cond, "left_semi")), days)
     counts.update(build_models(spark, paths, vocab, enforce, run))
-    reset(spark, paths, dims)
     return counts
 
 
 def recover_failed(spark: SparkSession, paths: Paths, check: C.Check, column: str, value, vocab: Vocabulary | None = None,
                    enforce: bool = False) -> dict:
-    """REC4/REC5 as a flow: repair and flag the staging lines that fail ``check``,
-    take the failing fact lines out, re-feed, reset.  Repeatable: staging is
-    repaired before the fact forgets which lines failed."""
-    dims = Dims.build(spark, vocab)
-    failures = C.failing_rows(paths.fact.read(spark), check)
-    counts = {"failing": failures.count()}
+    """REC4/REC5 as a flow: repair and flag the staging lines that fail ``check``, take
+    the failing fact lines out, re-feed, reset.  Only their days are rewritten.
+    Repeatable: staging is repaired before the fact forgets which lines failed."""
+    run = new_run("repair")
+    zone = paths.zone("failing", run)
+    counts = {"failing": K.write_parquet(C.failing_rows(paths.fact.read(spark), check).select(*S.FACT_LINES.names), zone)}
     if counts["failing"]:
-        paths.staging.replace(spark, U.recover(paths.staging.read(spark), failures, column, value, dims))
-        paths.fact.replace(spark, U.remove_failed(paths.fact.read(spark), failures))
-    counts.update(build_models(spark, paths, vocab, enforce))
-    reset(spark, paths, dims)
+        failures = spark.read.schema(S.FACT_LINES).parquet(zone)
+        days = touched_days(failures)
+        here = K.in_days(days)
+        paths.staging.replace_days(spark, U.recover(paths.staging.read(spark).filter(here), failures, column, value), days)
+        paths.fact.replace_days(spark, U.remove_failed(paths.fact.read(spark).filter(here), failures), days)
+    counts.update(build_models(spark, paths, vocab, enforce, run))
     return counts

@@ -250,17 +250,17 @@ def q_dim_date(r: Run):
 
 
 def q_fact_full(r: Run):
-    return build_fact(r.staging, r.dims, dim_date=r.dim_date)
+    return build_fact(r.staging, r.dims, dim_date=r.dim_date).select(*FACT.names)
 
 
 def q_fact_incremental(r: Run):
     old = r.staging.filter(F.col("payment_time") < O.CUTOFF)
     existing = build_fact(old, r.dims)
-    return build_fact(r.staging, r.dims, existing=existing)
+    return build_fact(r.staging, r.dims, existing=existing).select(*FACT.names)
 
 
 def q_fact_reprocessed(r: Run):
-    return r.fact_reprocessed
+    return r.fact_reprocessed.select(*FACT.names)
 
 
 def q_unmapped_rows(r: Run):
@@ -297,7 +297,7 @@ def q_delete_fixed(r: Run):
 
 def q_reset_flag(r: Run):
     fact2 = r.fact.unionByName(r.fact_reprocessed)
-    return U.reset_flag(r.staging2, fact2, r.dims)
+    return U.reset_flag(r.staging2, fact2)
 
 
 def _fact_failures(r: Run, check: C.Check) -> DataFrame:
@@ -309,11 +309,11 @@ ORDER_TYPE_KNOWN = C.Check("expression", ("order_type_key",), expression="!= 0",
 
 
 def q_recover_int(r: Run):
-    return U.recover_int(r.staging, _fact_failures(r, NOT_NULL_RECEIVED), "received_amount", 0, r.dims)
+    return U.recover_int(r.staging, _fact_failures(r, NOT_NULL_RECEIVED), "received_amount", 0)
 
 
 def q_recover_str(r: Run):
-    return U.recover_str(r.staging, _fact_failures(r, ORDER_TYPE_KNOWN), "order_type", "Dine-in", r.dims)
+    return U.recover_str(r.staging, _fact_failures(r, ORDER_TYPE_KNOWN), "order_type", "Dine-in")
 
 
 def _edit(quarantine: DataFrame) -> DataFrame:
@@ -394,7 +394,7 @@ def q_chk_summary(r: Run):
 
 
 def q_chk_failures(r: Run):
-    return C.failing_rows(r.fact, ORDER_TYPE_KNOWN)
+    return C.failing_rows(r.fact.select(*FACT.names), ORDER_TYPE_KNOWN)
 
 
 def q_rpt_daily(r: Run):
@@ -441,10 +441,14 @@ def q_append_merge_schema(r: Run):
     return r.spark.read.option("mergeSchema", "true").parquet(path).select(*STAGING_FLAGGED.names)
 
 
+def _fact_rows(r: Run, paths: P.Paths) -> DataFrame:
+    return paths.fact.read(r.spark).select(*FACT.names, "sale_date")
+
+
 def q_partitioned_fact(r: Run):
     paths = P.Paths(run_dir(r.spark, "fact"))
     paths.fact.replace(r.spark, r.fact)
-    return paths.fact.read(r.spark)
+    return _fact_rows(r, paths)
 
 
 _LANDED: dict = {}
@@ -471,12 +475,12 @@ def _report_days(paths: P.Paths, spark) -> list:
     return sorted(_dt.date.fromisoformat(d) for d in days)
 
 
-def _backfilled(r: Run, first: int = 0, last: int = -1, paths: P.Paths | None = None, enforce: bool = False) -> P.Paths:
+def _backfilled(r: Run, first: int = 0, last: int = -1, paths: P.Paths | None = None, enforce: bool = False, **options) -> P.Paths:
     """``run_range`` over the delivered days number ``first`` to ``last``."""
     paths = paths or _landed(r)
     days = _report_days(paths, r.spark)
     one = _dt.timedelta(days=1)
-    P.run_range(r.spark, paths, days[first] + one, days[last] + one, r.vocab, RUN_NOW, enforce=enforce)
+    P.run_range(r.spark, paths, days[first] + one, days[last] + one, r.vocab, RUN_NOW, enforce=enforce, **options)
     return paths
 
 
@@ -487,7 +491,59 @@ def _again(r: Run, paths: P.Paths) -> None:
 
 
 def q_run_range(r: Run):
-    return _backfilled(r).fact.read(r.spark)
+    return _fact_rows(r, _backfilled(r))
+
+
+def _halves(r: Run, late: str) -> P.Paths:
+    """The days from the middle one on, and then the ones before it."""
+    paths = _landed(r)
+    middle = len(_report_days(paths, r.spark)) // 2
+    _backfilled(r, middle, -1, paths)
+    return _backfilled(r, 0, middle - 1, paths, late=late)
+
+
+def q_late_days(r: Run):
+    """The fact after half of all days came late."""
+    return _fact_rows(r, _halves(r, P.LATE_FLAG))
+
+
+def q_late_strict(r: Run):
+    """The same by the strict rule: late lines stay in staging alone."""
+    return _fact_rows(r, _halves(r, P.LATE_STRICT))
+
+
+AGAIN = 7  # every seventh order number comes again
+
+
+def q_gate_history(r: Run):
+    """The fact checks' results of a day that holds orders of other days again; the
+    run has stopped and the fact has none of its rows."""
+    paths = _backfilled(r)
+    again = _report_days(paths, r.spark)[-1] + _dt.timedelta(days=1)
+    rows = daily_report(r.spark, r.sf_dir).filter(F.col("Order ID").cast("long") % AGAIN == 0)
+    moved = rows.withColumns({"Payment Time": F.concat(F.lit(again.isoformat()), F.substring("Payment Time", 11, 9)),
+                              "report_date": F.lit(again)})
+    late = P.Paths(paths.base, run_dir(r.spark, "again"))
+    K.land_reports(moved, late.incoming)
+    before, run = paths.fact.read(r.spark).count(), P.new_run("again")
+    try:
+        P.run_day(r.spark, late, again + _dt.timedelta(days=1), r.vocab, RUN_NOW, run=run)
+        raise AssertionError("the run was not stopped")
+    except C.CheckFailed:
+        assert paths.fact.read(r.spark).count() == before
+    return r.spark.read.parquet(paths.audit("results/fact", run))
+
+
+def q_recover_failed(r: Run):
+    """REC4/REC5 on tables: order types that the check does not know become Dine-in,
+    and missing received amounts 0; the fact, staging and their flags after it."""
+    paths = _backfilled(r)
+    P.recover_failed(r.spark, paths, ORDER_TYPE_KNOWN, "order_type", "Dine-in", r.vocab)
+    P.recover_failed(r.spark, paths, NOT_NULL_RECEIVED, "received_amount", 0, r.vocab)
+    fact = paths.fact.read(r.spark).select(F.lit("fact").alias("table_name"), "order_id", F.col("order_type_key").cast("string").alias("order_type"),
+                                           "quantity", "received_amount", F.lit(False).alias("is_reprocessed"))
+    return fact.unionByName(paths.staging.read(r.spark).select(
+        F.lit("staging").alias("table_name"), "order_id", "order_type", "quantity", "received_amount", "is_reprocessed"))
 
 
 def q_archive_ledger(r: Run):
@@ -621,6 +677,7 @@ SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "recover_int": q_recover_int,
     "recover_str": q_recover_str,
     "recover_quarantine": q_recover_quarantine,
+    "recover_failed": q_recover_failed,
     "chk_not_null": q_chk_not_null,
     "chk_unique": q_chk_unique,
     "chk_accepted": q_chk_accepted,
@@ -645,6 +702,9 @@ SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "flow_merge": q_flow_merge,
     "mixed_headers": q_mixed_headers,
     "gate_failures": q_gate_failures,
+    "late_days": q_late_days,
+    "late_strict": q_late_strict,
+    "gate_history": q_gate_history,
     "run_day": q_run_day,
     "run_range": q_run_range,
     "stream_incoming": q_stream_incoming,

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, StringType, StructField,
-    StructType, TimestampNTZType,
+    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType,
+    StructField, StructType, TimestampNTZType,
 )
 
 
@@ -57,6 +57,8 @@ FACT = _s(
     ("sub_category", StringType()), ("quantity", DoubleType()),
     ("total_order_amount", DoubleType()), ("received_amount", DoubleType()),
 )
+# as stored: with the key of the staging line that a fact line comes from
+FACT_LINES = StructType(FACT.fields + [StructField("line_key", LongType(), True)])
 
 UNMAPPED = _s(
     ("order_id", StringType()), ("payment_time", StringType()),

@@ -136,14 +136,8 @@ def normalized_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same orders as daily report files: one file per payment day with
-    a blank footer row last, as delivered (``report_date`` names the day).  The
-    shop opens on the 1st, 11th, 21st and 31st: orders of the days between are
-    paid on the opening day before them, so there are some hundred files."""
-    raw = raw_report(spark, sf_dir)
-    paid = F.col("Payment Time")
-    day = F.lpad((F.floor((F.substring(paid, 9, 2).cast("int") - 1) / 10) * 10 + 1).cast("string"), 2, "0")
-    raw = raw.withColumn("Payment Time", F.concat(F.substring(paid, 1, 8), day, F.substring(paid, 11, 9)))
-    rows = (raw.filter(F.col("row_idx") != FOOTER_ROW_IDX)
+    a blank footer row last, as delivered (``report_date`` names the day)."""
+    rows = (raw_report(spark, sf_dir).filter(F.col("row_idx") != FOOTER_ROW_IDX)
             .withColumn("report_date", F.to_date(F.col("Payment Time").cast("timestamp_ntz"))))
     footers = rows.groupBy("report_date").agg(F.count(F.lit(1)).alias("n")).select(
         *[F.lit(None).cast("string").alias(c) for c in

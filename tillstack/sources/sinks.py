@@ -1,26 +1,34 @@
 """Sinks and table storage (SNK1-14, SRC6-7).
 
-Tables live as Parquet directories under a base folder on shared storage.
-Parquet has no MERGE/UPDATE/DELETE, so a table is a sequence of version
-directories: appends add files to the current version, a rewrite writes the
-next version.  A version counts once its write has ended (``_SUCCESS``), so a
-path that is being read is never overwritten and a rewrite that stops half-way
-leaves the version before it current.  Every write reads its result back from storage,
-which also cuts the lineage for later steps (executors lost later do not
-force a recompute from the raw reports).
+Tables live as Parquet under a base folder on shared storage.  A table is a
+sequence of batches, folders ``batch=<number>-<kind>``:
+
+- ``add``: rows that are appended;
+- ``days``: the whole new content of some day partitions.  A day that such a batch
+  holds is no longer read from the batches before it; the files of all other days
+  stay as they are and where they are;
+- ``all``: the whole new content of the table.
+
+A write goes to a folder that readers pass over and is published by renaming that
+folder, once, after it has ended.  So a stop at any moment shows all of a batch or
+nothing of it, and a path that is being read never changes.  (One writer at a time;
+an object store needs a committer whose rename is atomic.)  Every write reads its
+result back from storage, which also cuts the lineage for later steps.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from tillstack.schemas import conform
 
-VERSION_PREFIX = "v="
-DONE = "_SUCCESS"  # the mark that Spark leaves when a write has ended
+BATCH = "batch"
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # how Spark names the folder of null
 
 
 def _fs(spark: SparkSession, path: str):
@@ -41,59 +49,90 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def day_of(col: str = "payment_time"):
+    """The day partition of a delivered text time; what does not parse has none."""
+    return F.to_date(F.col(col).cast("string").try_cast("timestamp_ntz"))
+
+
+def in_days(days, day="sale_date"):
+    """Whether ``day`` (a column) is one of ``days``; None is the null partition."""
+    day = F.col(day) if isinstance(day, str) else day
+    known = [d for d in days if d is not None]
+    hit = F.coalesce(day.isin(known), F.lit(False)) if known else F.lit(False)
+    return hit | day.isNull() if None in days else hit
+
+
 @dataclass(frozen=True)
 class Table:
-    """A versioned Parquet table at ``path`` with a fixed schema."""
+    """A Parquet table at ``path`` with a fixed schema; see the module's notes.
+    ``bloom``: columns whose files carry Bloom filters (SNK11)."""
 
     path: str
     schema: StructType
     partition_by: tuple = ()
+    bloom: tuple = ()
 
-    def _started(self, spark: SparkSession) -> list[int]:
-        return sorted(int(d[len(VERSION_PREFIX):]) for d in list_dirs(spark, self.path)
-                      if d.startswith(VERSION_PREFIX))
-
-    def _versions(self, spark: SparkSession) -> list[int]:
-        """The finished versions."""
-        return [v for v in self._started(spark) if path_exists(spark, f"{self._dir(v)}/{DONE}")]
+    def batches(self, spark: SparkSession) -> list[str]:
+        """The published batches that still count, oldest first."""
+        names = [d.split("=", 1)[1] for d in list_dirs(spark, self.path) if d.startswith(f"{BATCH}=")]
+        whole = [i for i, n in enumerate(names) if n.endswith("-all")]
+        return names[whole[-1]:] if whole else names
 
-    def _next(self, spark: SparkSession) -> int:
-        """A number that no version, finished or not, has used."""
-        return max(self._started(spark), default=0) + 1
-
-    def _dir(self, v: int) -> str:
-        return f"{self.path}/{VERSION_PREFIX}{v:06d}"
+    def _dir(self, name: str) -> str:
+        return f"{self.path}/{BATCH}={name}"
 
     def exists(self, spark: SparkSession) -> bool:
-        return bool(self._versions(spark))
+        return bool(self.batches(spark))
+
+    def _days(self, spark: SparkSession, name: str) -> list:
+        """The days of a batch: its folders' names, no file is opened."""
+        found = [d.split("=", 1)[1] for d in list_dirs(spark, self._dir(name)) if "=" in d]
+        return [None if d == NO_DAY else _dt.date.fromisoformat(d) for d in found]
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """SRC6: the current version (empty with the schema if none yet);
-        partition columns (``sale_date``) come last."""
-        vs = self._versions(spark)
-        if not vs:
-            empty = spark.createDataFrame([], self.schema)
-            for c in self.partition_by:
-                empty = empty.withColumn(c, F.lit(None).cast("date"))
-            return empty
-        out = spark.read.schema(self.schema).option("mergeSchema", "true").parquet(self._dir(vs[-1]))
-        for c in self.partition_by:
-            if c not in out.columns:  # a version without any row has no partition folder
-                out = out.withColumn(c, F.lit(None).cast("date"))
-        return out
+        """SRC6: the current content (empty with the schema if there is none yet);
+        the partition column (``sale_date``) comes last."""
+        names = self.batches(spark)
+        schema = StructType([*self.schema.fields, *(StructField(c, DateType()) for c in self.partition_by)])
+        filled = [n for n in names if not self.partition_by or list_dirs(spark, self._dir(n))]
+        if not filled:
+            return spark.createDataFrame([], schema)
+        out = (spark.read.schema(StructType([*schema.fields, StructField(BATCH, StringType())])).option("basePath", self.path)
+               .parquet(*[self._dir(n) for n in filled]))
+        for name in names:
+            if name.endswith("-days"):  # partition values only: superseded files are pruned, not read
+                out = out.filter(~((F.col(BATCH) < name) & in_days(self._days(spark, name))))
+        return out.select(*schema.names)
 
     def append(self, spark: SparkSession, df: DataFrame) -> int:
-        """SNK6/SNK9/SNK12: append rows to the current version; returns the
-        number appended (SNK14, measured on the write itself)."""
-        vs = self._versions(spark)
-        target = self._dir(vs[-1] if vs else self._next(spark))
-        return _write_counted(self._prepare(df), target, "append", self.partition_by)
+        """SNK6/SNK9/SNK12: append rows; returns their number (SNK14, measured on
+        the write itself).  Without rows nothing is published."""
+        return self._publish(spark, df, "add")
 
     def replace(self, spark: SparkSession, df: DataFrame) -> int:
-        """SNK8: write ``df`` as the next version; readers of the previous
-        version are unaffected."""
-        return _write_counted(self._prepare(df), self._dir(self._next(spark)), "errorifexists",
-                              self.partition_by)
+        """SNK8: ``df`` is the table's content from now on."""
+        return self._publish(spark, df, "all")
+
+    def replace_days(self, spark: SparkSession, df: DataFrame, days) -> int:
+        """SNK10: the rows of ``df`` in the day partitions ``days`` are these days'
+        content from now on (a day without rows becomes empty); the files of other
+        days stay untouched."""
+        days = list(days)
+        return self._publish(spark, df.filter(in_days(days, day_of())), "days", days) if days else 0
+
+    def _publish(self, spark: SparkSession, df: DataFrame, kind: str, days=()) -> int:
+        work = f"{self.path}/_writing-{uuid.uuid4().hex[:12]}"
+        rows = _write_counted(self._prepare(df), work, "errorifexists", self.partition_by, self.bloom)
+        fs, at = _fs(spark, work)
+        if kind == "add" and not rows:
+            fs.delete(at, True)
+            return 0
+        for d in days:
+            fs.mkdirs(_fs(spark, f"{work}/sale_date={NO_DAY if d is None else d.isoformat()}")[1])
+        taken = [int(d.split("=", 1)[1].split("-")[0]) for d in list_dirs(spark, self.path) if d.startswith(f"{BATCH}=")]
+        if not fs.rename(at, _fs(spark, self._dir(f"{max(taken, default=0) + 1:08d}-{kind}"))[1]):
+            raise RuntimeError(f"the batch at {work} could not be published")
+        return rows
 
     def _prepare(self, df: DataFrame) -> DataFrame:
         out = conform(df, self.schema)
@@ -106,24 +145,30 @@ class Table:
             # statistics skip row groups.
             # staging keeps the delivered text time; a value that does not
             # parse lands in the null partition instead of failing the load
-            day = F.to_date(F.col("payment_time").try_cast("timestamp_ntz"))
-            out = out.withColumn("sale_date", day)
+            out = out.withColumn("sale_date", day_of())
             n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             out = (out.repartitionByRange(n, "sale_date", "category", "sub_category", "order_id")
                    .sortWithinPartitions("sale_date", "category", "sub_category"))
         return out
 
 
-def _write_counted(df: DataFrame, path: str, mode: str, partition_by=()) -> int:
+def _write_counted(df: DataFrame, path: str, mode: str, partition_by=(), bloom=()) -> int:
     """Write and report the row count from an observed metric of the write
     itself (no second pass over the data)."""
-    from pyspark.sql import Observation
-    obs = Observation("written")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    return write_observed(df, path, mode, partition_by, {"rows": F.count(F.lit(1))}, bloom)["rows"]
+
+
+def write_observed(df: DataFrame, path: str, mode: str, partition_by, metrics: dict, bloom=()) -> dict:
+    """Write ``df`` and return named metrics (AGG2) that were observed on the rows
+    as they were written."""
+    seen = Observation("written")
+    w = df.observe(seen, *[m.cast("bigint").alias(name) for name, m in metrics.items()]).write.mode(mode)
+    for c in bloom:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return int(obs.get.get("rows", 0))
+    return {name: int(seen.get.get(name) or 0) for name in metrics}
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> int:
