@@ -114,7 +114,7 @@ def test_recovery_touches_the_failing_line_only(spark):
         "payment_type string, order_type string, source_file string")
     dims = Dims.build(spark)
     failing = C.failing_rows(build_fact(staging, dims), C.Check("expression", ("quantity",), expression="> 0"))
-    fixed = {r.items: (r.quantity, r.is_reprocessed) for r in U.recover_int(staging, failing, "quantity", 1, dims).collect()}
+    fixed = {r.items: (r.quantity, r.is_reprocessed) for r in U.recover_int(staging, failing, "quantity", 1).collect()}
     assert fixed == {"Espresso Shot": (1.0, True), "Mocha": (3.0, False)}
     assert U.remove_failed(build_fact(staging, dims), failing).count() == 1
 

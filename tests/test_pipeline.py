@@ -82,8 +82,8 @@ def test_keep_unparsed_sends_pastry_without_flavor_to_quarantine(spark):
         [("1", "Croissant x2, Latte x1, Filler", "100", "100", "2026-03-22 09:00:00", "-", "-", "Dine-in", "f", 0, 0)],
         "order_id string, products string, product_amount string, received_amount string, payment_time string, "
         "cash string, gcash string, `type/channel` string, source_file string, row_idx long, row_part long")
-    dropped = clean_report(raw, spark, drop_last_row=False, persist=False)
-    kept = clean_report(raw, spark, drop_last_row=False, persist=False, keep_unparsed=True)
+    dropped = clean_report(raw, spark, drop_last_row=False)
+    kept = clean_report(raw, spark, drop_last_row=False, keep_unparsed=True)
     assert dropped.count() == 2 and kept.count() == 3
     q = quarantine_rows(kept, dt.datetime(2026, 3, 23), with_all_reasons=True)
     row = q.filter("items IS NULL").first()

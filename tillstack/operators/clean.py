@@ -5,13 +5,12 @@ Every step is a DataFrame → DataFrame function so they chain with
 in Python.  The two steps that depend on file order (footer drop, keep-first
 dedup) avoid windows over a file or a key: a file or key may hold a third of
 all rows, and a window would put all of them in one task.  A partial aggregate
-per (file, key) keeps the first line whole, and a file's last line is one small
-row.
+per (file, key) keeps the first line whole and the group's last place, and a
+file's last line is one small row from those.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstack import fixed_values as FV
@@ -150,27 +149,41 @@ def dedup_first(df: DataFrame, keys=FV.DEDUP_KEYS) -> DataFrame:
     return df.join(firsts, on=LINE_ORDER, how="left_semi")
 
 
-def keep_first_drop_last(df: DataFrame, keys=FV.DEDUP_KEYS, drop_last_row: bool = True,
-                         lasts: DataFrame | None = None) -> DataFrame:
-    """FLT3 + WIN2 in one aggregate.
+LAST, COPIES = "last_place", "copies"
 
-    Per (file, key) a partial aggregate keeps the first line whole: the smallest
-    struct that starts with the ordinal.  The footer drop runs before the dedup
-    in the rule, and the last line of a file is either alone in its key group (so
-    the group disappears) or a later copy (which the dedup drops anyway), so a
-    line stays iff it is its group's first and not the file's last.  ``lasts``
-    are the files' last ordinals (default: taken from ``df``; a caller may pass
-    a cheaper relation), one small row each.  Lineage columns are never null
-    (the readers set them).
-    """
+
+def first_lines(df: DataFrame, keys=FV.DEDUP_KEYS) -> DataFrame:
+    """The first line of each (file, key) whole, with ``last_place`` and ``copies``: the
+    last ordinal of its group and the group's size.  One partial aggregate: the first
+    line is the smallest struct that starts with the ordinal.  Lineage columns are
+    never null (the readers set them)."""
     others = [c for c in df.columns if c not in (*keys, *LINE_ORDER)]
+    place = F.struct(*ORDER_COLS, "pos")
     line = F.struct(*ORDER_COLS, "pos", *[F.col(f"`{c}`") for c in others])
-    first = (df.groupBy("source_file", *keys).agg(F.min(line).alias("l"))
-             .select("source_file", *keys, *[F.col(f"l.`{c}`").alias(c) for c in [*ORDER_COLS, "pos", *others]]))
-    if drop_last_row:
-        lasts = file_lasts(df) if lasts is None else lasts
-        first = first.join(lasts, on=LINE_ORDER, how="left_anti")
-    return first.select(*[F.col(f"`{c}`") for c in df.columns])
+    grouped = df.groupBy("source_file", *keys).agg(F.min(line).alias("l"), F.max(place).alias(LAST), F.count(F.lit(1)).alias(COPIES))
+    columns = {c: F.col(f"l.`{c}`") for c in [*ORDER_COLS, "pos", *others]}
+    return grouped.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns], LAST, COPIES)
+
+
+def drop_lasts(first: DataFrame) -> DataFrame:
+    """``first_lines`` without each file's last line: a small row a file tells it."""
+    lasts = (first.groupBy("source_file").agg(F.max(LAST).alias("m"))
+             .select("source_file", *_ordinal_select("m")))
+    return first.join(lasts, on=LINE_ORDER, how="left_anti").select(*[c for c in first.columns if c not in (LAST, COPIES)])
+
+
+def keep_first_drop_last(df: DataFrame, keys=FV.DEDUP_KEYS, drop_last_row: bool = True, hold=None) -> DataFrame:
+    """FLT3 + WIN2 in one aggregate.
+
+    The footer drop runs before the dedup in the rule, and the last line of a file is
+    either alone in its key group (so the group disappears) or a later copy (which the
+    dedup drops anyway), so a line stays iff it is its group's first and not the file's
+    last.  The lines are read twice then, for the files' last places and for the rest:
+    ``hold`` writes them and reads them back, so that they are parsed once."""
+    first = first_lines(df, keys)
+    first = hold(first) if hold else first
+    out = drop_lasts(first) if drop_last_row else first
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def file_lasts(df: DataFrame) -> DataFrame:
@@ -191,37 +204,23 @@ def parse_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary) -> DataFr
 
 
 def finished_lines(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
-                   persist: bool = False, keep_unparsed: bool = False) -> DataFrame:
+                   keep_unparsed: bool = False) -> DataFrame:
     """Parsed lines after FLT2 and the column cleanup, before the file-order
-    steps.  ``persist`` is for callers that read them several times."""
+    steps."""
     extra = ("product_list",) if keep_unparsed else ()
     out = (parse_lines(df, spark, vocab or Vocabulary())
            .transform(lambda d: keep_columns(d, extra))
            .transform(lambda d: drop_missing_items(d, keep_unparsed))
            .transform(finish_columns))
-    if keep_unparsed:
-        out = out.drop("product_list")
-    return out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
-
-
-def surviving_lasts(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None, keep_unparsed: bool = False) -> DataFrame:
-    """``file_lasts`` of the surviving lines, from the item names alone: no
-    attributes, amounts or lookups are parsed for it."""
-    vocab = vocab or Vocabulary()
-    items = drop_blank_items(explode_items(df.select("source_file", *ORDER_COLS, "products")))
-    named = apply_corrections(derive_item(items, vocab.rules), spark, vocab)
-    return file_lasts(drop_missing_items(named, keep_unparsed))
+    return out.drop("product_list") if keep_unparsed else out
 
 
 def clean_report(df: DataFrame, spark: SparkSession, vocab: Vocabulary | None = None,
-                 drop_last_row: bool = True, keys=FV.DEDUP_KEYS, persist: bool = False,
-                 keep_unparsed: bool = False) -> DataFrame:
+                 drop_last_row: bool = True, keys=FV.DEDUP_KEYS, keep_unparsed: bool = False, hold=None) -> DataFrame:
     """MDL8: normalised report → clean item lines, in the reference order.
 
-    One shuffle (the keep-first aggregate), nothing persisted unless asked.  The output keeps
-    the lineage columns ``source_file, row_idx, row_part, pos``; ``conform`` drops
-    what a load schema does not list.
+    One shuffle (the keep-first aggregate).  The output keeps the lineage columns
+    ``source_file, row_idx, row_part, pos``; ``conform`` drops what a load schema
+    does not list.  ``hold``: see ``keep_first_drop_last``.
     """
-    lines = finished_lines(df, spark, vocab, persist, keep_unparsed)
-    lasts = surviving_lasts(df, spark, vocab, keep_unparsed) if drop_last_row else None
-    return keep_first_drop_last(lines, keys, drop_last_row, lasts)
+    return keep_first_drop_last(finished_lines(df, spark, vocab, keep_unparsed=keep_unparsed), keys, drop_last_row, hold)

@@ -11,7 +11,6 @@ import datetime as _dt
 from collections.abc import Callable
 from functools import cached_property, reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstack import fixed_values as FV
@@ -47,6 +46,11 @@ class Run:
         self.sf_dir = sf_dir
         self.vocab = vocab or Vocabulary()
 
+    def _held(self, df: DataFrame, label: str) -> DataFrame:
+        path = run_dir(self.spark, label)
+        K.write_parquet(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def report(self) -> DataFrame:
         return normalized_report(self.spark, self.sf_dir)
@@ -69,7 +73,7 @@ class Run:
 
     @cached_property
     def finished(self) -> DataFrame:
-        return CL.finished_lines(self.report, self.spark, self.vocab, persist=True)
+        return self._held(CL.finished_lines(self.report, self.spark, self.vocab), "finished")
 
     @cached_property
     def nofoot(self) -> DataFrame:
@@ -77,11 +81,8 @@ class Run:
 
     @cached_property
     def lines(self) -> DataFrame:
-        # Staging, quarantine and the fact all derive from these lines and a
-        # query may read several of them (checks, recovery), so they are
-        # computed once (memory, spilling to disk), like the tables a daily
-        # run writes.
-        return CL.clean_report(self.report, self.spark, self.vocab).persist(StorageLevel.MEMORY_AND_DISK)
+        # parsed once, into the shared folder, like the zones a daily run writes
+        return CL.clean_report(self.report, self.spark, self.vocab, hold=lambda first: self._held(first, "lines"))
 
     @cached_property
     def staging(self) -> DataFrame:
@@ -111,7 +112,7 @@ class Run:
     @cached_property
     def loaded(self) -> DataFrame:
         # read by several branches (staging2, the quarantine delete, counts)
-        return U.load_fixed(self.staging, self.edited_quarantine).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._held(U.load_fixed(self.staging, self.edited_quarantine), "loaded")
 
     @cached_property
     def staging2(self) -> DataFrame:

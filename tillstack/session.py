@@ -30,6 +30,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the pipeline needs to a live session."""
     for k, v in PIPELINE_CONF.items():
         spark.conf.set(k, v)
+    # day folders are listed by a job: some tasks a core, not one for each folder
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * spark.sparkContext.defaultParallelism))
     return spark
 
 

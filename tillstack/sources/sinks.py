@@ -49,6 +49,11 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def _any(spark: SparkSession, glob: str) -> bool:
+    fs, p = _fs(spark, glob)
+    return len(fs.globStatus(p) or []) > 0
+
+
 def day_of(col: str = "payment_time"):
     """The day partition of a delivered text time; what does not parse has none."""
     return F.to_date(F.col(col).cast("string").try_cast("timestamp_ntz"))
@@ -94,7 +99,7 @@ class Table:
         the partition column (``sale_date``) comes last."""
         names = self.batches(spark)
         schema = StructType([*self.schema.fields, *(StructField(c, DateType()) for c in self.partition_by)])
-        filled = [n for n in names if not self.partition_by or list_dirs(spark, self._dir(n))]
+        filled = [n for n in names if not self.partition_by or _any(spark, f"{self._dir(n)}/*=*")]
         if not filled:
             return spark.createDataFrame([], schema)
         out = (spark.read.schema(StructType([*schema.fields, StructField(BATCH, StringType())])).option("basePath", self.path)
@@ -163,8 +168,10 @@ def write_observed(df: DataFrame, path: str, mode: str, partition_by, metrics: d
     as they were written."""
     seen = Observation("written")
     w = df.observe(seen, *[m.cast("bigint").alias(name) for name, m in metrics.items()]).write.mode(mode)
-    for c in bloom:
-        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    # tasks move their own files: a folder counts as a whole when it is published or its flow goes on
+    w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    for c in bloom:  # sized by the values that a row group has, not by the largest size
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
