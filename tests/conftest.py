@@ -21,3 +21,15 @@ def spark():
 def run(spark):
     from tillstack.plans.queries import Run
     return Run(spark, SF_SMALL)
+
+
+@pytest.fixture(scope="session")
+def tiny_dir(spark, tmp_path_factory):
+    """A test-data folder of some fifty orders: the flows write files for every day."""
+    import pyspark.sql.functions as F
+    base = str(tmp_path_factory.mktemp("tiny"))
+    keys = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey").orderBy("o_orderkey").limit(50)
+    last = keys.agg(F.max("o_orderkey")).first()[0]
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").filter(F.col("o_orderkey") <= last).write.parquet(f"{base}/orders.parquet")
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter(F.col("l_orderkey") <= last).write.parquet(f"{base}/lineitem.parquet")
+    return base

@@ -14,6 +14,7 @@ from tillstack.operators.fact import build_fact, fact_increment
 from tillstack.plans import flows as P
 from tillstack.session import run_dir
 from tillstack.sources import reports as RP
+from tillstack.sources import sinks as K
 
 HEADER = "Order ID,Products,Product Amount,Received Amount,Payment Time,Cash,GCash,Type/Channel"
 NOW = dt.datetime(2026, 4, 1)
@@ -84,12 +85,160 @@ def test_backfill_opens_only_its_days(spark, paths):
     assert [f.split("report_date=")[1][:10] for f in files] == ["2026-03-21", "2026-03-22"]
 
 
-def test_unfinished_version_is_not_current(spark, paths):
-    paths.ledger.append(spark, spark.createDataFrame([("f", dt.date(2026, 3, 21), 1, "a")], P.LEDGER))
-    os.makedirs(f"{paths.ledger.path}/v=000002/_temporary/0".removeprefix("file:"))
-    assert paths.ledger.read(spark).count() == 1
-    paths.ledger.replace(spark, paths.ledger.read(spark))
-    assert paths.ledger.read(spark).count() == 1
+def _ledger_row(spark, name):
+    return spark.createDataFrame([(name, dt.date(2026, 3, 21), 1, "a")], P.LEDGER)
+
+
+def test_a_stopped_write_shows_nothing(spark, paths, monkeypatch):
+    paths.ledger.append(spark, _ledger_row(spark, "f"))
+    whole = K._write_counted
+
+    def stops(*args):
+        whole(*args)
+        raise RuntimeError("stopped after the files were written, before they were published")
+
+    monkeypatch.setattr(K, "_write_counted", stops)
+    for write in (paths.ledger.append, paths.ledger.replace):
+        with pytest.raises(RuntimeError):
+            write(spark, _ledger_row(spark, "g"))
+        assert [r.source_file for r in paths.ledger.read(spark).collect()] == ["f"]
+    monkeypatch.undo()
+    paths.ledger.replace(spark, paths.ledger.read(spark).union(_ledger_row(spark, "h")))
+    assert sorted(r.source_file for r in paths.ledger.read(spark).collect()) == ["f", "h"]
+
+
+def test_day_repairs_leave_other_days_files(spark, paths, run):
+    table = paths.staging
+    table.append(spark, U.with_flag(run.staging.filter("payment_time < '1996'")))
+    table.append(spark, U.with_flag(run.staging.filter("payment_time BETWEEN '1996' AND '1996-03'")))
+    all_days = sorted(P.touched_days(table.read(spark)))
+    fixed, emptied = all_days[3], all_days[7]
+    here = K.in_days([fixed, emptied])
+    before = {r.f: r.n for r in table.read(spark).filter(~here).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n")).collect()}
+    rows = table.read(spark).count()
+    gone = table.read(spark).filter(F.col("sale_date") == F.lit(emptied)).count()
+    table.replace_days(spark, table.read(spark).filter(F.col("sale_date") == F.lit(fixed)).withColumn("quantity", F.lit(99.0)), [fixed, emptied])
+    now = table.read(spark)
+    after = {r.f: r.n for r in now.filter(~here).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n")).collect()}
+    assert before == after and now.count() == rows - gone > 0 < gone
+    assert {r.quantity for r in now.filter(F.col("sale_date") == F.lit(fixed)).collect()} == {99.0}
+    plan = now._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.split("\n") if "FileScan parquet" in line][0]
+    assert "batch" in scan.split("PartitionFilters: [")[1].split("]")[0]  # superseded files are not read
+
+
+def test_null_days_can_be_repaired(spark, paths, run):
+    rows = U.with_flag(run.staging.limit(5)).withColumn("payment_time", F.when(F.col("order_id") > "", F.lit(None).cast("string")))
+    paths.staging.append(spark, rows)
+    paths.staging.append(spark, U.with_flag(run.staging.filter("payment_time < '1995-02'")))
+    known = paths.staging.read(spark).filter("sale_date IS NOT NULL").count()
+    paths.staging.replace_days(spark, paths.staging.read(spark).filter("sale_date IS NULL").limit(2), [None])
+    assert paths.staging.read(spark).filter("sale_date IS NULL").count() == 2
+    assert paths.staging.read(spark).filter("sale_date IS NOT NULL").count() == known
+
+
+def test_order_ids_carry_bloom_filters(spark, paths, run):
+    one = U.with_flag(run.staging.limit(1))
+    many = one.crossJoin(spark.range(200000).withColumn("n", F.sha2(F.col("id").cast("string"), 256))).withColumn("order_id", F.col("n"))
+    paths.staging.append(spark, many)  # few different values stay in a dictionary, which serves as well
+    jvm = spark.sparkContext._jvm
+    file = paths.staging.read(spark).inputFiles()[0]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    filters = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in reader.getFooter().getBlocks()[0].getColumns()}
+    reader.close()
+    assert filters["order_id"] > 0 > filters["items"]
+
+
+def test_a_late_day_reaches_the_fact_once(spark, paths):
+    for day, orders in (("2026-03-21", (1, 2, 3)), ("2026-03-22", (4, 5, 6))):
+        _deliver(paths, day, [_row(i, day) for i in orders])
+    P.run_day(spark, paths, _next("2026-03-22"), now_utc=NOW)
+    out = P.run_day(spark, paths, _next("2026-03-21"), now_utc=NOW)
+    assert out["staged"] == out["fact_appended"] == 2  # the file's last line goes, as the rule says
+    assert sorted(r.order_id for r in paths.fact.read(spark).collect()) == ["1", "2", "4", "5"]
+    assert paths.staging.read(spark).filter("is_reprocessed").count() == 0
+    assert P.build_models(spark, paths)["fact_appended"] == 0
+
+
+def test_the_strict_rule_keeps_late_lines_out(spark, paths):
+    for day in ("2026-03-21", "2026-03-22"):
+        _deliver(paths, day, [_row(day[-1] + str(i), day) for i in range(3)])
+    P.run_day(spark, paths, _next("2026-03-22"), now_utc=NOW)
+    out = P.run_day(spark, paths, _next("2026-03-21"), now_utc=NOW, late=P.LATE_STRICT)
+    assert out["staged"] == 2 and out["fact_appended"] == 0
+    with pytest.raises(ValueError):
+        P.late_flag(spark, paths, "perhaps")
+
+
+def test_an_order_on_two_days_stops_the_run(spark, paths, monkeypatch):
+    _deliver(paths, "2026-03-21", [_row(i, "2026-03-21") for i in (1, 2, 3)])
+    _deliver(paths, "2026-03-22", [_row(i, "2026-03-22") for i in (1, 7, 8)])
+    P.run_day(spark, paths, _next("2026-03-21"), now_utc=NOW)
+    monkeypatch.setattr(P, "FEW_ORDERS", 0)  # by a join, not by named ids
+    for few in (0, 500):
+        monkeypatch.setattr(P, "FEW_ORDERS", few)
+        with pytest.raises(C.CheckFailed, match="unique_combination"):
+            P.run_day(spark, paths, _next("2026-03-22"), now_utc=NOW)
+        assert sorted(r.order_id for r in paths.fact.read(spark).collect()) == ["1", "2"]
+
+
+def test_recovery_tells_two_unknown_items_of_an_order_apart(spark, paths):
+    day = "2026-03-21"
+    _deliver(paths, day, [_row(1, day, "Scented Candle x1, Scented Candle (Hot) x0"), _row(2, day, "Mocha (Hot) x0, Scented Candle x0"), _row(9, day)])
+    P.run_day(spark, paths, _next(day), now_utc=NOW, enforce=False)
+    edited = paths.quarantine.read(spark).withColumn("quantity", F.lit(1.0))
+    n = edited.count()
+    out = P.recover_quarantine(spark, paths, edited)
+    assert out["loaded"] == out["fact_appended"] == n >= 2
+    assert paths.fact.read(spark).count() == paths.staging.read(spark).count()
+    assert P.recover_quarantine(spark, paths, edited)["fact_appended"] == 0 and paths.quarantine.read(spark).count() == 0
+
+
+def test_failed_lines_are_repaired_where_they_are(spark, paths):
+    for day in ("2026-03-20", "2026-03-21"):
+        _deliver(paths, day, [_row(day[-2:] + "1", day, kind="Delivery" if day.endswith("21") else "Dine-in"), _row(day[-2:] + "2", day), _row(9, day)])
+    P.run_range(spark, paths, _next("2026-03-20"), _next("2026-03-21"), now_utc=NOW, enforce=False)
+    check = C.Check("expression", ("order_type_key",), expression="!= 0")
+    calm = {r.f for r in paths.fact.read(spark).filter("sale_date = '2026-03-20'").select(F.col("_metadata.file_path").alias("f")).collect()}
+    out = P.recover_failed(spark, paths, check, "order_type", "Dine-in")
+    assert out["failing"] == out["fact_appended"] == 1
+    fact = paths.fact.read(spark)
+    assert fact.count() == 4 and C.failing_rows(fact, check).count() == 0
+    assert calm == {r.f for r in fact.filter("sale_date = '2026-03-20'").select(F.col("_metadata.file_path").alias("f")).collect()}
+    assert P.recover_failed(spark, paths, check, "order_type", "Dine-in")["failing"] == 0
+
+
+def test_multiline_report_and_misfit_records(spark, paths):
+    day = "2026-03-21"
+    lines = [_row(1, day, "Mocha (Hot) x2,\n Espresso Shot"), _row(2, day), "3,short record", _row(4, day) + ",one cell more", _row(5, day)]
+    _deliver(paths, day, lines)
+    out = P.run_day(spark, paths, _next(day), now_utc=NOW, multiline=True, enforce=False)
+    assert out["loaded"] == out["archived"] == 6 and list(out["bad_records"].values()) == [2]
+    staged = sorted((r.order_id, r["items"]) for r in paths.staging.read(spark).collect())
+    assert staged == [("1", "Espresso Shot"), ("1", "Mocha"), ("2", "Mocha"), ("4", "Mocha")]
+    assert P.archived_rows(spark, paths).filter(F.col(RP.CORRUPT).isNotNull()).count() == 2
+
+
+def test_step_counts_of_a_day(spark, paths):
+    day = "2026-03-21"
+    _deliver(paths, day, [_row(1, day, "Mocha (Hot) x2, Mocha (Hot) x2, Mystery Box"), _row(2, day, "Espresso Shot x0"), _row(3, day)])
+    out = P.run_day(spark, paths, _next(day), now_utc=NOW, enforce=False)
+    assert {k: out[k] for k in ("files", "loaded", "exploded", "duplicates", "good", "quarantined", "bad_records")} == {
+        "files": 1, "loaded": 4, "exploded": 5, "duplicates": 1, "good": 1, "quarantined": 2, "bad_records": {}}
+
+
+def test_grown_catalog_shifts_no_key(spark, paths):
+    from tillstack.sources.seeds import Vocabulary
+    first = Vocabulary()
+    a = {(r["items"], r.variation, r["size"]): r.product_key for r in Dims.stored(spark, paths.dims, first).product.df.collect()}
+    grown = Vocabulary(catalog=[("Aaa", "Wake-Up", "Food", None, None), *first.catalog[1:]])
+    b = {(r["items"], r.variation, r["size"]): r.product_key for r in Dims.stored(spark, paths.dims, grown).product.df.collect()}
+    assert all(b[k] == a[k] for k in a) and b[("Aaa", None, None)] == max(a.values()) + 1 and len(set(b.values())) == len(b)
+    batches = {n: t.batches(spark) for n, t in paths.dims.items()}
+    Dims.stored(spark, paths.dims, grown)
+    assert batches == {n: t.batches(spark) for n, t in paths.dims.items()}  # nothing new, nothing written
 
 
 def test_increment_prunes_both_scans(spark, paths, run):

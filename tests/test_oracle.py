@@ -1,25 +1,20 @@
-"""Spark queries against their independent DuckDB SQL (sf0.001).
+"""Every point-of-sale query against its independent DuckDB SQL.
 
-A representative subset runs by default; TILLSTACK_FULL_ORACLE=1 runs all.
+Table queries run over sf0.001, the flows, which write files for every day, over a
+folder of fifty orders; TILLSTACK_FULL_ORACLE=1 runs the flows over sf0.001 too.
 """
 
 import os
 
+import duckdb
 import pytest
 
 from tests.conftest import SF_SMALL
 from tests.oracle_harness import compare, duck
+from tillstack.plans.queries import SPARK
 
-SUBSET = ["normalize_headers", "composite_item", "plain_item", "corrections", "clean_lines",
-          "quarantine_rows", "dim_date", "fact_incremental", "unmapped_rows", "merge_insert",
-          "recover_str", "chk_summary", "rpt_category", "rpt_product"]
-
-
-def _names():
-    if os.environ.get("TILLSTACK_FULL_ORACLE"):
-        from __spark_entry__ import queries
-        return list(queries())
-    return SUBSET
+FLOWS = ["archive_ledger", "archive_rows", "rerun_day", "flow_quarantine", "unmapped_incremental", "gate_failures", "run_day", "run_range",
+         "stream_incoming", "late_days", "late_strict", "gate_history", "recover_failed", "recover_quarantine"]
 
 
 @pytest.fixture(scope="module")
@@ -27,12 +22,23 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", _names())
+@pytest.mark.parametrize("name", [n for n in SPARK if n not in FLOWS])
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, name, SF_SMALL, con)
     assert res["status"] == "ok", res
 
 
+@pytest.mark.parametrize("name", FLOWS)
+def test_flow_matches_oracle(spark, tiny_dir, name):
+    folder = SF_SMALL if os.environ.get("TILLSTACK_FULL_ORACLE") else tiny_dir
+    con = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        path = f"{folder}/{t}.parquet"
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path + '/*.parquet' if os.path.isdir(path) else path}')")
+    res = compare(spark, name, folder, con)
+    assert res["status"] == "ok", res
+
+
 def test_entry_smoke(spark):
     from __spark_entry__ import entry
     df = entry(spark)

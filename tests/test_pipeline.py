@@ -24,9 +24,9 @@ def test_split_is_a_partition(run):
 def test_quarantine_reason_priority(spark):
     rows = [
         ("1", "X", "Uncategorized", "Uncategorized", 0.0, 10.0),
-        (None, "Latte", "Coffee", "Beverages", 0.0, 10.0),
-        (None, "Latte", "Coffee", "Beverages", 1.0, None),
-        ("2", "Latte", "Coffee", "Beverages", 1.0, None),
+        (None, "Latte", "Long Talk", "Beverages", 0.0, 10.0),
+        (None, "Latte", "Long Talk", "Beverages", 1.0, None),
+        ("2", "Latte", "Long Talk", "Beverages", 1.0, None),
     ]
     df = spark.createDataFrame(rows, "order_id string, items string, sub_category string, category string, "
                                      "quantity double, total_order_amount double")
@@ -97,7 +97,7 @@ def test_hash_product_key_is_stable(spark):
     v = seeds.Vocabulary()
     a = {r.items + str(r.variation) + str(r.size): r.product_key
          for r in dim_product(seeds.products_seed(spark, v), key="hash").df.collect()}
-    grown = seeds.Vocabulary(catalog=[("Aaa First", "Coffee Based", "Beverages", None, None)] + list(v.catalog))
+    grown = seeds.Vocabulary(catalog=[("Aaa First", "Wake-Up", "Beverages", None, None)] + list(v.catalog))
     b = {r.items + str(r.variation) + str(r.size): r.product_key
          for r in dim_product(seeds.products_seed(spark, grown), key="hash").df.collect()}
     assert all(b[k] == a[k] for k in a) and len(set(a.values())) == len(a)

@@ -11,84 +11,58 @@ from __future__ import annotations
 import datetime as _dt
 
 # Catalog rows: (items, sub_category, category, variation, size); the natural
-# key (items, variation, size) is unique.  Blank variation/size is None.
+# key (items, variation, size) is unique.  Blank variation/size is None.  The menu
+# is grouped by the occasion at which something is ordered.
 CATALOG = [
-    ("Cafe Latte", "Espresso Bar", "Beverages", "Hot", None),
-    ("Cafe Latte", "Espresso Bar", "Beverages", "Cold", None),
-    ("Americano", "Espresso Bar", "Beverages", "Hot", None),
-    ("Americano", "Espresso Bar", "Beverages", "Cold", None),
-    ("Americano", "Espresso Bar", "Beverages", None, None),
-    ("Mocha", "Espresso Bar", "Beverages", "Hot", None),
-    ("Mocha", "Espresso Bar", "Beverages", "Cold", None),
-    ("Matcha Latte", "Milk Bar", "Beverages", "Hot", None),
-    ("Matcha Latte", "Milk Bar", "Beverages", "Cold", None),
-    ("Milk Tea", "Milk Bar", "Beverages", "Cold", None),
-    ("Baker'S Toast", "Toast Corner", "Food", None, None),
-    ("Lemonade", "Juice Stand", "Beverages", None, None),
-    ("Jasmine Tea", "Tea Pot", "Beverages", "Hot", None),
-    ("Bottled Water", "Drinks Fridge", "Beverages", None, None),
-    ("Potato Fries", "Snack Plates", "Food", None, None),
-    ("Beef Tapa Rice", "Rice Plates", "Food", None, None),
-    ("Spicy Ramen", "Noodle Bowls", "Food", None, None),
-    ("Club Sandwich", "Sandwich Press", "Food", None, "Solo"),
-    ("Club Sandwich", "Sandwich Press", "Food", None, "Duo"),
-    ("Ube Cheesecake", "Cake Counter", "Desserts", None, "Solo"),
-    ("Ube Cheesecake", "Cake Counter", "Desserts", None, "Duo"),
-    ("Ube Cheesecake", "Cake Counter", "Desserts", None, "Medio"),
-    ("Ube Cheesecake", "Cake Counter", "Desserts", None, "Familia"),
-    ("Croffle - Biscoff", "Bakery Shelf", "Desserts", None, None),
-    ("Croissant - Spam And Egg", "Bakery Shelf", "Desserts", None, None),
-    ("Cookies - Nutella Pecan", "Bakery Shelf", "Desserts", None, None),
-    ("Cookies - Red Velvet", "Bakery Shelf", "Desserts", None, None),
-    ("Cookies - Chocolate", "Bakery Shelf", "Desserts", None, None),
-    ("Espresso Shot", "Kitchen Extras", "Add-Ons", None, None),
-    ("Extra Rice", "Kitchen Extras", "Add-Ons", None, None),
+    ("Americano", "Wake-Up", "Beverages", "Hot", None),
+    ("Americano", "Wake-Up", "Beverages", "Cold", None),
+    ("Americano", "Wake-Up", "Beverages", None, None),
+    ("Farmer'S Omelette", "Hearty Start", "Food", None, None),
+    ("Croissant - Almond Nutella", "Hearty Start", "Food", None, None),
+    ("Mocha", "Long Talk", "Beverages", "Hot", None),
+    ("Mocha", "Long Talk", "Beverages", "Cold", None),
+    ("Cinnamon Latte", "Long Talk", "Beverages", "Hot", None),
+    ("Cinnamon Latte", "Long Talk", "Beverages", "Cold", None),
+    ("Mint Infusion", "Long Talk", "Beverages", "Hot", None),
+    ("Hojicha Float", "Hot Afternoon", "Beverages", "Hot", None),
+    ("Hojicha Float", "Hot Afternoon", "Beverages", "Cold", None),
+    ("Oolong Milk", "Hot Afternoon", "Beverages", "Cold", None),
+    ("Ginger Lemonade", "Hot Afternoon", "Beverages", None, None),
+    ("Sparkling Water", "Hot Afternoon", "Beverages", None, None),
+    ("Mushroom Rice Bowl", "Hungry", "Food", None, None),
+    ("Chili Udon", "Hungry", "Food", None, None),
+    ("Harvest Sandwich", "Hungry", "Food", None, "Solo"),
+    ("Harvest Sandwich", "Hungry", "Food", None, "Duo"),
+    ("Sweet Potato Fries", "Round Table", "Food", None, None),
+    ("Pandan Tart", "Birthday", "Desserts", None, "Solo"),
+    ("Pandan Tart", "Birthday", "Desserts", None, "Duo"),
+    ("Pandan Tart", "Birthday", "Desserts", None, "Medio"),
+    ("Pandan Tart", "Birthday", "Desserts", None, "Familia"),
+    ("Croffle - Oreo", "To Take Home", "Desserts", None, None),
+    ("Cookies - Smores", "To Take Home", "Desserts", None, None),
+    ("Cookies - Red Velvet", "To Take Home", "Desserts", None, None),
+    ("Cookies - Matcha", "To Take Home", "Desserts", None, None),
+    ("Espresso Shot", "On The Side", "Add-Ons", None, None),
+    ("Bowl Of Rice", "On The Side", "Add-Ons", None, None),
 ]
 
-# Cleaned item name (exact case, before title-casing) → sub-category.
+# Cleaned item name (exact case, before title-casing) → group and category.
 # "Scented Candle" is mapped but deliberately absent from the catalog, so it
 # passes quarantine and lands on the unknown product key.
-PRODUCT_TO_SUB = {
-    "Cafe Latte": "Espresso Bar",
-    "Americano": "Espresso Bar",
-    "Mocha": "Espresso Bar",
-    "Matcha Latte": "Milk Bar",
-    "Milk Tea": "Milk Bar",
-    "Baker's Toast": "Toast Corner",
-    "Lemonade": "Juice Stand",
-    "Jasmine Tea": "Tea Pot",
-    "Bottled Water": "Drinks Fridge",
-    "Potato Fries": "Snack Plates",
-    "Beef Tapa Rice": "Rice Plates",
-    "Spicy Ramen": "Noodle Bowls",
-    "Club Sandwich": "Sandwich Press",
-    "Ube Cheesecake": "Cake Counter",
-    "Croffle - Biscoff": "Bakery Shelf",
-    "Croissant - Spam and Egg": "Bakery Shelf",
-    "Cookies - Nutella Pecan": "Bakery Shelf",
-    "Cookies - Red Velvet": "Bakery Shelf",
-    "Cookies - Chocolate": "Bakery Shelf",
-    "Espresso Shot": "Kitchen Extras",
-    "Extra Rice": "Kitchen Extras",
-    "Scented Candle": "Gift Shelf",
-}
-
-SUB_TO_CATEGORY = {
-    "Espresso Bar": "Beverages",
-    "Milk Bar": "Beverages",
-    "Toast Corner": "Food",
-    "Juice Stand": "Beverages",
-    "Tea Pot": "Beverages",
-    "Drinks Fridge": "Beverages",
-    "Snack Plates": "Food",
-    "Rice Plates": "Food",
-    "Noodle Bowls": "Food",
-    "Sandwich Press": "Food",
-    "Cake Counter": "Desserts",
-    "Bakery Shelf": "Desserts",
-    "Kitchen Extras": "Add-Ons",
-    "Gift Shelf": "Others",
+MENU = {
+    ("Wake-Up", "Beverages"): ["Americano"],
+    ("Hearty Start", "Food"): ["Farmer's Omelette", "Croissant - Almond Nutella"],
+    ("Long Talk", "Beverages"): ["Mocha", "Cinnamon Latte", "Mint Infusion"],
+    ("Hot Afternoon", "Beverages"): ["Hojicha Float", "Oolong Milk", "Ginger Lemonade", "Sparkling Water"],
+    ("Hungry", "Food"): ["Mushroom Rice Bowl", "Chili Udon", "Harvest Sandwich"],
+    ("Round Table", "Food"): ["Sweet Potato Fries"],
+    ("Birthday", "Desserts"): ["Pandan Tart"],
+    ("To Take Home", "Desserts"): ["Croffle - Oreo", "Cookies - Smores", "Cookies - Red Velvet", "Cookies - Matcha"],
+    ("On The Side", "Add-Ons"): ["Espresso Shot", "Bowl of Rice"],
+    ("Keepsakes", "Others"): ["Scented Candle"],
 }
+PRODUCT_TO_SUB = {item: group for (group, _), items in MENU.items() for item in items}
+SUB_TO_CATEGORY = dict(MENU.keys())
 
 # Exact-value spelling fixes applied to the cleaned item name.
 CORRECTIONS = {"Mocca": "Mocha"}

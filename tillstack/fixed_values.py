@@ -84,3 +84,46 @@ ACCEPTED_SPICE = [
 DEDUP_KEYS = ["order_id", "items", "payment_time"]
 MERGE_KEYS = ["order_id", "items", "flavor", "size", "variation", "payment_time"]
 FACT_GRAIN = ["order_id", "product_key", "flavor_key", "sugar_key", "spice_key"]
+
+# --- FIXED VALUES: columns -----------------------------------------------------
+RAW_REPORT_COLUMNS = [
+    "order_id", "products", "product_amount", "received_amount",
+    "payment_time", "cash", "gcash", "type/channel",
+]
+KEEP_COLUMNS = [
+    "order_id", "clean_item", "sub_category", "category", "flavor", "variation",
+    "size", "quantity", "spice_level", "sugar_level", "product_amount",
+    "received_amount", "payment_time", "order_type", "payment_type", "type/channel",
+]
+STAGING_COLUMNS = [
+    ("order_id", "string"), ("items", "string"), ("sub_category", "string"), ("category", "string"),
+    ("flavor", "string"), ("variation", "string"), ("size", "string"), ("quantity", "double"),
+    ("spice_level", "string"), ("sugar_level", "string"), ("total_order_amount", "double"),
+    ("received_amount", "double"), ("payment_time", "string"), ("payment_type", "string"),
+    ("order_type", "string"), ("source_file", "string"),
+]
+FLAG_COLUMNS = [("is_reprocessed", "boolean")]
+QUARANTINE_COLUMNS = [("quarantine_reason", "string"), ("quarantine_timestamp", "date")]
+PRODUCTS_SEED_COLUMNS = [
+    ("items", "string"), ("sub_category", "string"), ("category", "string"), ("variation", "string"), ("size", "string"),
+]
+HOLIDAYS_SEED_COLUMNS = [("holiday_date", "date"), ("holiday_name", "string"), ("holiday_type", "string")]
+FACT_COLUMNS = [
+    ("payment_time", "timestamp_ntz"), ("date_key", "int"), ("product_key", "int"), ("flavor_key", "int"),
+    ("sugar_key", "int"), ("spice_key", "int"), ("payment_type_key", "int"), ("order_type_key", "int"),
+    ("order_id", "string"), ("category", "string"), ("sub_category", "string"), ("quantity", "double"),
+    ("total_order_amount", "double"), ("received_amount", "double"),
+]
+UNMAPPED_COLUMNS = [
+    ("order_id", "string"), ("payment_time", "string"), ("total_order_amount", "double"), ("received_amount", "double"),
+    ("payment_type", "string"), ("items", "string"), ("order_type", "string"),
+]
+DIM_COLUMNS = {
+    "product": [("product_key", "int"), ("items", "string"), ("sub_category", "string"), ("category", "string"),
+                ("variation", "string"), ("size", "string")],
+    "flavor": [("flavor_key", "int"), ("flavor_name", "string")],
+    "sugar": [("sugar_key", "int"), ("sugar_level", "string"), ("percentage", "int")],
+    "spice": [("spice_key", "int"), ("spice_level", "string"), ("intensity", "int")],
+    "payment": [("payment_type_key", "int"), ("payment_type", "string")],
+    "order": [("order_type_key", "int"), ("order_type", "string")],
+}

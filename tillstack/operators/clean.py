@@ -20,11 +20,6 @@ from tillstack.sources.reports import ORDER_COLS
 from tillstack.sources.seeds import Vocabulary, category_lookup, corrections_lookup
 
 LINE_ORDER = ["source_file", *ORDER_COLS, "pos"]
-KEEP_COLUMNS = [
-    "order_id", "clean_item", "sub_category", "category", "flavor", "variation",
-    "size", "quantity", "spice_level", "sugar_level", "product_amount",
-    "received_amount", "payment_time", "order_type", "payment_type", "type/channel",
-]
 
 
 def order_fields(df: DataFrame) -> DataFrame:
@@ -91,7 +86,7 @@ def add_payment_type(df: DataFrame) -> DataFrame:
 
 def keep_columns(df: DataFrame, extra=()) -> DataFrame:
     """PRJ1: listed columns that exist, in order, plus lineage."""
-    keep = [c for c in KEEP_COLUMNS if c in df.columns]
+    keep = [c for c in FV.KEEP_COLUMNS if c in df.columns]
     lineage = [c for c in [*LINE_ORDER, *extra] if c in df.columns]
     return df.select(*[F.col(f"`{c}`") for c in keep + lineage])
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tillstack.functions.dates import date_key
 from tillstack.sources import seeds
-from tillstack.sources.seeds import Sized, Vocabulary
+from tillstack.sources.seeds import Sized, Vocabulary, bounded_broadcast
+from tillstack.sources.sinks import Table
 
 
 def dim_product(seed: Sized, key: str = "row_number") -> Sized:
@@ -28,6 +30,32 @@ def dim_product(seed: Sized, key: str = "row_number") -> Sized:
     return Sized(df, seed.rows)
 
 
+NATURAL_KEY = ["items", "variation", "size"]
+_ORDER = ["category", "sub_category", "items", "variation", "size"]
+
+
+def register_products(seed: Sized, known: Sized | None) -> Sized:
+    """MDL1 with keys that stay (Q11): products of ``known`` (an earlier result) keep
+    their key, new ones are numbered after the highest, in ``dim_product``'s order.
+    Known products take the seed's grouping; those that the seed no longer lists stay,
+    as facts refer to them.  The natural key decides, nulls equal."""
+    if known is None or not known.rows:
+        return dim_product(seed)
+    old = known.df.select("product_key", *[F.col(c).alias(f"k_{c}") for c in NATURAL_KEY],
+                          F.col("sub_category").alias("k_sub_category"), F.col("category").alias("k_category"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in NATURAL_KEY])
+    new = seed.df.join(bounded_broadcast(old, known.rows), same, "left_anti")
+    top = known.df.agg(F.max("product_key")).first()[0]
+    place = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in _ORDER]))  # one task: a catalog
+    added = new.select((place + top).cast("int").alias("product_key"), "items", "sub_category", "category", "variation", "size")
+    listed = seed.df.select(*NATURAL_KEY, "sub_category", "category", F.lit(True).alias("listed"))
+    kept = old.join(bounded_broadcast(listed, seed.rows), same, "left").select(
+        "product_key", F.col("k_items").alias("items"),
+        *[F.when(F.col("listed"), F.col(c)).otherwise(F.col(f"k_{c}")).alias(c) for c in ("sub_category", "category")],
+        F.col("k_variation").alias("variation"), F.col("k_size").alias("size"))
+    return Sized(kept.unionByName(added), known.rows + seed.rows)
+
+
 def dim_date_from_bounds(bounds: DataFrame, holidays: DataFrame | None = None,
                          rules: Sized | None = None) -> DataFrame:
     """MDL2: one row per day between ``bounds.start`` and ``bounds.end`` (a
@@ -65,12 +93,14 @@ def dim_date(spark: SparkSession, start, end, holidays: DataFrame | None = None)
     return dim_date_from_bounds(bounds, holidays, seeds.holiday_rules(spark))
 
 
-def dim_date_for(df: DataFrame, ts_col: str = "payment_time") -> DataFrame:
-    """MDL2 spanning the dates present in ``df`` (min..max of ``ts_col``)."""
+def dim_date_for(df: DataFrame, ts_col: str = "payment_time", vocab: Vocabulary | None = None) -> DataFrame:
+    """MDL2 spanning the dates present in ``df`` (min..max of ``ts_col``), with the
+    holidays of ``vocab``'s file (SRC4) or, without one, the yearly rules."""
     spark = df.sparkSession
     day = F.to_date(F.col(ts_col).cast("timestamp_ntz"))
     bounds = df.agg(F.min(day).alias("start"), F.max(day).alias("end"))
-    return dim_date_from_bounds(bounds, None, seeds.holiday_rules(spark))
+    holidays = seeds.read_holidays_seed(spark, vocab.holidays_path) if vocab and vocab.holidays_path else None
+    return dim_date_from_bounds(bounds, holidays, seeds.holiday_rules(spark))
 
 
 @dataclass(frozen=True)
@@ -95,3 +125,22 @@ class Dims:
             payment=seeds.dim_payment_type(spark),
             order=seeds.dim_order_type(spark),
         )
+
+    @staticmethod
+    def stored(spark: SparkSession, tables: dict[str, Table], vocab: Vocabulary | None = None) -> "Dims":
+        """SNK8: the dimensions as tables (one for each field), brought up to date and
+        read back.  Product keys come from the table's own rows, so a catalog that
+        grows shifts none; a table whose content is right is not written again."""
+        vocab = vocab or Vocabulary()
+        found = {}
+        for name, fresh in vars(Dims.build(spark, vocab)).items():
+            table = tables[name]
+            known = table.exists(spark)
+            held = table.read(spark)
+            rows = held.count() if known else 0
+            if name == "product" and known:
+                fresh = register_products(seeds.products_seed(spark, vocab), Sized(held, rows))
+            if not known or not fresh.df.exceptAll(held).isEmpty() or (name != "product" and rows != fresh.rows):
+                rows = table.replace(spark, fresh.df)
+            found[name] = Sized(table.read(spark), rows)
+        return Dims(**found)

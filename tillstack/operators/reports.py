@@ -80,6 +80,18 @@ def category_revenue(fact: DataFrame) -> DataFrame:
     )
 
 
+def category_totals(fact: DataFrame) -> DataFrame:
+    """RPT3 with totals: per sub-category (level 0), per category (1) and over all (3),
+    in one aggregate over grouping sets; ``level`` tells a total from a null name."""
+    s = _shared_revenue(fact, ["category", "sub_category"])
+    return s.rollup("category", "sub_category").agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.sum("lines").cast("bigint").alias("lines"),
+        F.sum("qty").alias("items_sold"),
+        _r2(F.sum("share")).alias("revenue"),
+    )
+
+
 def _distribution(fact: DataFrame, key: str, dim: DataFrame, label: str) -> DataFrame:
     per = order_level(fact, key).groupBy(key).agg(
         F.count(F.lit(1)).alias("orders"),

@@ -83,6 +83,10 @@ class Paths:
     def fact(self) -> K.Table:
         return self.table("fact_sales", S.FACT_LINES, ["sale_date"], ["order_id"])
 
+    @property
+    def dims(self) -> dict[str, K.Table]:
+        return {name: self.table(f"dim_{name}", schema) for name, schema in S.DIMENSIONS.items()}
+
     @property
     def unmapped(self) -> K.Table:
         return self.table("unmapped_rows", S.UNMAPPED)
@@ -253,7 +257,7 @@ def build_models(spark: SparkSession, paths: Paths, vocab: Vocabulary | None = N
     holds of their orders; failing rows are stored (CHK7) before a failed check stops
     the run.  Then the flags of lines that have reached the fact are cleared."""
     run = run or new_run("models")
-    dims = Dims.build(spark, vocab)
+    dims = Dims.stored(spark, paths.dims, vocab)
     staging = paths.staging.read(spark)
     existing = paths.fact.read(spark) if paths.fact.exists(spark) else None
     new = build_fact(staging, dims) if existing is None else fact_increment(staging, dims, existing)

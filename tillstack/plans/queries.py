@@ -12,6 +12,7 @@ from collections.abc import Callable
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstack import fixed_values as FV
 from tillstack.functions import numeric as N
@@ -26,12 +27,12 @@ from tillstack.operators.fact import build_fact
 from tillstack.operators.quarantine import bad_mask, good_rows, quarantine_rows
 from tillstack.plans import oracle as O
 from tillstack.plans import flows as P
-from tillstack.schemas import FACT, QUARANTINE, RAW_REPORT_COLUMNS, STAGING, STAGING_FLAGGED, conform
+from tillstack.schemas import FACT, HOLIDAYS_SEED, PRODUCTS_SEED, QUARANTINE, RAW_REPORT_COLUMNS, STAGING, STAGING_FLAGGED, conform
 from tillstack.session import configure, run_dir
 from tillstack.sources import reports as RP
 from tillstack.sources import sinks as K
 from tillstack.sources.fixture import daily_report, normalized_report, raw_report
-from tillstack.sources.seeds import Vocabulary
+from tillstack.sources.seeds import Vocabulary, local_table
 
 RUN_NOW = _dt.datetime.fromisoformat(O.RUN_DATE + " 00:00:00")
 KEYS = ["source_file", "row_idx", "row_part", "pos"]
@@ -250,6 +251,35 @@ def q_dim_date(r: Run):
     return r.dim_date
 
 
+def _seed_file(r: Run, rows, schema) -> str:
+    """A seed as a CSV file with a header."""
+    path = run_dir(r.spark, "seed")
+    local_table(r.spark, rows, schema).coalesce(1).write.option("header", True).csv(path)
+    return path
+
+
+def q_dim_date_holidays(r: Run):
+    """SRC4: the calendar with the holidays of a file."""
+    path = _seed_file(r, O.HOLIDAYS, HOLIDAYS_SEED)
+    return dim_date_for(r.staging, vocab=Vocabulary(holidays_path=path))
+
+
+def q_dim_product_file(r: Run):
+    """SRC5: products from a catalog file, with their use in the fact."""
+    vocab = Vocabulary(catalog_path=_seed_file(r, O.SMALL_CATALOG, PRODUCTS_SEED))
+    dims = Dims.build(r.spark, vocab)
+    return _dim_usage(dims.product.df, build_fact(r.staging, dims), "product_key")
+
+
+def q_dim_registry(r: Run):
+    """SNK8/Q11: products of a small catalog, and then of the whole one, as tables:
+    the first keep their keys."""
+    tables = P.Paths(run_dir(r.spark, "registry")).dims
+    Dims.stored(r.spark, tables, Vocabulary(catalog=O.SMALL_CATALOG))
+    dims = Dims.stored(r.spark, tables, r.vocab)
+    return _dim_usage(dims.product.df, build_fact(r.staging, dims), "product_key")
+
+
 def q_fact_full(r: Run):
     return build_fact(r.staging, r.dims, dim_date=r.dim_date).select(*FACT.names)
 
@@ -410,6 +440,10 @@ def q_rpt_category(r: Run):
     return R.category_revenue(r.fact)
 
 
+def q_rpt_category_totals(r: Run):
+    return R.category_totals(r.fact)
+
+
 def q_rpt_payment(r: Run):
     return R.payment_distribution(r.fact, r.dims)
 
@@ -622,7 +656,8 @@ def q_gate_failures(r: Run):
         P.build_models(r.spark, paths, r.vocab, enforce=True, run=run)
     except C.CheckFailed:
         assert not paths.fact.exists(r.spark)
-    return r.spark.read.parquet(paths.audit("failures", run)).select("check_name", *FACT.names)
+    schema = StructType([StructField("check_name", StringType()), *FACT.fields])  # a run without failures stores no file
+    return r.spark.read.schema(schema).parquet(paths.audit("failures", run)).select(*schema.names)
 
 
 def q_stream_incoming(r: Run):
@@ -665,6 +700,9 @@ SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "dim_spice": q_dim_spice,
     "dim_payment": q_dim_payment,
     "dim_order": q_dim_order,
+    "dim_date_holidays": q_dim_date_holidays,
+    "dim_product_file": q_dim_product_file,
+    "dim_registry": q_dim_registry,
     "fact_full": q_fact_full,
     "fact_incremental": q_fact_incremental,
     "fact_reprocessed": q_fact_reprocessed,
@@ -689,6 +727,7 @@ SPARK: dict[str, Callable[[Run], DataFrame]] = {
     "rpt_daily": q_rpt_daily,
     "rpt_monthly": q_rpt_monthly,
     "rpt_category": q_rpt_category,
+    "rpt_category_totals": q_rpt_category_totals,
     "rpt_payment": q_rpt_payment,
     "rpt_order_type": q_rpt_order_type,
     "rpt_product": q_rpt_product,

@@ -4,68 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType,
-    StructField, StructType, TimestampNTZType,
+    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
+from tillstack import fixed_values as FV
 
-def _s(*fields) -> StructType:
-    return StructType([StructField(n, t, True) for n, t in fields])
+_TYPES = {t.simpleString(): t for t in (BooleanType(), DateType(), DoubleType(), IntegerType(), StringType(), TimestampNTZType())}
 
 
-# The delivered report is read all-string; these are the normalised names
-# the cleaning step uses (columns may be missing: cash, gcash, order_type).
-RAW_REPORT_COLUMNS = [
-    "order_id", "products", "product_amount", "received_amount",
-    "payment_time", "cash", "gcash", "type/channel",
-]
+def _s(*columns) -> StructType:
+    return StructType([StructField(name, _TYPES[kind], True) for name, kind in columns])
 
-STAGING = _s(
-    ("order_id", StringType()), ("items", StringType()),
-    ("sub_category", StringType()), ("category", StringType()),
-    ("flavor", StringType()), ("variation", StringType()),
-    ("size", StringType()), ("quantity", DoubleType()),
-    ("spice_level", StringType()), ("sugar_level", StringType()),
-    ("total_order_amount", DoubleType()), ("received_amount", DoubleType()),
-    ("payment_time", StringType()), ("payment_type", StringType()),
-    ("order_type", StringType()), ("source_file", StringType()),
-)
-STAGING_FLAGGED = StructType(STAGING.fields + [StructField("is_reprocessed", BooleanType(), True)])
 
-QUARANTINE = StructType(
-    STAGING.fields
-    + [StructField("quarantine_reason", StringType(), True),
-       StructField("quarantine_timestamp", DateType(), True)]
-)
-
-PRODUCTS_SEED = _s(
-    ("items", StringType()), ("sub_category", StringType()),
-    ("category", StringType()), ("variation", StringType()),
-    ("size", StringType()),
-)
-HOLIDAYS_SEED = _s(
-    ("holiday_date", DateType()), ("holiday_name", StringType()),
-    ("holiday_type", StringType()),
-)
-
-FACT = _s(
-    ("payment_time", TimestampNTZType()), ("date_key", IntegerType()),
-    ("product_key", IntegerType()), ("flavor_key", IntegerType()),
-    ("sugar_key", IntegerType()), ("spice_key", IntegerType()),
-    ("payment_type_key", IntegerType()), ("order_type_key", IntegerType()),
-    ("order_id", StringType()), ("category", StringType()),
-    ("sub_category", StringType()), ("quantity", DoubleType()),
-    ("total_order_amount", DoubleType()), ("received_amount", DoubleType()),
-)
+# The delivered report is read all-string; these are the normalised names
+# the cleaning step uses (columns may be missing: cash, gcash, order_type).
+RAW_REPORT_COLUMNS = FV.RAW_REPORT_COLUMNS
+
+STAGING = _s(*FV.STAGING_COLUMNS)
+STAGING_FLAGGED = _s(*FV.STAGING_COLUMNS, *FV.FLAG_COLUMNS)
+QUARANTINE = _s(*FV.STAGING_COLUMNS, *FV.QUARANTINE_COLUMNS)
+PRODUCTS_SEED = _s(*FV.PRODUCTS_SEED_COLUMNS)
+HOLIDAYS_SEED = _s(*FV.HOLIDAYS_SEED_COLUMNS)
+FACT = _s(*FV.FACT_COLUMNS)
 # as stored: with the key of the staging line that a fact line comes from
 FACT_LINES = StructType(FACT.fields + [StructField("line_key", LongType(), True)])
-
-UNMAPPED = _s(
-    ("order_id", StringType()), ("payment_time", StringType()),
-    ("total_order_amount", DoubleType()), ("received_amount", DoubleType()),
-    ("payment_type", StringType()), ("items", StringType()),
-    ("order_type", StringType()),
-)
+UNMAPPED = _s(*FV.UNMAPPED_COLUMNS)
+DIMENSIONS = {name: _s(*columns) for name, columns in FV.DIM_COLUMNS.items()}
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

@@ -25,13 +25,11 @@ FOOTER_ROW_IDX = 9223372036854775807
 # Item text templates, picked by l_partkey; {V} {S} {F} {G} {P} are filled
 # from the option lists below by the remainders given in ``SLOTS``.
 TEMPLATES = [
-    "Cafe Latte{V}", "Americano{V}", "Mocha{V}", "Matcha Latte{V}",
-    "Milk Tea (Cold){G}", "Lemonade{F}", "Potato Fries{F}", "Jasmine Tea (Hot)",
-    "Ube Cheesecake{S}", "Club Sandwich{S}", "Spicy Ramen{P}", "Croffle Biscoff",
-    "Croffle caramel", "Nutella Pecan Cookie", "Red Velvet Cookie",
-    "Croissant Spam and Egg", "Butter Croissant", "Espresso Shot", "Extra Rice",
-    "Scented Candle", "Mystery Box", "Mocca{V}", "cafe latte{V}", "Baker's Toast", "抹茶latte",
-    "Bottled Water", "Beef Tapa Rice", "Chocolate Chip Cookie",
+    "Americano{V}", "Mocha{V}", "Cinnamon Latte{V}", "Hojicha Float{V}", "Oolong Milk (Cold){G}",
+    "Ginger Lemonade{F}", "Sweet Potato Fries{F}", "Mint Infusion (Hot)", "Pandan Tart{S}", "Harvest Sandwich{S}",
+    "Chili Udon{P}", "Croffle Oreo", "Croffle caramel", "Smores Cookie", "Red Velvet Cookie", "Matcha Cookie",
+    "Croissant Almond Nutella", "Butter Croissant", "Espresso Shot", "Bowl of Rice", "Scented Candle", "Mystery Box",
+    "Mocca{V}", "cinnamon latte{V}", "Farmer's Omelette", "抹茶latte", "Sparkling Water", "Mushroom Rice Bowl",
 ]
 SLOTS = {
     "{V}": ("l_linenumber", [" (Hot)", " (Cold)", ""]),
