@@ -169,3 +169,23 @@ def test_a_class_of_many_stretches_can_be_crossed():
     shared = {template._hash(k): (c, float(i), 3) for i, (k, c) in enumerate((("a", 1), ("b", 1), ("x", 2), ("y", 2)))}
     kept = template.template_of([template.Token(k, None, "body", "p") for k in keys], shared)
     assert {keys[i] for i in kept} == {"a", "b"}  # x y crosses the last a b
+
+
+def test_names_of_a_pages_state_keep_its_article():
+    text = "<article><p>Hello there</p></article>"
+    for page in (f'<body class="has-sidebar">{text}</body>', '<article class="post share-enabled"><p>Hello there</p></article>',
+                 '<body class="nav-open"><main><p>Hello there</p></main></body>', '<body class="single comments-open"><p>Hello there</p>',
+                 f'<body><form id="aspnetForm">{text}</form></body>', '<body><form><h1>Hello there</h1></form></body>',
+                 f'<body><div class="no-ads content-with-sidebar">{text}</div></body>',
+                 '<body><article><p class="notice-of-meeting">Hello there</p></article></body>'):
+        assert template.main_text(page, {}) == "Hello there", page
+    for mark in ("site-footer", "cookieBanner", "ad_slot", "newsletter-signup", "main-nav", "comment-list", "pageHeader"):
+        assert template.main_text(f'<body><div class="{mark}">gone</div><p>Hello</p></body>', {}) == "Hello", mark
+    assert template.main_text('<body><article><p>Hello</p><article class="comment">gone</article></article></body>', {}) == "Hello"
+    assert template.main_text('<body><form><p>Your name</p></form><p>Hello</p></body>', {}) == "Hello"
+
+
+def test_deep_pages_cost_in_proportion():
+    page = "<div>" * 40000 + "deep" + "</em></span>" * 40000
+    found = template.tokens(page)
+    assert max(len(t.key) for t in found) < 64 and template.main_text(page, {}) == "deep"

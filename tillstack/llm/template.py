@@ -52,6 +52,9 @@ MARKS = frozenset("""ad ads advert adverts advertisement advertising banner brea
     cookies disqus gdpr login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promos
     related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription
     toolbar widget footer""".split())
+# Words by which a name tells a state or relation ("has-sidebar", "nav-open", "notice-of-meeting"), not a thing.
+STATES = frozenset("""has have no not is are with without of for to in on off by open opened closed enabled disabled active
+    visible expanded collapsed loaded ready supported""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "iframe"))
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp
@@ -61,6 +64,9 @@ LOOSE = INLINE | frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option", "
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                      r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+#: Elements around the whole content.
+FRAME = frozenset(("html", "body", "main"))
+_FORM_END, _CONTENT = re.compile(r"</form\b", re.I), re.compile(r"<(?:article|main|h1)\b", re.I)
 #: A whole ``name=value`` pair, so that no part of a name or value is read as a name.
 _ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 #: Fixed value: inside an article, a block that fewer pages have is not the template's.
@@ -74,6 +80,19 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def parts_of(name: str) -> list[str]:
+    """The words of a class name or id, but none of one that tells a state."""
+    parts = [p for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if p]
+    return [] if STATES.intersection(parts) else parts
+
+
+def marked(name: str) -> bool:
+    """Whether a class name or id says that its element is no part of the article: it is
+    one of ``MARKS``, or begins or ends with one ("site-footer", "ad-slot")."""
+    parts = parts_of(name)
+    return bool(parts) and (parts[0] in MARKS or parts[-1] in MARKS)
+
+
 class Token:
     """``key`` names a tag or text with its surroundings; for texts ``text`` is
     their source and ``place`` where they stand: "article", "main", "body", or
@@ -87,7 +106,8 @@ class Token:
 
 def tokens(page: str) -> list[Token]:
     out: list[Token] = []
-    stack: list[tuple[str, str | None]] = []  # element, place inside it
+    stack: list[tuple[str, str | None, str]] = []  # element, place inside it, its path's hash: keys stay short at any depth
+    opened: Counter = Counter()
     path, place, at = "", "body", 0
 
     def text(upto: int) -> None:
@@ -113,20 +133,21 @@ def tokens(page: str) -> list[Token]:
             continue
         name = name.lower()
         if closing:
-            if name not in LOOSE:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        del stack[i:]
+            if opened[name]:
+                while True:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
                         break
-                path, place = "/".join(s[0] for s in stack), stack[-1][1] if stack else "body"
+                path, place = (stack[-1][2], stack[-1][1]) if stack else ("", "body")
             out.append(Token(f"{path}</{name}>", None, place, name))
             continue
-        marks, role, hidden, shown = set(), "", False, []
+        names, role, hidden, shown = [], "", False, []
         for a in _ATTRIBUTE.finditer(attributes) if attributes.strip(" /") else ():
             value = a[2] or a[3] or a[4] or ""
             kind = a[1].lower()
             if kind in ("class", "id"):
-                marks |= set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()))
+                names += value.split()
                 if kind == "class":
                     shown.append(value)
             elif kind == "role":
@@ -143,18 +164,33 @@ def tokens(page: str) -> list[Token]:
         if name in LOOSE or attributes.rstrip().endswith("/") and name not in ("div", "section", "article", "main"):
             continue
         inside = place
-        if (name in BOILERPLATE or hidden or role in ROLES or marks & MARKS
-                or place != "article" and (name == "header" or {"header", "masthead"} & marks)):
+        if name in FRAME:  # these carry the names of the whole page's state
+            out_of = hidden
+        elif name == "article":
+            out_of = hidden or any(n.lower() in MARKS for n in names)
+        elif name == "form":
+            out_of = hidden or not (all(s[0] in FRAME for s in stack) and _wraps_page(page, at))
+        else:
+            out_of = (name in BOILERPLATE or hidden or role in ROLES or any(map(marked, names))
+                      or place != "article" and (name == "header" or any(parts_of(n)[-1:] in (["header"], ["masthead"]) for n in names)))
+        if out_of:
             inside = None
         elif place and name == "article":
             inside = "article"
         elif place == "body" and (name == "main" or role == "main"):
             inside = "main"
-        stack.append((name, inside))
-        path, place = "/".join(s[0] for s in stack), inside
+        path, place = f"{xxhash.xxh64_intdigest(f'{path}/{name}'.encode('utf-8', 'surrogatepass')):016x}", inside
+        stack.append((name, inside, path))
+        opened[name] += 1
     return out
 
 
+def _wraps_page(page: str, at: int) -> bool:
+    """Whether the form that opens before ``at`` holds the page's article, as some servers build pages."""
+    end = _FORM_END.search(page, at)
+    return _CONTENT.search(page, at, end.start() if end else len(page)) is not None
+
+
 def _hash(key: str) -> int:
     return xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass")) - (1 << 63)
 
