@@ -189,3 +189,18 @@ def test_deep_pages_cost_in_proportion():
     page = "<div>" * 40000 + "deep" + "</em></span>" * 40000
     found = template.tokens(page)
     assert max(len(t.key) for t in found) < 64 and template.main_text(page, {}) == "deep"
+
+
+def test_bpe_packs_places_and_ids():
+    import pyarrow as pa
+
+    from tillstack.llm import bpe
+    words = [([{"block": 5, "j": 2}, {"block": -3, "j": 0}], [7, 8, 900000]), ([{"block": 5, "j": 0}], [1]), ([{"block": -3, "j": 9}], [2, 3])]
+    kind = pa.list_(pa.struct([("block", pa.int64()), ("j", pa.int32())]))
+    batches = [pa.RecordBatch.from_arrays([pa.array([p], kind), pa.array([t], pa.list_(pa.int32()))], ["places", "tokens"]) for p, t in words]
+    got = {}
+    for b in bpe._packed(iter(batches)):
+        for block, packed in zip(b.column(0).to_pylist(), b.column(1)):
+            number, ids = bpe._unpacked(pa.chunked_array([pa.array([packed.as_py()], pa.binary())]))
+            got[block] = dict(zip(number.tolist(), ids.to_pylist()))
+    assert got == {5: {0: [1], 2: [7, 8, 900000]}, -3: {0: [7, 8, 900000], 9: [2, 3]}}

@@ -13,7 +13,9 @@ some documents once and, for each document, the numbers of its words (frequent
 words have small numbers, so they compress well).  Words that have a rank of
 their own need no fold.  The places (block, number) of each other word are
 gathered with a partial aggregate, at most one for each block; the word is
-folded once and its ids go back to the blocks.  The text moves not at all.
+folded and its ids go back to the blocks, packed for each block and task.  A row
+holds a word's places in about ``WORD_PLACES`` blocks; a word that more blocks have
+is folded once for each such row.  The text moves not at all.
 
 Words of over ``LONG`` bytes (the fold's work grows with the square of a word's
 length) are encoded by the tiktoken library's merge of single pieces instead.
@@ -43,6 +45,8 @@ from tokenizers import Regex, pre_tokenizers
 from tillstack.llm.common import small_batches, stored
 
 BLOCK_WORDS, LONG, BUCKETS = 1 << 22, 256, 1 << 16
+#: About so many places of one word are in a row; so many places are packed together.
+WORD_PLACES, PACK_PLACES = 4096, 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -169,18 +173,75 @@ def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return folded.unionByName(words.filter(~short).mapInArrow(run, schema))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers, the bytes of one place side by side: they compress well."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words' places and ids, gathered for each block: ``(of_block, packed)`` with the
+    words' numbers in the block, their numbers of ids, and the ids."""
+    held, count = [], 0
+
+    def made() -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        places, tokens = t.column(0).combine_chunks(), t.column(1).combine_chunks()
+        flat = places.flatten()
+        block, j = (c.to_numpy(zero_copy_only=False) for c in flat.flatten())
+        word = np.repeat(np.arange(len(t)), pc.list_value_length(places).to_numpy(zero_copy_only=False))
+        lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, begin = tokens.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths) - lengths
+        order = np.lexsort((j, block))
+        block, j, word = block[order], j[order], word[order]
+        cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1], [True])))
+        out = []
+        for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            n = lengths[word[s:e]]
+            of = np.arange(n.sum()) + np.repeat(begin[word[s:e]] - (np.cumsum(n) - n), n)
+            head = np.array([e - s], "<u4").tobytes()
+            out.append(zstandard.compress(head + _planes(np.diff(j[s:e], prepend=0)) + _planes(n) + _planes(ids[of])))
+        return pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]]), pa.array(out, pa.binary())], ["of_block", "packed"])
+
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            count += len(b.column(0).flatten())
+        if count >= PACK_PLACES:
+            yield made()
+            held.clear()
+            count = 0
+    if held:
+        yield made()
+
+
+def _unpacked(packed: pa.ChunkedArray) -> tuple[np.ndarray, pa.ListArray]:
+    """The words' numbers and their ids."""
+    numbers, lengths, ids = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+    for v in packed.to_pylist():
+        data = zstandard.decompress(v)
+        n = int.from_bytes(data[:4], "little")
+        rows = np.frombuffer(data, np.uint8, offset=4)
+        j, size, tokens = (np.ascontiguousarray(x.reshape(4, -1).T).view("<u4").ravel() for x in np.split(rows, [4 * n, 8 * n]))
+        numbers.append(np.cumsum(j.astype(np.int64)))
+        lengths.append(size.astype(np.int64))
+        ids.append(tokens)
+    offsets = np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
+    return np.concatenate(numbers), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids), pa.uint32()))
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``(id, tokens)`` for each row; tokens are little-endian unsigned 32-bit integers."""
     id_type = docs.schema[id_col].dataType
     blocks = stored(word_blocks(docs, ranks, text, id_col), "word-blocks")
+    parts = -(-blocks.count() // WORD_PLACES)  # a row holds a word's places in some of the blocks
     places = blocks.select("block", F.posexplode("words").alias("j", "word"))
-    words = stored(places.groupBy("word").agg(F.collect_list(F.struct("block", "j")).alias("places")), "words")
-    found = (encode_words(words, ranks).withColumn("place", F.explode("places"))
-             .select(F.col("place.block").alias("of_block"), F.col("place.j").alias("j"), "tokens"))
+    words = stored(places.groupBy("word", F.pmod("block", F.lit(max(1, parts))).alias("part"))
+                   .agg(F.collect_list(F.struct("block", "j")).alias("places")).drop("part"), "words")
+    found = encode_words(words, ranks).select("places", "tokens").mapInArrow(_packed, "of_block long, packed binary")
 
     def whole(block: pa.Table, coded: pa.Table) -> pa.Table:
-        order = np.unique(coded["j"].to_numpy(), return_index=True)[1]  # blocks that repeat have their words twice
-        lists = coded["tokens"].combine_chunks().take(pa.array(order))
+        number, lists = _unpacked(coded["packed"])
+        lists = lists.take(pa.array(np.unique(number, return_index=True)[1]))  # blocks that repeat have their words twice
         ids, out = [], []
         for r in range(len(block)):
             sizes, own, planes = (np.frombuffer(zstandard.decompress(block[c][r].as_py()), kind)
