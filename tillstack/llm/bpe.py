@@ -46,7 +46,7 @@ from tillstack.llm.common import small_batches, stored
 
 BLOCK_WORDS, LONG, BUCKETS = 1 << 22, 256, 1 << 16
 #: About so many places of one word are in a row; so many places are packed together.
-WORD_PLACES, PACK_PLACES = 4096, 1 << 20
+WORD_PLACES, PACK_PLACES = 4096, 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
