@@ -6,10 +6,8 @@ kept with its position.  So two texts that share ``k + window - 1`` consecutive
 code points share a chosen hash.  A text with fewer hashes has one window, a
 text shorter than ``k`` one hash of all of it, an empty text none.
 
-With 32 and 64 a shared hash is sure only from 95 code points on, so short texts
-that share half of their characters may share none.  Each document also has a
-fine fingerprint, by 8 and 16 at every text size (sure from 23 code points on),
-and its likenesses by that.
+Grams of 8 and windows of 16, at every text size, make a shared hash sure from 23
+code points on, so that short texts that share half of their characters share one.
 
 ``with_next`` gives each document its successor by ascending id: the rows are
 cut into ranges of ids, each range also gets the first row of the next one,
@@ -35,8 +33,7 @@ from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, S
 
 from tillstack.llm.common import small_batches, tasks, text_key
 
-GRAM, WINDOW = 32, 64
-FINE_GRAM, FINE_WINDOW = 8, 16
+GRAM, WINDOW = 8, 16
 _BLOCK = 1 << 18
 _U64 = np.uint64
 _LOW = (1 << 24) - 1
@@ -175,24 +172,21 @@ class Edited:
     """A document against its edited text and its successor."""
 
     def start(self, text: str):
-        return text, fingerprint(text), fingerprint(text, FINE_GRAM, FINE_WINDOW)
+        return text, fingerprint(text)
 
     def __call__(self, this, after):
-        text, chosen, fine = this
+        text, chosen = this
         half = len(text) // 2
         edited = text[:len(text) - half] + after[0][:half]
         changed = fingerprint(edited)
         return (len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_text(chosen), as_text(changed),
-                likeness(chosen, changed), likeness(chosen, after[1]), as_text(fine),
-                likeness(fine, fingerprint(edited, FINE_GRAM, FINE_WINDOW)), likeness(fine, after[2]))
+                likeness(chosen, changed), likeness(chosen, after[1]))
 
 
 def op10_winnowing(docs: DataFrame) -> DataFrame:
-    """The digest of the operator; ``fingerprint`` is ``as_text`` of the chosen hashes and positions,
-    ``fine_...`` the same by the fine fingerprint."""
+    """The digest of the operator; ``fingerprint`` is ``as_text`` of the chosen hashes and positions."""
     schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), StructField("n_chars", LongType()),
                          StructField("edited_sha256", StringType()), StructField("fingerprint", StringType()),
                          StructField("edited_fingerprint", StringType()), StructField("near_edited", DoubleType()),
-                         StructField("near_next", DoubleType()), StructField("fine_fingerprint", StringType()),
-                         StructField("fine_near_edited", DoubleType()), StructField("fine_near_next", DoubleType())])
+                         StructField("near_next", DoubleType())])
     return with_next(docs, Edited(), schema)
