@@ -103,7 +103,7 @@ def test_top_candidates_are_exact_with_ties():
     q, pivots = c[:20], c[100:108]
     far = lambda x: np.linalg.norm(x[:, None] - pivots[None], axis=2)
     ids = np.arange(500)
-    for i, rows, scores in topk._best(q, far(q), list(range(20)), c, far(c), ids, np.zeros(500, bool), 5):
+    for i, rows, scores in topk._best(q, far(q), list(range(20)), c, far(c), ids, np.zeros(500, bool), 5, np.full(len(q), -np.inf)):
         want = sorted(((-(c[j] @ q[i]), j) for j in range(500) if j != i))[:5]
         assert [(-s, int(r)) for r, s in zip(rows, scores)] == want
 
