@@ -195,11 +195,12 @@ def test_bpe_packs_places_and_ids():
     import pyarrow as pa
 
     from tillstack.llm import bpe
-    words = [([{"block": 5, "j": 2}, {"block": -3, "j": 0}], [7, 8, 900000]), ([{"block": 5, "j": 0}], [1]), ([{"block": -3, "j": 9}], [2, 3])]
+    words = [([{"block": 5, "j": 2}, {"block": -3, "j": 0}], [7, 8, 900000], None), ([{"block": 5, "j": 0}], None, "b"), ([{"block": -3, "j": 9}], [2, 3], None)]
     kind = pa.list_(pa.struct([("block", pa.int64()), ("j", pa.int32())]))
-    batches = [pa.RecordBatch.from_arrays([pa.array([p], kind), pa.array([t], pa.list_(pa.int32()))], ["places", "tokens"]) for p, t in words]
+    batches = [pa.RecordBatch.from_arrays([pa.array([p], kind), pa.array([t], pa.list_(pa.int32())), pa.array([w], pa.string())],
+                                          ["places", "tokens", "word"]) for p, t, w in words]
     got = {}
-    for b in bpe._packed(iter(batches)):
+    for b in bpe._packed({b"a": 0, b"b": 1})(iter(batches)):
         for block, packed in zip(b.column(0).to_pylist(), b.column(1)):
             number, ids = bpe._unpacked(pa.chunked_array([pa.array([packed.as_py()], pa.binary())]))
             got[block] = dict(zip(number.tolist(), ids.to_pylist()))

@@ -142,6 +142,8 @@ def test_bpe(docs, none, monkeypatch):
         want.append((i, len(ids), sha(np.array(ids, "<u4").tobytes()), sha((t or "").encode())))
     assert bag(bpe.op7_bpe(docs), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(want, key=repr)
     assert bpe.op7_bpe(none).count() == 0
+    coded = bpe.encode(docs, ranks)
+    assert bag(bpe.decode(coded, ranks), "id", "decoded") == sorted(((i, (t or "").encode()) for i, t in ROWS), key=repr)
 
 
 def test_packing(docs, none):
@@ -209,6 +211,28 @@ def test_top_k(spark):
     assert topk.op6_topk(table.limit(0)).count() == 0
 
 
+def test_top_k_skips_cells(spark):
+    """Two far groups of vectors: a query's candidates are dealt from its own group only."""
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(6, 8)) * 40
+    vectors = [(i, [float(x) for x in middles[i % 6] + rng.normal(size=8)]) for i in range(600)]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    whole = np.floor(256 * np.array([v for _, v in vectors]))
+    want = []
+    for i in range(0, 600, 50):
+        scores = whole @ whole[i]
+        scores[i] = -np.inf
+        want += [(i, n + 1, int(j), int(scores[j])) for n, j in enumerate(np.lexsort((np.arange(600), -scores))[:5])]
+    got = topk.top_k(table, topk.F.col("id") % 50 == 0, block=60, query_block=3)
+    assert bag(got, "query_id", "rank", "id", "score") == sorted(want, key=repr)
+    row = lambda cell, low, high, most: type("Row", (), dict(dim=8, cell=cell, n=1, low=low, high=high, most=most))
+    cells = topk.Cells([row(0, [0.0, 90.0], [5.0, 99.0], 100.0), row(1, [90.0, 0.0], [99.0, 5.0], 100.0)])
+    assert cells.reached(8, np.ones(8), np.array([2.0, 95.0]), 0.0) == [0] and cells.reached(8, np.ones(8), np.array([2.0, 95.0]), -1e9) == [0, 1]
+    far = spark.createDataFrame([(0, [1e20] * 4), (1, [0.0] * 4)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 2\\^53"):
+        topk.op6_topk(far).collect()
+
+
 def test_pages(spark):
     page = "<html><body><nav>Menu</nav><article><h1>T</h1><p>Body &amp; {}</p></article><footer>same</footer></body></html>"
     rows = [(i, f"https://a.org/{i}", page.format(i)) for i in range(6)] + [(7, None, None), (8, "odd", ""), (9, "http://b.org", "<p>x"), (9, "http://b.org", "<p>x")]

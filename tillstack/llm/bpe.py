@@ -38,13 +38,13 @@ import tiktoken
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tokenizers import Regex, pre_tokenizers
 
-from tillstack.llm.common import small_batches, stored
+from tillstack.llm.common import give_back, small_batches, stored
 
-BLOCK_WORDS, LONG, BUCKETS = 1 << 22, 256, 1 << 16
+BLOCK_WORDS, LONG, BUCKETS = 1 << 21, 256, 1 << 16
 #: About so many places of one word are in a row; so many places are packed together.
 WORD_PLACES, PACK_PLACES = 4096, 1 << 17
 
@@ -113,7 +113,7 @@ def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str
         def made() -> pa.RecordBatch:
             ids = pa.concat_arrays([h[0] for h in held])
             sizes = np.concatenate([h[1] for h in held]).astype("<i4")
-            coded = pa.concat_arrays([h[2] for h in held]).dictionary_encode()
+            coded = pa.chunked_array([h[2] for h in held]).unify_dictionaries().combine_chunks()
             index = coded.indices.to_numpy(zero_copy_only=False)
             order = np.argsort(-np.bincount(index, minlength=len(coded.dictionary)), kind="stable")  # frequent words first
             number = np.empty(len(order), "<u4")
@@ -139,13 +139,18 @@ def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str
                 count += int(sizes[r])
                 if count >= BLOCK_WORDS or r == b.num_rows - 1:
                     part = words.slice(start, r + 1 - start)
-                    held.append((b.column(0).slice(start, r + 1 - start), sizes[start:r + 1], part.flatten()))
+                    held.append((b.column(0).slice(start, r + 1 - start), sizes[start:r + 1], part.flatten().dictionary_encode()))
                     start = r + 1
                     if count >= BLOCK_WORDS:
-                        yield made()
+                        full = made()
                         held, count = [], 0
+                        yield full
+                        give_back()
         if held:
-            yield made()
+            full = made()
+            held = []
+            yield full
+        give_back()
 
     whole = F.col(text).cast("string")
     # a text with signs that this JVM's Unicode does not know yet is split by the tokenizers library, which agrees with tiktoken
@@ -156,21 +161,8 @@ def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``words`` (different words in a column ``word``) with ``tokens``, their ids."""
-    rank = rank_lookup(ranks)
-    short = F.octet_length("word") <= LONG
-    at = words.columns.index("word")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = None
-        for b in batches:
-            merges = merges or tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-            got = [merges.encode_ordinary(w) for w in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.list_(pa.int32()))], [*b.schema.names, "tokens"])
-
-    folded = words.filter(short).withColumn("tokens", fold_merges(F.col("word"), rank))
-    schema = StructType([*words.schema.fields, StructField("tokens", ArrayType(IntegerType()))])
-    return folded.unionByName(words.filter(~short).mapInArrow(run, schema))
+    """``words`` (different words in a column ``word``) with ``tokens``, their ids; null for long words."""
+    return words.withColumn("tokens", F.when(F.octet_length("word") <= LONG, fold_merges(F.col("word"), rank_lookup(ranks))))
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -178,40 +170,55 @@ def _planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words' places and ids, gathered for each block: ``(of_block, packed)`` with the
-    words' numbers in the block, their numbers of ids, and the ids."""
-    held, count = [], 0
-
-    def made() -> pa.RecordBatch:
-        t = pa.Table.from_batches(held)
-        places, tokens = t.column(0).combine_chunks(), t.column(1).combine_chunks()
-        flat = places.flatten()
-        block, j = (c.to_numpy(zero_copy_only=False) for c in flat.flatten())
-        word = np.repeat(np.arange(len(t)), pc.list_value_length(places).to_numpy(zero_copy_only=False))
-        lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids, begin = tokens.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths) - lengths
-        order = np.lexsort((j, block))
-        block, j, word = block[order], j[order], word[order]
-        cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1], [True])))
-        out = []
-        for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            n = lengths[word[s:e]]
-            of = np.arange(n.sum()) + np.repeat(begin[word[s:e]] - (np.cumsum(n) - n), n)
-            head = np.array([e - s], "<u4").tobytes()
-            out.append(zstandard.compress(head + _planes(np.diff(j[s:e], prepend=0)) + _planes(n) + _planes(ids[of])))
-        return pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]]), pa.array(out, pa.binary())], ["of_block", "packed"])
-
-    for b in batches:
-        if b.num_rows:
-            held.append(b)
-            count += len(b.column(0).flatten())
-        if count >= PACK_PLACES:
+def _packed(ranks: dict[bytes, int]):
+    """Words' places, ids and, if they have none yet, the words themselves, gathered for each
+    block: ``(of_block, packed)`` with the words' numbers in the block, their numbers of ids, and the ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merges = None
+        held, count = [], 0
+
+        def coded(b: pa.RecordBatch) -> pa.RecordBatch:
+            nonlocal merges
+            places, tokens, left = b.columns
+            if left.null_count < len(left):  # long words: merged here, so that a task needs one Python worker
+                merges = merges or tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+                tokens = pa.array([t if w is None else merges.encode_ordinary(w) for t, w in zip(tokens.to_pylist(), left.to_pylist())],
+                                  pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([places, tokens], ["places", "tokens"])
+
+        def made() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held)
+            places, tokens = t.column(0).combine_chunks(), t.column(1).combine_chunks()
+            flat = places.flatten()
+            block, j = (c.to_numpy(zero_copy_only=False) for c in flat.flatten())
+            word = np.repeat(np.arange(len(t)), pc.list_value_length(places).to_numpy(zero_copy_only=False))
+            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, begin = tokens.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths) - lengths
+            order = np.lexsort((j, block))
+            block, j, word = block[order], j[order], word[order]
+            cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1], [True])))
+            out = []
+            for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                n = lengths[word[s:e]]
+                of = np.arange(n.sum()) + np.repeat(begin[word[s:e]] - (np.cumsum(n) - n), n)
+                head = np.array([e - s], "<u4").tobytes()
+                out.append(zstandard.compress(head + _planes(np.diff(j[s:e], prepend=0)) + _planes(n) + _planes(ids[of])))
+            return pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]]), pa.array(out, pa.binary())], ["of_block", "packed"])
+
+        for b in batches:
+            if b.num_rows:
+                held.append(coded(b))
+                count += len(b.column(0).flatten())
+            if count >= PACK_PLACES:
+                yield made()
+                held.clear()
+                count = 0
+        if held:
             yield made()
-            held.clear()
-            count = 0
-    if held:
-        yield made()
+        give_back()
+
+    return run
 
 
 def _unpacked(packed: pa.ChunkedArray) -> tuple[np.ndarray, pa.ListArray]:
@@ -229,15 +236,19 @@ def _unpacked(packed: pa.ChunkedArray) -> tuple[np.ndarray, pa.ListArray]:
     return np.concatenate(numbers), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids), pa.uint32()))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``(id, tokens)`` for each row; tokens are little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", id_col: str = "doc_id", decoded: str | None = None) -> DataFrame:
+    """``(id, tokens)`` for each row; tokens are little-endian unsigned 32-bit integers.
+    With ``decoded`` a column of that name has what the tokens decode to, joined in the
+    same task (``decode`` does it in a further Python worker)."""
+    pieces = piece_list(ranks) if decoded else []
     id_type = docs.schema[id_col].dataType
     blocks = stored(word_blocks(docs, ranks, text, id_col), "word-blocks")
     parts = -(-blocks.count() // WORD_PLACES)  # a row holds a word's places in some of the blocks
     places = blocks.select("block", F.posexplode("words").alias("j", "word"))
     words = stored(places.groupBy("word", F.pmod("block", F.lit(max(1, parts))).alias("part"))
                    .agg(F.collect_list(F.struct("block", "j")).alias("places")).drop("part"), "words")
-    found = encode_words(words, ranks).select("places", "tokens").mapInArrow(_packed, "of_block long, packed binary")
+    found = (encode_words(words, ranks).select("places", "tokens", F.when(F.octet_length("word") > LONG, F.col("word")).alias("word"))
+             .mapInArrow(_packed(ranks), "of_block long, packed binary"))
 
     def whole(block: pa.Table, coded: pa.Table) -> pa.Table:
         number, lists = _unpacked(coded["packed"])
@@ -260,22 +271,37 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", id_col:
                 out.append(flat[np.arange(n.sum()) + np.repeat(begin[some] - (np.cumsum(n) - n), n)].tobytes())
                 at += size
             ids.append(block["ids"][r].values)
-        return pa.table([pa.concat_arrays(ids), pa.array(out, pa.binary())], names=["id", "tokens"])
+        columns = [pa.concat_arrays(ids), pa.array(out, pa.binary())]
+        if decoded:
+            columns.append(pa.array([joined(pieces, t) for t in out], pa.binary()))
+        return pa.table(columns, names=names)
 
+    names = ["id", "tokens", *([decoded] if decoded else [])]
     return blocks.drop("words").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(
-        whole, StructType([StructField("id", id_type), StructField("tokens", BinaryType())]))
+        whole, StructType([StructField("id", id_type), *(StructField(c, BinaryType()) for c in names[1:])]))
 
 
-def decode(coded: DataFrame, ranks: dict[bytes, int], tokens: str = "tokens", into: str = "decoded") -> DataFrame:
-    """``coded`` with ``into``, the concatenated pieces of the ids."""
+def piece_list(ranks: dict[bytes, int]) -> list[bytes]:
+    """The piece of each rank."""
     pieces = [b""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece
+    return pieces
+
+
+def joined(pieces: list[bytes], tokens: bytes) -> bytes:
+    """What tokens decode to."""
+    return b"".join([pieces[i] for i in np.frombuffer(tokens, "<u4").tolist()])
+
+
+def decode(coded: DataFrame, ranks: dict[bytes, int], tokens: str = "tokens", into: str = "decoded") -> DataFrame:
+    """``coded`` with ``into``, the concatenated pieces of the ids."""
+    pieces = piece_list(ranks)
     at = coded.columns.index(tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [b"".join([pieces[i] for i in np.frombuffer(v.as_py() or b"", "<u4").tolist()]) for v in b.column(at)]
+            got = [joined(pieces, v.as_py() or b"") for v in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], [*b.schema.names, into])
 
     return coded.mapInArrow(run, StructType([*coded.schema.fields, StructField(into, BinaryType())]))
@@ -284,6 +310,6 @@ def decode(coded: DataFrame, ranks: dict[bytes, int], tokens: str = "tokens", in
 def op7_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The digest of the operator: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     ranks = read_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return decode(encode(docs, ranks), ranks).select(
+    return encode(docs, ranks, decoded="decoded").select(
         F.col("id").alias("doc_id"), (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"),
         F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
