@@ -17,7 +17,8 @@ A notice that is wrapped over lines, or stands in a longer line, and the full
 licence texts of ``license_texts`` are looked for as passages: runs of at most
 n (2 - t) / t bigrams that start where a run of the template's bigrams starts and
 end where one ends (any others only add foreign bigrams).  Of a start the best
-end counts, of passages that overlap the best one.  This is done for templates
+end counts, found in one pass with running counts of the different bigrams; of
+passages that overlap the best one.  This is done for templates
 that no line and not the text as a whole matches, and only where it can succeed:
 the text has one of the template's anchors (words chosen so that the bigrams
 without them are too few for t), and then at least |B| t / (2 - t) of the
@@ -140,32 +141,51 @@ def passages(clean: Column, names: Column, templates: dict[str, str], threshold:
     words = F.split(F.trim(F.regexp_replace(clean, r"[ \n]+", " ")), " ")
     grams = _let(words, lambda w: F.slice(F.zip_with(w, F.slice(w, 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b)), 1, F.size(w) - 1))
     shared = lambda a, b: F.size(F.array_intersect(a, b))
-    flag = lambda hits, i: F.coalesce(F.get(hits, i), F.lit(False))
-
-    def best_from(g: Column, x: Column, ends: Column, at: Column) -> Column:
-        last = F.least(at + x.most - 1, F.size(g))
-        dice = lambda a: F.lit(2.0) * shared(a, x.grams) / (F.size(F.array_distinct(a)) + x["size"])
-        ways = F.transform(F.array_distinct(F.concat(F.filter(ends, lambda e: (e >= at) & (e <= last)), F.array(last))),
-                           lambda e: F.struct((-dice(F.slice(g, at, e - at + 1))).alias("d"), at.alias("at"), e.alias("end")))
-        return F.array_min(ways)
-
-    def search(g: Column, x: Column) -> Column:
-        def of(hits: Column) -> Column:
-            places = F.sequence(F.lit(1), F.size(g))
-            starts = F.filter(places, lambda i: flag(hits, i - 1) & ~flag(hits, i - 2))
+
+    def last_seen(g: Column) -> Column:
+        """Of each place of ``g``, the place before it that has the same bigram, or 0."""
+        placed = F.array_sort(F.transform(g, lambda v, i: F.struct(v.alias("v"), (i + 1).alias("j"))))
+        pairs = _let(placed, lambda p: F.zip_with(p, F.slice(F.concat(F.slice(p, 1, 1), p), 1, F.size(p)), lambda b, a: F.struct(
+            b.j.alias("j"), F.when((a.v == b.v) & (a.j < b.j), a.j).otherwise(0).alias("seen"))))
+        return F.transform(F.array_sort(pairs), lambda p: p.seen)
+
+    def best_from(spots: Column, x: Column, at: Column) -> Column:
+        """The best end of a start, in one pass: a bigram is new to the passage if it was last seen before the start."""
+        stretch = F.slice(spots, at, x.most)
+        last = F.least(at + x.most - 1, F.size(spots))
+
+        def step(s: Column, o: Column) -> Column:
+            new = o.seen < at
+            every, both = s.every + new.cast("int"), s.both + (new & o.hit).cast("int")
+            dice = F.lit(2.0) * both / (every + x["size"])
+            better = (o.closes | (o.j == last)) & (dice > s.dice)
+            return F.struct(every.alias("every"), both.alias("both"), F.when(better, dice).otherwise(s.dice).alias("dice"),
+                            F.when(better, o.j).otherwise(s.end).alias("end"))
+
+        start = F.struct(F.lit(0).alias("every"), F.lit(0).alias("both"), F.lit(-1.0).alias("dice"), F.lit(0).alias("end"))
+        return F.aggregate(stretch, start, step, lambda s: F.struct((-s.dice).alias("d"), at.alias("at"), s.end.alias("end")))
+
+    def search(g: Column, seen: Column, x: Column) -> Column:
+        def of(spots: Column) -> Column:
+            starts = F.transform(F.filter(spots, lambda o: o.opens), lambda o: o.j)
             starts = F.filter(starts, lambda i: shared(F.slice(g, i, x.most), x.grams) >= x.need)
-            ends = F.filter(places, lambda i: flag(hits, i - 1) & ~flag(hits, i))
-            found = _let(ends, lambda z: F.transform(starts, lambda at: best_from(g, x, z, at)))
+            found = F.transform(starts, lambda at: best_from(spots, x, at))
             ranked = F.array_sort(F.filter(found, lambda m: -m.d >= F.lit(threshold)))
             apart = F.aggregate(ranked, F.filter(ranked, lambda m: F.lit(False)), lambda kept, m: F.when(
                 F.exists(kept, lambda o: (o["at"] <= m.end) & (m["at"] <= o.end)), kept).otherwise(F.concat(kept, F.array(m))))
             return F.transform(apart, lambda m: F.struct((-m["at"]).alias("unit"), x["name"].alias("name"), (-m.d).alias("dice")))
-        return _let(F.transform(g, lambda v: F.array_contains(x.grams, v)), of)
+
+        def marked(hits: Column) -> Column:
+            flag = lambda i: F.coalesce(F.get(hits, i), F.lit(False))
+            return F.transform(seen, lambda p, i: F.struct((i + 1).alias("j"), p.alias("seen"), flag(i).alias("hit"), (
+                flag(i) & ~flag(i - 1)).alias("opens"), (flag(i) & ~flag(i + 1)).alias("closes")))
+        return _let(_let(F.transform(g, lambda v: F.array_contains(x.grams, v)), marked), of)
 
     def within(near: Column) -> Column:
         def of(g: Column) -> Column:
             likely = F.filter(F.transform(near, lambda i: F.get(whole, i)), lambda x: shared(g, x.grams) >= x.need)
-            return F.flatten(F.transform(likely, lambda x: search(g, x)))
+            return _let(likely, lambda some: F.when(F.size(some) > 0, _let(last_seen(g), lambda seen: F.flatten(
+                F.transform(some, lambda x: search(g, seen, x))))))
         return F.when(F.size(near) > 0, _let(grams, of))
 
     every = sorted({w for _, chosen in marks.values() for w in chosen})
