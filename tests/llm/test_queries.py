@@ -1,6 +1,7 @@
 """The operators on small tables with every awkward row, against brute force."""
 
 import hashlib
+import time
 import zlib
 
 import numpy as np
@@ -349,6 +350,47 @@ def test_licenses_wrapped_and_in_full(spark):
     assert "Python" not in plan and "Exchange" not in plan.split("Scan")[0]
 
 
+def test_licenses_altered_full_text(spark):
+    """A changed word every few words makes many starts and ends; each start takes one pass."""
+    body = licenses.full_texts()["GPL-2.0-text"]
+    altered = lambda n: " ".join(f"zz{i}" if i % n == 0 else w for i, w in enumerate(body.split()))
+    table = spark.createDataFrame([(n, altered(n)) for n in (40, 20, 4)], "doc_id long, text string")
+    begin = time.monotonic()
+    rows = {r.doc_id: r for r in licenses.op9_licenses(table).collect()}
+    assert time.monotonic() - begin < 60
+    for n in (40, 20):
+        assert rows[n].best_license == "GPL-2.0-text"
+        assert rows[n].best_dice == round(brute_passages(altered(n), "GPL-2.0-text", body), 6)
+    assert "GPL-2.0-text" not in rows[4].licenses
+
+
+def test_substring_repeated_rows_cost_their_number(spark):
+    """Rows that repeat id and text give their own strings each, not one for every pair."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(words))] + [(2, " ".join(["front", *words[100:300], "back"]))] * 40
+    seen, real = {}, substring.stored
+    substring.stored = lambda df, label: seen.setdefault(label, real(df, label))
+    try:
+        got = substring.op5_substring(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    finally:
+        substring.stored = real
+    spans = {r.sid: len(r.spans) for r in seen["spans"].collect()}
+    assert seen["super-k-mers"].filter("id = 2").count() == 40 * spans[2]
+    covered = {r.sid: r.starts for r in seen["covered"].collect()}
+    assert sorted(covered) == [2] and sorted(covered[2]) == list(range(1, 152))
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0)] + [(2, 200)] * 40
+
+
+def test_substring_one_context_of_many_strings(spark):
+    """Strings of one crowded bucket that are alike on one side go to many tasks."""
+    rnd = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(60)]
+    docs = [(i, " ".join([*(f"x{v}" for v in rnd.integers(0, 10**6, 60)), *passage, "same", "end"])) for i in range(300)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.n_removed for r in substring.cut_repeats(table, crowd=8).selectExpr("id AS doc_id", "n_removed").collect()}
+    assert got == {i: 0 if i == 0 else 62 for i in range(300)}
+
+
 def test_winnowing_of_short_edited_texts(spark):
     rnd = np.random.default_rng(8)
     texts = ["".join(rnd.choice(list("abcdefghijklmnop "), n)) for n in rnd.integers(48, 190, 80)]

@@ -17,18 +17,20 @@ minimiser's bucket.  There sorting puts equal windows side by side.
    equal ones has the owner, the smallest id.  A bucket of over ``crowd``
    different strings (many contexts of one passage) goes no task whole: its
    strings are sorted over many tasks by the words right of the minimiser, then
-   left of it.  In such an order a neighbour shares the most words, so windows
-   that reach further have no equal; they are cut off.  What is left of the
-   strings is mostly equal and again reduced to the smallest id.  A bucket that
-   is still crowded is dealt out by whole window, with a partial minimum.
+   left of it, equal ones by the string's hash, so that one context of a third
+   of all strings is cut apart too.  In such an order a neighbour shares the
+   most words, so windows that reach further have no equal; they are cut off.
+   What is left of the strings is mostly equal and again reduced to the smallest
+   id.  A bucket that is still crowded is dealt out by whole window, with a
+   partial minimum.
 4. Owners go back to every run by the string's SHA-256, covered words to their
    document.
 
 Edge cases: null and empty texts have no words; a text shorter than a window
 loses nothing; repeated rows of one id keep their words (the id is not
-smaller) and each gives a row; a null id counts as larger than all others;
-very long texts are handled in pieces of bounded size; an empty table gives
-no rows.  Words are compared as they are.
+smaller) and each gives a row, at a cost that grows with their number; a null id
+counts as larger than all others; very long texts are handled in pieces of
+bounded size; an empty table gives no rows.  Words are compared as they are.
 """
 
 from __future__ import annotations
@@ -344,7 +346,7 @@ def cut_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k:
         [StructField("mini", LongType()), *ident, StructField("start", IntegerType()), StructField("n", IntegerType())])), "windows")
     shared = (runs.groupBy("mini").agg(F.min(order).alias("lo"), F.max(order).alias("hi")).filter("lo < hi").select("mini"))
     spans = (runs.join(stored(shared, "minimisers"), "mini")
-             .groupBy("id", "key").agg(F.collect_list(F.struct("start", "n", "mini")).alias("spans"))
+             .groupBy("id", "key").agg(F.collect_set(F.struct("start", "n", "mini")).alias("spans"))
              .select(F.col("id").alias("sid"), F.col("key").alias("skey"), "spans"))
     here = same(F.col("id"), F.col("sid")) & (F.col("key") == F.col("skey"))
     packs = stored(rows.join(stored(spans, "spans"), here).select("id", "key", "text", "spans").mapInArrow(_packed(k), StructType(
@@ -370,7 +372,7 @@ def cut_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k:
     for side, at in (("right", 5), ("left", 4)):
         many = many.mapInArrow(_anchored(m), sides) if side == "right" else many
         schema = StructType([*many.schema.fields, StructField("most", IntegerType())])
-        many = (many.repartitionByRange(n, "mini", side).sortWithinPartitions("mini", side).mapInArrow(_shared(at), schema)
+        many = (many.repartitionByRange(n, "mini", side, F.xxhash64("pack")).sortWithinPartitions("mini", side).mapInArrow(_shared(at), schema)
                 .withColumnRenamed("most", f"to_{side}"))
     cut = stored(many.mapInArrow(_trimmed(k, m), "mini long, whole binary, shift int, pack binary, lo long, hi long").distinct(), "trimmed")
     again, fewer = parted(stored(cut.groupBy("mini", "pack").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "shared-strings"))
@@ -389,7 +391,7 @@ def cut_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k:
     packs = packs.withColumn("sid", F.unhex(F.sha2("pack", 256))).select("mini", "sid", "id", "key", "start")
     starts = F.expr(f"transform(filter(arrays_zip(at, own), x -> x.own < coalesce(cast(id as long), {_LAST})), x -> start + x.at)")
     covered = (packs.join(owners, ["mini", "sid"]).select("id", "key", starts.alias("starts")).filter(F.size("starts") > 0)
-               .groupBy("id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+               .groupBy("id", "key").agg(F.flatten(F.collect_set("starts")).alias("starts"))
                .select(F.col("id").alias("sid"), F.col("key").alias("skey"), "starts"))
     covered = stored(covered, "covered")
     small_batches(spark)
