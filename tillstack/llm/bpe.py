@@ -2,9 +2,9 @@
 
 A text's matches of the split pattern are words; each is encoded by itself, so
 only distinct words are.  Their bytes, as an array of one-byte strings, are
-folded by Spark's higher-order functions: every step looks up the ranks of all
-neighbours in a literal rank map, joins the pair of the lowest rank (the leftmost
-of equal ones), until no pair has a rank.  The literal is an array of small maps
+folded by Spark's higher-order functions: the ranks of all neighbours are looked up
+in a literal rank map, every step joins the pair of the lowest rank (the leftmost
+of equal ones) and looks up its two new neighbours, until no pair has a rank.  The literal is an array of small maps
 dealt by the pieces' hash, because a map's lookup is a scan.  Decoding
 concatenates the binary pieces of the ids.
 
@@ -64,30 +64,46 @@ def split_words(text: Column, pattern: str = public_tokenizers.PATTERN) -> Colum
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(jvm_pattern(pattern)), F.lit(0))
 
 
-def rank_lookup(ranks: dict[bytes, int]):
-    """A function from a piece (a string of one sign for each byte) to its rank or null."""
+def rank_table(ranks: dict[bytes, int]) -> Column:
+    """The literal rank map: pieces (strings of one sign for each byte) and their ranks, as small maps."""
     maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         signs = piece.decode("latin-1")
         maps[xxhash.xxh64_intdigest(signs.encode(), seed=42) % BUCKETS][signs] = rank
-    literal = F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
-    return lambda piece: F.element_at(F.get(literal, F.xxhash64(piece).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), piece)
+    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
 
 
-def fold_merges(word: Column, rank) -> Column:
-    """The ids of one word: array<int>."""
+def _once(value: Column, then) -> Column:
+    """``then(value)``, in which the value is computed, or the literal stands, once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def fold_merges(word: Column, table: Column) -> Column:
+    """The ids of one word: array<int>.  The expression, and with it every task, holds the table once."""
     signs = F.decode(word.cast("binary"), "ISO-8859-1")
+    return _once(table, lambda t: _fold(signs, lambda piece: F.element_at(
+        F.get(t, F.xxhash64(piece).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), piece)))
+
+
+def _fold(signs: Column, rank) -> Column:
     pieces = F.split(signs, "")
 
     def state(p: Column) -> Column:
         pairs = F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: rank(F.concat(F.get(p, i), F.get(p, i + 1))))
         return F.struct(p.alias("p"), F.when(F.size(p) > 1, pairs).alias("ranks"))
 
+    def joined_at(a: Column, at: Column, new: Column) -> Column:
+        """The state after a merge: only the two pairs beside the new piece have other ranks."""
+        none, n = F.array().cast("array<int>"), F.size(a.p)
+        left = F.when(at > 1, F.array(rank(F.concat(F.get(a.p, at - 2), new)))).otherwise(none)
+        right = F.when(at + 1 < n, F.array(rank(F.concat(new, F.get(a.p, at + 1))))).otherwise(none)
+        return F.struct(F.concat(F.slice(a.p, 1, at - 1), F.array(new), F.slice(a.p, at + 2, n)).alias("p"),
+                        F.concat(F.slice(a.ranks, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(a.ranks, at + 2, n)).alias("ranks"))
+
     def merge(a: Column, _: Column) -> Column:
-        best = F.array_min(a.ranks)
-        at = F.array_position(a.ranks, best).cast("int")
-        joined = F.concat(F.slice(a.p, 1, at - 1), F.array(F.concat(F.get(a.p, at - 1), F.get(a.p, at))), F.slice(a.p, at + 2, F.size(a.p)))
-        return F.when(best.isNull(), a).otherwise(F.get(F.transform(F.array(joined), state), F.lit(0)))
+        at = lambda best: F.array_position(a.ranks, best).cast("int")
+        return _once(F.array_min(a.ranks), lambda best: F.when(best.isNull(), a).otherwise(_once(at(best), lambda i: _once(
+            F.concat(F.get(a.p, i - 1), F.get(a.p, i)), lambda new: joined_at(a, i, new)))))
 
     folded = F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(pieces), F.lit(2))), state(pieces), merge)
     return F.coalesce(F.when(rank(signs).isNotNull(), F.array(rank(signs))), F.transform(folded.p, rank))
@@ -162,7 +178,7 @@ def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``words`` (different words in a column ``word``) with ``tokens``, their ids; null for long words."""
-    return words.withColumn("tokens", F.when(F.octet_length("word") <= LONG, fold_merges(F.col("word"), rank_lookup(ranks))))
+    return words.withColumn("tokens", F.when(F.octet_length("word") <= LONG, fold_merges(F.col("word"), rank_table(ranks))))
 
 
 def _planes(values: np.ndarray) -> bytes:
