@@ -90,3 +90,41 @@ def test_payment_type_missing_columns(spark):
     df = spark.createDataFrame([("-",)], "cash string")
     assert df.select(N.payment_type(None, F.col("cash"))).first()[0] == "Free/Voucher/Discounted"
     assert df.select(N.payment_type(F.col("cash"), None)).first()[0] == "Credit / Debit"
+
+
+def test_word_search_equals_the_regex(spark):
+    """Plain search of words gives what the case-insensitive regex gives: several words
+    in a text, words in each other, letters that only Unicode case makes equal, null."""
+    texts = [r[0] for r in EDGE_ROWS] + [
+        "Cold brew HOT", "hot COLD", "Hotel duo SOLO solo", "cold\u00e9 hot", "\u017folo", "Medi\u0131o s\u0130ze solo", "fries sour cream BBQ mango",
+        "\u017fugar 50%", "Mild (1/4) Spicy (3/4)", "COO\u212aIE oreo", "cookies & cookie Oreo", "", "x", "(", "a) b (c", "\u00a0Hot\u00a0(x)", None]
+    df = spark.createDataFrame([(t,) for t in texts], "p string")
+    for words in (["Solo", "Duo", "Medio", "Familia"], ["Hot", "Cold"], ["Cookies", "Cookie"], ["Cookie", "Cookies"], ["Sour Cream", "BBQ"], ["Sugar 50%"], ["Caf\u00e9"], []):
+        regex = T.titled_match(T.extract_first("p", words), words)
+        held = F.coalesce(F.col("p").rlike("(?iu)" + T.alternation(words)), F.lit(False))
+        for r in df.select("p", T._vocab("p", words).alias("a"), regex.alias("b"), T.contains_any("p", words).alias("c"), held.alias("d")).collect():
+            assert (r.a, r.c) == (r.b, r.d), (words, r)
+    assert df.filter(T.ascii_lower("p") != F.lower("p")).isEmpty()
+
+
+def test_space_class_is_python_white_space():
+    import re
+    chars = "".join(map(chr, range(0x3100)))
+    python_class = re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\u" + m[1].zfill(4), T.SPACE)
+    assert "".join(re.findall(python_class, chars)) == T.PY_WHITESPACE
+
+
+def test_parse_runs_as_compiled_methods(run):
+    """A parse of more byte code than the JVM compiles in one method stays out of whole-stage code."""
+    assert int(run.spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_dedup_first_parses_the_report_once(spark, tiny_dir, monkeypatch):
+    from tillstack.plans import queries as Q
+    calls, parse = [], CL.finished_lines
+    monkeypatch.setattr(CL, "finished_lines", lambda *a, **k: calls.append(1) or parse(*a, **k))
+    run = Q.Run(spark, tiny_dir)
+    got = {tuple(r) for r in Q.q_dedup_first(run).select(*Q.KEYS).collect()}
+    assert len(calls) == 1
+    kept = CL.drop_footer(run.finished).join(CL.dedup_first(CL.drop_footer(run.finished)), Q.KEYS, "left_anti")
+    assert got == {tuple(r) for r in kept.select(*Q.KEYS).collect()}
