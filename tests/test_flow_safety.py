@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tillstack import schemas as S
 from tillstack.operators import checks as C
 from tillstack.operators import upsert as U
 from tillstack.operators.dims import Dims
@@ -15,6 +16,7 @@ from tillstack.plans import flows as P
 from tillstack.session import run_dir
 from tillstack.sources import reports as RP
 from tillstack.sources import sinks as K
+from tillstack.sources.fixture import daily_report
 
 HEADER = "Order ID,Products,Product Amount,Received Amount,Payment Time,Cash,GCash,Type/Channel"
 NOW = dt.datetime(2026, 4, 1)
@@ -276,3 +278,37 @@ def test_bad_day_stops_before_the_fact(spark, paths):
     assert not paths.fact.exists(spark)
     stored = spark.read.parquet(paths.audit("failures", "bad"))
     assert [r.order_id for r in stored.filter(F.col("check_name").contains("order_type_key")).collect()] == ["1"]
+
+
+def test_days_are_landed_by_many_tasks(spark, tiny_dir):
+    """A day's cost is that of its file: a small delivery is not written by one task."""
+    import glob
+    import re
+    to = run_dir(spark, "landed")
+    K.land_reports(daily_report(spark, tiny_dir), to)
+    files = glob.glob(f"{to.removeprefix('file://')}/report_date=*/part-*.csv")
+    assert len(files) == len(K.list_dirs(spark, to)) > 10  # one a day
+    assert len({re.search(r"part-(\d+)", f)[1] for f in files}) > 1
+
+
+def test_many_days_are_one_expression(spark):
+    import datetime as dt
+    import time
+    days = [dt.date(2000, 1, 1) + dt.timedelta(days=2 * k) for k in range(3000)]
+    t = time.time()
+    cond = K.in_days([*days, None])
+    assert time.time() - t < 1  # literals made one by one took seconds
+    df = spark.createDataFrame([(days[0],), (days[-1],), (days[0] + dt.timedelta(days=1),), (None,)], "sale_date date")
+    assert df.filter(cond).count() == 3 and df.filter(K.in_days(days)).count() == 2
+    assert df.filter(~K.in_days(days)).count() == 2 and df.filter(K.in_days([])).count() == 0
+    times = spark.createDataFrame([("2000-01-01 10:00:00",), ("unknown",), (None,), ("2000-01-02 10:00:00",)], "payment_time string")
+    assert times.filter(K.in_days(days, K.DAY_SQL)).count() == 1
+    assert times.filter(K.in_days([days[0], None], K.DAY_SQL)).count() == 3
+    assert times.filter(~K.day_of().eqNullSafe(F.expr(K.DAY_SQL))).isEmpty()
+
+
+def test_an_empty_table_takes_no_join(spark):
+    table = P.Paths(run_dir(spark, "none")).staging
+    assert table.read(spark).schema.names == [*S.STAGING_FLAGGED.names, "sale_date"]
+    plan = table.read(spark)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("LocalRelation <empty>")

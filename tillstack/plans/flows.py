@@ -130,7 +130,9 @@ def merge_candidates(target: DataFrame, batch: DataFrame, col: str = "payment_ti
 
 def merge(spark: SparkSession, table: K.Table, batch: DataFrame, reprocessed: bool | Column | None = False) -> int:
     """UPS1/UPS2 on a day-partitioned table: append what is not there; again, nothing."""
-    return table.append(spark, U.merge_insert(merge_candidates(table.read(spark), batch), batch, reprocessed=reprocessed))
+    held = table.read(spark)
+    candidates = merge_candidates(held, batch) if table.exists(spark) else held  # without a table, no pass over the batch
+    return table.append(spark, U.merge_insert(candidates, batch, reprocessed=reprocessed))
 
 
 def late_flag(spark: SparkSession, paths: Paths, late: str) -> bool | Column:

@@ -59,12 +59,17 @@ def day_of(col: str = "payment_time"):
     return F.to_date(F.col(col).cast("string").try_cast("timestamp_ntz"))
 
 
-def in_days(days, day="sale_date"):
-    """Whether ``day`` (a column) is one of ``days``; None is the null partition."""
-    day = F.col(day) if isinstance(day, str) else day
-    known = [d for d in days if d is not None]
-    hit = F.coalesce(day.isin(known), F.lit(False)) if known else F.lit(False)
-    return hit | day.isNull() if None in days else hit
+#: ``day_of`` of the payment time, in SQL.
+DAY_SQL = "to_date(try_cast(CAST(payment_time AS STRING) AS TIMESTAMP_NTZ))"
+
+
+def in_days(days, day: str = "sale_date"):
+    """Whether ``day`` (a column or SQL expression) is one of ``days``; None is the null
+    partition.  One expression: thousands of literals made one by one take seconds."""
+    days = list(days)
+    known = ", ".join(f"DATE'{d.isoformat()}'" for d in days if d is not None)
+    hit = f"coalesce({day} IN ({known}), false)" if known else "false"
+    return F.expr(f"{hit} OR {day} IS NULL" if None in days else hit)
 
 
 @dataclass(frozen=True)
@@ -101,7 +106,8 @@ class Table:
         schema = StructType([*self.schema.fields, *(StructField(c, DateType()) for c in self.partition_by)])
         filled = [n for n in names if not self.partition_by or _any(spark, f"{self._dir(n)}/*=*")]
         if not filled:
-            return spark.createDataFrame([], schema)
+            # a plan without rows, which the planner takes out of joins
+            return spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
         out = (spark.read.schema(StructType([*schema.fields, StructField(BATCH, StringType())])).option("basePath", self.path)
                .parquet(*[self._dir(n) for n in filled]))
         for name in names:
@@ -123,7 +129,7 @@ class Table:
         content from now on (a day without rows becomes empty); the files of other
         days stay untouched."""
         days = list(days)
-        return self._publish(spark, df.filter(in_days(days, day_of())), "days", days) if days else 0
+        return self._publish(spark, df.filter(in_days(days, DAY_SQL)), "days", days) if days else 0
 
     def _publish(self, spark: SparkSession, df: DataFrame, kind: str, days=()) -> int:
         work = f"{self.path}/_writing-{uuid.uuid4().hex[:12]}"
@@ -132,8 +138,10 @@ class Table:
         if kind == "add" and not rows:
             fs.delete(at, True)
             return 0
-        for d in days:
-            fs.mkdirs(_fs(spark, f"{work}/sale_date={NO_DAY if d is None else d.isoformat()}")[1])
+        there = set(list_dirs(spark, work)) if days else ()
+        for name in (f"sale_date={NO_DAY if d is None else d.isoformat()}" for d in days):
+            if name not in there:
+                fs.mkdirs(_fs(spark, f"{work}/{name}")[1])
         taken = [int(d.split("=", 1)[1].split("-")[0]) for d in list_dirs(spark, self.path) if d.startswith(f"{BATCH}=")]
         if not fs.rename(at, _fs(spark, self._dir(f"{max(taken, default=0) + 1:08d}-{kind}"))[1]):
             raise RuntimeError(f"the batch at {work} could not be published")
@@ -187,7 +195,10 @@ def land_reports(report: DataFrame, incoming: str, date_col: str = "report_date"
     """Write reports as daily CSV files ``incoming/report_date=YYYY-MM-DD/``
     (one file per day, rows in file order) — the delivered form the daily
     run reads with ``read_day``."""
-    (report.repartition(date_col).sortWithinPartitions(date_col, "row_idx", "row_part")
+    # a number of its own: by their size the rows would be joined into few tasks, while a
+    # day's cost is that of its file
+    n = int(report.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (report.repartition(n, date_col).sortWithinPartitions(date_col, "row_idx", "row_part")
      .drop("row_idx", "row_part", "source_file")
      .write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
