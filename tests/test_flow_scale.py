@@ -9,7 +9,7 @@ from tillstack import fixed_values as FV
 from tillstack import schemas as S
 from tillstack.operators import checks as C
 from tillstack.operators import upsert as U
-from tillstack.operators.clean import clean_report
+from tillstack.operators.clean import clean_report, keep_first_drop_last
 from tillstack.plans import flows as P
 from tillstack.session import configure, run_dir
 from tillstack.sources import sinks as K
@@ -87,6 +87,26 @@ def test_lines_are_shuffled_as_report_rows(spark):
     assert sorted((r.order_id, r.quantity) for r in lines.collect()) == [("1", 2.0), ("2", 1.0)]
 
 
+def test_held_lines_are_not_shuffled_for_the_files_last_ones(spark):
+    configure(spark)
+    df = spark.range(300).select(F.concat(F.lit("f"), F.col("id") % 3).alias("source_file"), F.col("id").alias("row_idx"), F.lit(0).alias("row_part"),
+                                 F.lit(0).alias("pos"), F.col("id").cast("string").alias("order_id"), F.lit("Mocha").alias("items"), F.lit("t").alias("payment_time"))
+
+    def hold(first):
+        path = run_dir(spark, "held")
+        K.write_parquet(first, path)
+        return spark.read.schema(first.schema).parquet(path)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for lines that are many by their size
+    try:
+        out = keep_first_drop_last(df, hold=hold)
+        assert "BroadcastHashJoin" in _plan(out) and "SortMergeJoin" not in _plan(out)
+        assert sorted(int(r.order_id) for r in out.collect()) == list(range(297))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_the_footers_read_no_lines(spark, tiny_dir):
     configure(spark)
     report = daily_report(spark, tiny_dir)
