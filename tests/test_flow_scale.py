@@ -137,3 +137,39 @@ def test_checked_fact_rows_become_the_batch(spark):
     out = P.run_day(spark, paths, dt.date(2026, 3, 22), now_utc=dt.datetime(2026, 4, 1), run="r")
     assert out["fact_appended"] == paths.fact.read(spark).count() == 2
     assert not K.path_exists(spark, paths.zone("fact", "r"))
+
+
+def _day_report(spark, folder, days):
+    """A report file a day: two orders, a copy of the first, and the blank last row."""
+    import os
+    for day in days:
+        at = f"{folder}/report_date={day.isoformat()}".removeprefix("file:")
+        os.makedirs(at)
+        rows = [f'{i},"Mocha (Hot) x2, Mystery Box","1,250.00","1,300.00",{day} 09:15:0{i},100.00,-,Dine-in' for i in (1, 2, 1)]
+        with open(f"{at}/report.csv", "w") as f:
+            f.write("\n".join([HEADER, *rows, "," * 7]) + "\n")
+
+
+def test_a_backfills_lines_are_shuffled_before_they_are_parsed_only(spark, monkeypatch):
+    """The clustered zones' rows are merged where they lie; the rows are those of a merge that places them."""
+    configure(spark)
+    days = [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    plain, held = P.U.merge_insert, {}
+    plans = []
+    monkeypatch.setattr(P.U, "merge_insert", lambda *a, **k: plans.append(_exchanges(out := plain(*a, **k))) or out)
+    for days_a_task, part_rows in ((4, 100_000), (4, 3), (10_000, 100_000)):
+        monkeypatch.setattr(P, "DAYS_A_TASK", days_a_task)
+        monkeypatch.setattr(P, "PART_ROWS", part_rows)
+        paths = P.Paths(run_dir(spark, "placed"))
+        _day_report(spark, paths.incoming, days)
+        plans.clear()
+        out = P.ingest(spark, paths, [f for d in days for f in P.RP.day_files(spark, paths.incoming, d, d)], "r", now_utc=dt.datetime(2026, 4, 1))
+        rows = sorted(map(repr, (r[:15] for t in (paths.staging, paths.quarantine) for r in t.read(spark).collect())))
+        held[days_a_task, part_rows] = rows, out
+        assert plans == ([0, 0] if days_a_task == 4 else [1, 1])
+        assert out["good"] == out["staged"] > 0 and out["quarantined"] == out["quarantine_added"] > 0 and out["duplicates"] > 0
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tillstack_zone_")]
+        again = P.merge(spark, paths.staging, S.conform(spark.read.parquet(paths.zone("lines", "r")).filter("half = 'good'"), S.STAGING))
+        assert again == 0
+    first, *others = held.values()
+    assert all(o == first for o in others)
