@@ -173,3 +173,19 @@ def test_a_backfills_lines_are_shuffled_before_they_are_parsed_only(spark, monke
         assert again == 0
     first, *others = held.values()
     assert all(o == first for o in others)
+
+
+def test_grain_checks_count_what_the_plain_ones_do(spark, monkeypatch):
+    keys = "order_id string, items string, flavor string, size string, variation string, payment_time string"
+    apart = [("1", "a", None, None, None, "t"), ("1", None, "a", None, None, "t"), (None, "a", "x", None, None, None), ("2", "a", None, None, None, "t")]
+    for rows in (apart, apart + apart[:1], apart + apart * 2, []):
+        df = spark.createDataFrame(rows, keys)
+        want = sorted(tuple(r) for r in C.run_checks(df, "t", C.STAGING_CHECKS).collect())
+        for limit in (200_000, 0):
+            monkeypatch.setattr(C, "BROADCAST_ROW_LIMIT", limit)
+            got = C.run_grain_checks(df, "t", C.STAGING_CHECKS)
+            assert sorted(tuple(r) for r in got.collect()) == want
+    collide = spark.createDataFrame(apart, keys)
+    monkeypatch.setattr(C.F, "xxhash64", lambda *cols: F.lit(7))  # all rows of one hash, no duplicates
+    monkeypatch.setattr(C, "BROADCAST_ROW_LIMIT", 200_000)
+    assert {r.failures for r in C.run_grain_checks(collide, "t", C.STAGING_CHECKS[:1]).collect()} == {0}
