@@ -147,6 +147,27 @@ def test_bpe(docs, none, monkeypatch):
     assert bag(bpe.decode(coded, ranks), "id", "decoded") == sorted(((i, (t or "").encode()) for i, t in ROWS), key=repr)
 
 
+def test_bpe_blocks_are_not_shuffled(docs, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_WORDS", 50)
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plan = bpe.encode(docs, ranks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == plan.count("Exchange hashpartitioning(of_block") == 1
+
+
+@pytest.mark.parametrize("parts, share", [(4096, 1 << 18), (2, 5)])
+def test_bpe_gathers_words(docs, monkeypatch, parts, share):
+    """Every place of every word without a rank, whatever the numbers of parts and shares."""
+    monkeypatch.setattr(bpe, "BLOCK_WORDS", 50)
+    monkeypatch.setattr(bpe, "WORD_PLACES", parts)
+    monkeypatch.setattr(bpe, "SHARE_PLACES", share)
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    blocks = bpe.word_blocks(docs, ranks, "text", "doc_id").select("block", "load", "words").localCheckpoint()
+    want = sorted((w, r.block, j) for r in blocks.collect() for j, w in enumerate(r.words))
+    got = bpe.gather_words(blocks).collect()
+    assert want and sorted((r.word, p.block, p.j) for r in got for p in r.places) == want
+    assert parts < 4096 or len({r.word for r in got}) == len(got)
+
+
 def test_packing(docs, none):
     rows = packing.op8_packing(docs).collect()
     path = packing.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))

@@ -11,11 +11,12 @@ concatenates the binary pieces of the ids.
 Words reach the documents again by blocks: a block holds the different words of
 some documents once and, for each document, the numbers of its words (frequent
 words have small numbers, so they compress well).  Words that have a rank of
-their own need no fold.  The places (block, number) of each other word are
-gathered with a partial aggregate, at most one for each block; the word is
-folded and its ids go back to the blocks, packed for each block and task.  A row
-holds a word's places in about ``WORD_PLACES`` blocks; a word that more blocks have
-is folded once for each such row.  The text moves not at all.
+their own need no fold.  The others are dealt into shares by a hash, each block's
+part of a share packed, and a share's different words get their places (block,
+number), at most one for each block; the word is folded and its ids go back to the
+blocks, packed for each block and task.  A row holds a word's places in about
+``WORD_PLACES`` blocks; a word that more blocks have is folded once for each such
+row.  The text moves not at all, nor do the blocks, which are stored in buckets.
 
 Words of over ``LONG`` bytes (the fold's work grows with the square of a word's
 length) are encoded by the tiktoken library's merge of single pieces instead.
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,11 +44,13 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tokenizers import Regex, pre_tokenizers
 
-from tillstack.llm.common import give_back, small_batches, stored
+from tillstack.llm.common import bucketed, give_back, small_batches, stored
 
 BLOCK_WORDS, LONG, BUCKETS = 1 << 21, 256, 1 << 16
 #: About so many places of one word are in a row; so many places are packed together.
 WORD_PLACES, PACK_PLACES = 4096, 1 << 17
+#: About so many places of words are gathered together; a word counts once more for each so many bytes.
+SHARE_PLACES, WORD_BYTES = 1 << 18, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -110,9 +114,9 @@ def _fold(signs: Column, rank) -> Column:
 
 
 def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str) -> DataFrame:
-    """``(block, words, ids, sizes, own, index)``: a block's different words without
-    a rank, its documents' ids and numbers of words, all its words' ranks (-1 for
-    none), and the words' numbers, one after another."""
+    """``(block, load, words, ids, sizes, own, index)``: how many different words without a
+    rank a block has (long ones count more), these words, its documents' ids and numbers of
+    words, all its words' ranks (-1 for none), and the words' numbers, one after another."""
     small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
 
@@ -143,9 +147,9 @@ def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str
                 name.update(part)
             asked = words.filter(pa.array([x < 0 for x in own], pa.bool_()))
             return pa.RecordBatch.from_arrays(
-                [pa.array([name.intdigest() - (1 << 63)]), pa.ListArray.from_arrays(pa.array([0, len(asked)], pa.int32()), asked),
+                [pa.array([name.intdigest() - (1 << 63)]), pa.array([len(asked) + (pc.sum(pc.binary_length(asked)).as_py() or 0) // WORD_BYTES]), pa.ListArray.from_arrays(pa.array([0, len(asked)], pa.int32()), asked),
                  pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                 *(pa.array([zstandard.compress(x)], pa.binary()) for x in parts)], ["block", "words", "ids", "sizes", "own", "index"])
+                 *(pa.array([zstandard.compress(x)], pa.binary()) for x in parts)], ["block", "load", "words", "ids", "sizes", "own", "index"])
 
         for b in batches:
             words = split(b.column(1), b.column(2))
@@ -173,7 +177,7 @@ def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str
     odd = F.coalesce(whole.rlike(r"\p{Cn}"), F.lit(False))
     return docs.select(F.col(id_col).alias("id"), F.when(odd, F.array().cast("array<string>")).otherwise(split_words(whole)).alias("words"),
                        F.when(odd, whole).alias("odd")).mapInArrow(
-        run, f"block long, words array<string>, ids array<{id_type.simpleString()}>, sizes binary, own binary, index binary")
+        run, f"block long, load long, words array<string>, ids array<{id_type.simpleString()}>, sizes binary, own binary, index binary")
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -186,6 +190,64 @@ def _planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
+def _dealt(shares: int):
+    """Blocks' words (``block, words``) dealt by a hash: ``(block, share, packed)`` with the words' numbers and the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                words = [w.encode() for w in b.column(1)[r].as_py()]
+                of = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % shares
+                order = np.argsort(of, kind="stable")
+                cut = np.searchsorted(of[order], np.arange(shares + 1))
+                names, out = [], []
+                for share in np.flatnonzero(np.diff(cut)).tolist():
+                    j = order[cut[share]:cut[share + 1]]
+                    mine = [words[i] for i in j.tolist()]
+                    head = np.array([len(j)], "<u4").tobytes()
+                    lengths = np.fromiter(map(len, mine), np.int64, len(mine))
+                    names.append(share)
+                    out.append(zstandard.compress(head + _planes(np.diff(j, prepend=0)) + _planes(lengths) + b"".join(mine)))
+                yield pa.RecordBatch.from_arrays([pa.repeat(b.column(0)[r], len(out)), pa.array(names, pa.int32()), pa.array(out, pa.binary())],
+                                                 ["block", "share", "packed"])
+        give_back()
+
+    return run
+
+
+def _gathered(share: pa.Table) -> pa.Table:
+    """A share's different words, each with its places."""
+    blocks, numbers, words = [], [], []
+    for block, packed in zip(share["block"].to_pylist(), share["packed"].to_pylist()):
+        data = zstandard.decompress(packed)
+        n = int.from_bytes(data[:4], "little")
+        j, lengths = (np.ascontiguousarray(x.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+                      for x in np.split(np.frombuffer(data, np.uint8, 8 * n, 4), 2))
+        offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+        words.append(pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(data[4 + 8 * n:])))
+        numbers.append(np.cumsum(j))
+        blocks.append(np.full(n, block, np.int64))
+    coded = pa.concat_arrays(words).dictionary_encode()
+    index = coded.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(index, kind="stable")
+    ends = np.cumsum(np.bincount(index, minlength=len(coded.dictionary)))
+    places = pa.StructArray.from_arrays([pa.array(np.concatenate(blocks)[order]), pa.array(np.concatenate(numbers)[order], pa.int32())], ["block", "j"])
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), places)
+    by_word = pc.sort_indices(coded.dictionary)  # neighbours compress well
+    return pa.table([coded.dictionary.take(by_word), lists.take(by_word)], names=["word", "places"])
+
+
+def gather_words(blocks: DataFrame) -> DataFrame:
+    """``(word, places)``: the different words of ``word_blocks`` without a rank, each with
+    the blocks that hold it and its number there, a row for some ``WORD_PLACES`` blocks."""
+    n, load = blocks.agg(F.count(F.lit(1)), F.sum("load")).first()
+    parts = max(1, -(-n // WORD_PLACES))
+    shares = max(1, -(-(load or 0) // (parts * SHARE_PLACES)))
+    dealt = blocks.select("block", "words").mapInArrow(_dealt(shares), "block long, share int, packed binary")
+    return (dealt.groupBy("share", F.pmod("block", F.lit(parts)).alias("part"))
+            .applyInArrow(_gathered, "word string, places array<struct<block:bigint,j:int>>"))
+
+
 def _packed(ranks: dict[bytes, int]):
     """Words' places, ids and, if they have none yet, the words themselves, gathered for each
     block: ``(of_block, packed)`` with the words' numbers in the block, their numbers of ids, and the ids."""
@@ -258,11 +320,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", id_col:
     same task (``decode`` does it in a further Python worker)."""
     pieces = piece_list(ranks) if decoded else []
     id_type = docs.schema[id_col].dataType
-    blocks = stored(word_blocks(docs, ranks, text, id_col), "word-blocks")
-    parts = -(-blocks.count() // WORD_PLACES)  # a row holds a word's places in some of the blocks
-    places = blocks.select("block", F.posexplode("words").alias("j", "word"))
-    words = stored(places.groupBy("word", F.pmod("block", F.lit(max(1, parts))).alias("part"))
-                   .agg(F.collect_list(F.struct("block", "j")).alias("places")).drop("part"), "words")
+    blocks = bucketed(word_blocks(docs, ranks, text, id_col), "word-blocks", "block")
+    words = stored(gather_words(blocks), "words")
     found = (encode_words(words, ranks).select("places", "tokens", F.when(F.octet_length("word") > LONG, F.col("word")).alias("word"))
              .mapInArrow(_packed(ranks), "of_block long, packed binary"))
 
@@ -293,7 +352,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", id_col:
         return pa.table(columns, names=names)
 
     names = ["id", "tokens", *([decoded] if decoded else [])]
-    return blocks.drop("words").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(
+    return blocks.drop("words", "load").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(
         whole, StructType([StructField("id", id_type), *(StructField(c, BinaryType()) for c in names[1:])]))
 
 

@@ -66,6 +66,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, label: str, by: str) -> DataFrame:
+    """``stored``, with the rows in buckets of the column ``by``: what groups or joins them
+    by it needs no shuffle of them.  Only tables have buckets: the name of this external
+    one goes once its files are known."""
+    spark, name = df.sparkSession, f"llm_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(tasks(spark), by).saveAsTable(name)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _made.append((jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath))
+    held = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return held
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch of whole texts holds."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
