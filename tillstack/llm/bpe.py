@@ -90,27 +90,27 @@ def fold_merges(word: Column, table: Column) -> Column:
 
 
 def _fold(signs: Column, rank) -> Column:
+    """The fold over an array of pieces, each with the rank of the pair that it begins."""
     pieces = F.split(signs, "")
+    n = F.size(pieces)
 
-    def state(p: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda i: rank(F.concat(F.get(p, i), F.get(p, i + 1))))
-        return F.struct(p.alias("p"), F.when(F.size(p) > 1, pairs).alias("ranks"))
+    def entry(piece: Column, pair: Column) -> Column:
+        return F.struct(piece.alias("p"), pair.alias("r"))
 
     def joined_at(a: Column, at: Column, new: Column) -> Column:
-        """The state after a merge: only the two pairs beside the new piece have other ranks."""
-        none, n = F.array().cast("array<int>"), F.size(a.p)
-        left = F.when(at > 1, F.array(rank(F.concat(F.get(a.p, at - 2), new)))).otherwise(none)
-        right = F.when(at + 1 < n, F.array(rank(F.concat(new, F.get(a.p, at + 1))))).otherwise(none)
-        return F.struct(F.concat(F.slice(a.p, 1, at - 1), F.array(new), F.slice(a.p, at + 2, n)).alias("p"),
-                        F.concat(F.slice(a.ranks, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(a.ranks, at + 2, n)).alias("ranks"))
+        """The pieces after a merge: only the two pairs beside the new piece have other ranks."""
+        before, after = F.get(a, at - 2).p, F.get(a, at + 1).p
+        left = F.when(at > 1, F.concat(F.slice(a, 1, at - 2), F.array(entry(before, rank(F.concat(before, new)))))).otherwise(
+            F.array().cast("array<struct<p:string,r:int>>"))
+        return F.concat(left, F.array(entry(new, rank(F.concat(new, after)))), F.slice(a, at + 2, F.size(a)))
 
     def merge(a: Column, _: Column) -> Column:
-        at = lambda best: F.array_position(a.ranks, best).cast("int")
-        return _once(F.array_min(a.ranks), lambda best: F.when(best.isNull(), a).otherwise(_once(at(best), lambda i: _once(
-            F.concat(F.get(a.p, i - 1), F.get(a.p, i)), lambda new: joined_at(a, i, new)))))
+        return _once(F.array_position(a.r, F.array_min(a.r)).cast("int"), lambda at: F.when(at.isNull(), a).otherwise(
+            _once(F.concat(F.get(a, at - 1).p, F.get(a, at).p), lambda new: joined_at(a, at, new))))
 
-    folded = F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(pieces), F.lit(2))), state(pieces), merge)
-    return F.coalesce(F.when(rank(signs).isNotNull(), F.array(rank(signs))), F.transform(folded.p, rank))
+    start = F.transform(pieces, lambda p, i: entry(p, F.when(i + 1 < n, rank(F.concat(p, F.get(pieces, i + 1))))))
+    folded = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), start, merge)
+    return F.coalesce(F.when(rank(signs).isNotNull(), F.array(rank(signs))), F.transform(folded, lambda e: rank(e.p)))
 
 
 def word_blocks(docs: DataFrame, ranks: dict[bytes, int], text: str, id_col: str) -> DataFrame:
