@@ -175,6 +175,21 @@ def test_a_backfills_lines_are_shuffled_before_they_are_parsed_only(spark, monke
     assert all(o == first for o in others)
 
 
+def test_a_large_batch_has_more_tasks(spark, monkeypatch):
+    """A task's lines, which it sorts, do not grow with the batch; the rows are the same."""
+    configure(spark)
+    assert P.tasks_of(spark, {None: 1}) == 8 and P.tasks_of(spark, dict.fromkeys(range(2400), 90_000)) == 2160
+    days, held, files = [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(40)], [], []
+    for task_rows, n in ((P.TASK_ROWS, 8), (10, 40)):
+        monkeypatch.setattr(P, "TASK_ROWS", task_rows)
+        paths = P.Paths(run_dir(spark, "tasks"))
+        _day_report(spark, paths.incoming, days)
+        P.ingest(spark, paths, [f for d in days for f in P.RP.day_files(spark, paths.incoming, d, d)], "r", now_utc=dt.datetime(2026, 4, 1))
+        held.append(sorted(map(repr, (r[:15] for t in (paths.staging, paths.quarantine) for r in t.read(spark).collect()))))
+        files.append(len(spark.read.parquet(paths.zone("parsed", "r")).inputFiles()))
+    assert held[0] == held[1] and held[0] and files[0] <= 8 < files[1]
+
+
 def test_grain_checks_count_what_the_plain_ones_do(spark, monkeypatch):
     keys = "order_id string, items string, flavor string, size string, variation string, payment_time string"
     apart = [("1", "a", None, None, None, "t"), ("1", None, "a", None, None, "t"), (None, "a", "x", None, None, None), ("2", "a", None, None, None, "t")]
