@@ -10,6 +10,8 @@ from tillstack import schemas as S
 from tillstack.operators import checks as C
 from tillstack.operators import upsert as U
 from tillstack.operators.clean import clean_report, keep_first_drop_last
+from tillstack.operators.dims import Dims
+from tillstack.operators.fact import build_fact, fact_increment
 from tillstack.plans import flows as P
 from tillstack.session import configure, run_dir
 from tillstack.sources import sinks as K
@@ -204,3 +206,96 @@ def test_grain_checks_count_what_the_plain_ones_do(spark, monkeypatch):
     monkeypatch.setattr(C.F, "xxhash64", lambda *cols: F.lit(7))  # all rows of one hash, no duplicates
     monkeypatch.setattr(C, "BROADCAST_ROW_LIMIT", 200_000)
     assert {r.failures for r in C.run_grain_checks(collide, "t", C.STAGING_CHECKS[:1]).collect()} == {0}
+
+
+def _repairable(spark, name, days):
+    """Tables after a backfill of ``days``; each has lines of four orders that no known order type has."""
+    import os
+    paths = P.Paths(run_dir(spark, name))
+    for day in days:
+        at = f"{paths.incoming}/report_date={day.isoformat()}".removeprefix("file:")
+        os.makedirs(at)
+        rows = [f'{day.day}{i},"Mocha (Hot) x2, Espresso Shot, Mystery Box","1,250.00","1,300.00",{day} 09:15:0{i},100.00,-,{"Delivery" if i < 4 else "Dine-in"}'
+                for i in range(6)]
+        with open(f"{at}/report.csv", "w") as f:
+            f.write("\n".join([HEADER, *rows, "," * 7]) + "\n")
+    P.run_range(spark, paths, days[0] + dt.timedelta(days=1), days[-1] + dt.timedelta(days=1), now_utc=dt.datetime(2026, 4, 1), enforce=False)
+    return paths
+
+
+def test_recovered_lines_have_a_file_a_day(spark):
+    """However many tasks match the lines: each once wrote files of all days."""
+    configure(spark)
+    days = [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(4)]
+    paths = _repairable(spark, "repair", days)
+    before = _rows(paths.staging.read(spark))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}  # as for many lines
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        check = C.Check("expression", ("order_type_key",), expression="!= 0")
+        out = P.recover_failed(spark, paths, check, "order_type", "Dine-in")
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert out["failing"] == out["fact_appended"] == 8 * len(days)
+    staging, fact = paths.staging.read(spark), paths.fact.read(spark)
+    assert C.failing_rows(fact, check).count() == 0 and fact.count() == staging.count() == len(before)
+    assert _rows(staging) == before and staging.filter("is_reprocessed OR order_type <> 'Dine-in'").count() == 0
+    for table in (paths.staging, paths.fact):
+        for batch in table.batches(spark)[1:]:
+            assert len(spark.read.parquet(table._dir(batch)).inputFiles()) == len(days)
+
+
+def test_repairs_shuffle_the_rows_once(spark, monkeypatch):
+    """Rows marked where they will be written are those of the plain operators, nulls and copies too."""
+    configure(spark)
+    rows = S.conform(_staged(spark, [*BATCH, BATCH[0], BATCH[3]]), S.STAGING_FLAGGED).filter("payment_time IS NULL OR payment_time <> 'unknown'")
+    rows = rows.withColumns({"sale_date": K.day_of(), "is_reprocessed": F.lit(True)})
+    fact = build_fact(rows.filter("quantity > 1"), Dims.build(spark)).withColumn("sale_date", K.day_of())
+    whole = build_fact(rows, Dims.build(spark)).withColumn("sale_date", K.day_of())
+    counts = P.rows_a_day(rows)
+    assert counts == {dt.date(2026, 3, 21): 3, dt.date(2026, 3, 22): 1, None: 3}
+    keyed, fixed, staged = rows.drop("is_reprocessed"), rows.filter("quantity > 1"), rows.filter("order_id IS NULL OR order_id = '3'")
+    for part_rows in (100_000, 1):
+        monkeypatch.setattr(P, "PART_ROWS", part_rows)
+        monkeypatch.setattr(P, "TASK_ROWS", part_rows)
+        line, day = P.line_placing(spark, counts), P.day_placing(spark, counts)
+        for plain, placed in (
+                (U.reset_flag(rows, fact), U.reset_flag(rows, fact, line)),
+                (U.recover(rows, fact, "quantity", 9), U.recover(rows, fact, "quantity", 9, line)),
+                (U.remove_failed(whole, fact), U.remove_failed(whole, fact, line)),
+                (U.delete_fixed(keyed, fixed), U.delete_fixed(keyed, fixed, place=day)),
+                (U.delete_fixed(keyed, staged, fixed=fixed), U.delete_fixed(keyed, staged, fixed=fixed, place=day))):
+            want = sorted(map(repr, plain.collect()))
+            assert sorted(map(repr, placed.select(*plain.columns).collect())) == want and want
+            assert _exchanges(placed) == 1 and "hashpartitioning(sale_date" in _plan(placed)
+
+
+def test_late_lines_of_days_that_the_fact_lacks_are_not_shuffled(spark):
+    configure(spark)
+    paths, dims = P.Paths(run_dir(spark, "late")), Dims.build(spark)
+    rows = U.with_flag(_staged(spark, [r for r in BATCH if r[2] != "unknown"]))
+    paths.staging.append(spark, rows.withColumn("is_reprocessed", F.expr("payment_time IS NULL OR payment_time < '2026-03-22'")))
+    paths.fact.append(spark, build_fact(rows.filter("payment_time >= '2026-03-22'"), dims))
+    staging, fact = paths.staging.read(spark), paths.fact.read(spark)
+    plain = fact_increment(staging, dims, fact)
+    new = fact_increment(staging, dims, fact, paths.fact.days(spark), lambda rows: P.line_placing(spark, rows))
+    assert _exchanges(new) == 0
+    assert sorted(map(repr, new.collect())) == sorted(map(repr, plain.collect())) and new.count() == 4
+    paths.fact.append(spark, plain.filter("order_id = '1'"))  # a run that stopped
+    fact = paths.fact.read(spark)
+    plain = fact_increment(staging, dims, fact)
+    new = fact_increment(staging, dims, fact, paths.fact.days(spark), lambda rows: P.line_placing(spark, rows))
+    assert _exchanges(new) == 1
+    assert sorted(map(repr, new.collect())) == sorted(map(repr, plain.collect())) and new.count() == 2
+
+
+def test_redelivered_orders_alone_are_put_together(spark, tiny_dir):
+    configure(spark)
+    mine = F.col("Order ID").cast("long") % 7 == 0
+    some = daily_report(spark, tiny_dir, lambda key: F.col(key) % 7 == 0).filter(mine)
+    want = sorted(map(repr, daily_report(spark, tiny_dir).filter(mine).collect()))
+    assert sorted(map(repr, some.collect())) == want and want
+    assert re.search(r"DataFilters: \[[^]]*l_orderkey#\d+L? % 7", _plan(some)) or re.search(r"Filter \([^\n]*l_orderkey#\d+L? % 7", _plan(some))
