@@ -475,11 +475,11 @@ def recover_quarantine(spark: SparkSession, paths: Paths, edited: DataFrame, voc
     passing = spark.read.schema(S.STAGING).parquet(zone)
     spans = day_spans(passing)
     counts = {"loaded": merge(spark, paths.staging, passing, True, spans)}
-    staged = paths.staging.read(spark).filter(_in_spans(spans))
-    here, cond = U.null_safe_match(passing, staged, FV.MERGE_KEYS)
     days = [r.d for r in spans]
-    held = paths.quarantine.read(spark).filter(K.in_days(days))
-    paths.quarantine.replace_days(spark, U.delete_fixed(held, passing.join(here, cond, "left_semi")), days)
+    staged, held = (t.read(spark).filter(K.in_days(days)) for t in (paths.staging, paths.quarantine))
+    rows = rows_a_day(staged.select("sale_date").unionAll(held.select("sale_date")))
+    left = U.delete_fixed(held, staged.filter(_in_spans(spans)), fixed=passing, place=day_placing(spark, rows))
+    paths.quarantine.replace_days(spark, left, days, placed=True)
     counts.update(build_models(spark, paths, vocab, enforce, run))
     return counts
 
